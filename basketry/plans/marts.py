@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import engagement_band, loyalty_tier, mean_of, safe_divide
@@ -168,31 +168,36 @@ def unified_transactions(
     """Completed orders (net amount) and all returns (negative refund) as one ledger.
 
     Order amounts are already net of refunds, so adding up both kinds counts a refund twice;
-    filter on ``transaction_type`` to total one kind.  Ids are text because orders and
-    returns may use different key types.  ``ordered`` sorts by date (newest first) and id;
+    filter on ``transaction_type`` to total one kind.  Ids become text where orders and
+    returns have different key types.  ``ordered`` sorts by date (newest first) and id;
     leave it off when the result is stored or aggregated, as a stored table has no order.
     """
-    sales = facts.where("is_completed").select(
-        F.col("order_id").cast("string").alias("transaction_id"),
-        F.col("order_date").alias("transaction_date"),
-        "customer_id",
-        F.lit("order").alias("transaction_type"),
-        F.col("net_sales").cast("decimal(38,6)").alias("transaction_amount"),
+    id_types = {facts.schema["order_id"].dataType, returns.schema["return_id"].dataType}
+    id_type = id_types.pop() if len(id_types) == 1 else "string"
+    customers = facts.select("order_id", "customer_id")
+
+    def entries(df: DataFrame, kind: str, key: str, date: str, amount: Column) -> DataFrame:
+        return df.select(
+            F.col(key).cast(id_type).alias("transaction_id"),
+            F.col(date).alias("transaction_date"),
+            "customer_id",
+            F.lit(kind).alias("transaction_type"),
+            amount.cast("decimal(38,6)").alias("transaction_amount"),
+            F.col(date).alias("effective_date"),
+        )
+
+    sold = entries(
+        facts.where("is_completed"), "order", "order_id", "order_date", F.col("net_sales")
     )
-    refunds = returns_with_order(
-        returns, items, facts.select("order_id", "customer_id")
-    ).select(
-        F.col("return_id").cast("string").alias("transaction_id"),
-        F.col("return_date").alias("transaction_date"),
-        "customer_id",
-        F.lit("return").alias("transaction_type"),
-        (-F.col("refund_amount")).cast("decimal(38,6)").alias("transaction_amount"),
+    refunded = entries(
+        returns_with_order(returns, items, customers),
+        "return",
+        "return_id",
+        "return_date",
+        -F.col("refund_amount"),
     )
-    ledger = sales.unionByName(refunds).withColumns(
-        {
-            "effective_date": F.col("transaction_date"),
-            "source_table": F.lit("unified_transactions"),
-        }
+    ledger = sold.unionByName(refunded).withColumn(
+        "source_table", F.lit("unified_transactions")
     )
     if ordered:
         return ledger.orderBy(F.desc_nulls_last("transaction_date"), "transaction_id")

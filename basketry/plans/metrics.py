@@ -6,17 +6,17 @@ one row and a hot order, line or product has already shrunk on the map side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, mean_of, safe_divide, surrogate_key
 
 
-def _zero(column: str):
+def _zero(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0)).alias(column)
 
 
-def _zero_money(column: str):
+def _zero_money(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0).cast(MONEY))
 
 
@@ -170,8 +170,7 @@ def product_performance(
     gross = _zero_money("gross_sales")
     refund = _zero_money("total_refund_amount")
     units = F.coalesce(F.col("total_units_sold"), F.lit(0))
-    # decimal(18,6) x decimal(20,0) keeps all six places within 38 digits
-    cogs = (F.col("unit_cost").cast("decimal(17,6)") * units.cast("decimal(20,0)")).cast(MONEY)
+    cogs = F.col("unit_cost") * units
     return (
         products.join(sales, "product_id", "left")
         .join(back, "product_id", "left")
