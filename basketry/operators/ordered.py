@@ -181,6 +181,6 @@ def exact_percentiles(
 
     def between(name: str) -> Column:
         lo, hi, part = (F.col(f"_{p}_{name}") for p in ("lo", "hi", "part"))
-        return (lo + (hi - lo) * part).alias(name)
+        return (lo * (F.lit(1.0) - part) + hi * part).alias(name)
 
     return edges.select(*groups, *[between(n) for n in points])
