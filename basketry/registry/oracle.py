@@ -34,6 +34,18 @@ def pct(part: str, whole: str) -> str:
     )
 
 
+def interpolated(p: str) -> str:
+    """Continuous percentile from row places, in plain DOUBLE arithmetic.
+
+    ``quantile_cont`` gives the same number up to its last bit, which a value hash sees.
+    """
+    spot = f"(CAST({p} AS DOUBLE) * (n - 1))"
+    low = f"max(v) FILTER (WHERE place = floor({spot}) + 1)"
+    high = f"max(v) FILTER (WHERE place = ceil({spot}) + 1)"
+    part = f"max({spot} - floor({spot}))"
+    return f"{low} * (CAST(1 AS DOUBLE) - {part}) + {high} * {part}"
+
+
 SERIES = "customer_segment, loyalty_tier, primary_product_category"
 LINE_ID = key(
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -290,18 +302,24 @@ RELATIONS = {
                      sum(net_sales) AS category_lifetime_value,
                      max(order_date) AS last_order_date, min(order_date) AS first_order_date
               FROM enriched WHERE primary_product_category IS NOT NULL GROUP BY ALL)""",
+    "ltv_placed": """
+        SELECT *, CAST(category_lifetime_value AS DOUBLE) AS v,
+               row_number() OVER (PARTITION BY customer_segment, primary_product_category
+                                  ORDER BY category_lifetime_value) AS place,
+               count(*) OVER (PARTITION BY customer_segment, primary_product_category) AS n
+        FROM ltv""",
     "ltv_stats": f"""
         SELECT customer_segment, primary_product_category,
                count(DISTINCT customer_id) AS total_customers,
                {mean("category_lifetime_value")} AS avg_category_ltv,
-               quantile_cont(CAST(category_lifetime_value AS DOUBLE), 0.5) AS median_category_ltv,
-               quantile_cont(CAST(category_lifetime_value AS DOUBLE), 0.75) AS p75_category_ltv,
-               quantile_cont(CAST(category_lifetime_value AS DOUBLE), 0.9) AS p90_category_ltv,
-               quantile_cont(CAST(category_lifetime_value AS DOUBLE), 0.95) AS p95_category_ltv,
+               {interpolated("0.5")} AS median_category_ltv,
+               {interpolated("0.75")} AS p75_category_ltv,
+               {interpolated("0.9")} AS p90_category_ltv,
+               {interpolated("0.95")} AS p95_category_ltv,
                max(category_lifetime_value) AS max_category_ltv,
                {mean("orders_in_category")} AS avg_orders_per_customer,
                {mean("customer_tenure_days")} AS avg_tenure_days
-        FROM ltv GROUP BY customer_segment, primary_product_category""",
+        FROM ltv_placed GROUP BY customer_segment, primary_product_category""",
     "vip_demand": f"""
         SELECT *, CASE WHEN vip_customer_count >= 3 AND avg_vip_order_value >= 100
                        THEN 'High Opportunity'
