@@ -48,6 +48,16 @@ def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def within_key_range(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key lies between the smallest and largest key of ``keys``.
+
+    Drops only rows that cannot match.  The two bounds are literals, so the scan skips the
+    files and row groups outside them; ids that grow over time make that most of a table.
+    """
+    low, high = keys.agg(F.min(key), F.max(key)).first()
+    return df.limit(0) if low is None else df.where(F.col(key).between(low, high))
+
+
 def _months(df: DataFrame, month: str) -> set:
     """Distinct months: one value per partition of the table, so a short list."""
     return {row[0] for row in df.select(month).distinct().collect()}
@@ -75,14 +85,16 @@ def write_incremental(
     """
     spark = updates.sparkSession
     updates = updates.withColumn(month, month_start(date))
-    layout = list(sort_by) or list(keys)
+    # the keys come last, so rows that agree on ``sort_by`` can still be spread
+    layout = list(dict.fromkeys([*sort_by, *keys]))
     target = stored_table(spark, path)
     if target is None:
         return write_table(updates, path, partition_by=month, sort_by=layout)
 
     updates = stash(updates, "updates")
     target = target.withColumn(month, F.col(month).cast("date"))
-    old = target.select(*keys, month).join(updates.select(*keys), list(keys), "left_semi")
+    near = within_key_range(target.select(*keys, month), updates, keys[0])
+    old = near.join(updates.select(*keys), list(keys), "left_semi")
     gaining, losing = _months(updates, month), _months(old, month)
     affected = target.where(_in_months(month, gaining | losing))
     left_over = losing - gaining

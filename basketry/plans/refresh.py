@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.upsert import stored_table, window_floor, write_incremental
+from ..operators.upsert import (
+    stored_table,
+    window_floor,
+    within_key_range,
+    write_incremental,
+)
+from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
 from .metrics import order_metrics
-from .staging import Staged
 
 
 def orders_to_refresh(
@@ -37,7 +42,7 @@ def orders_to_refresh(
 
 def refresh_fct_orders(
     path: str,
-    staged: Staged,
+    staged: Relations,
     customers: DataFrame,
     days: int = 14,
     changed_order_ids: DataFrame | None = None,
@@ -56,7 +61,8 @@ def refresh_fct_orders(
     else:
         orders = stash(orders, "orders-to-refresh")
         ids = orders.select("order_id")
-        items = stash(staged.order_items.join(ids, "order_id", "left_semi"), "lines-to-refresh")
+        near = within_key_range(staged.order_items, ids, "order_id")
+        items = stash(near.join(ids, "order_id", "left_semi"), "lines-to-refresh")
     metrics = stash(order_metrics(orders, items, staged.returns), "refreshed-metrics")
     facts = fct_orders(metrics, customers, items, staged.products)
     return write_incremental(
@@ -65,19 +71,18 @@ def refresh_fct_orders(
 
 
 def orders_of_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
-    """Ids of the orders the given returns belong to."""
+    """Ids of the orders the given returns belong to.
+
+    The line ids are stored first: their size is then known when the join with the lines is
+    planned, so a small batch is broadcast instead of shuffling all lines.
+    """
+    named = stash(returns.select("order_item_id").distinct(), "returned-line-ids")
     lines = items.select("order_item_id", "order_id")
-    return returns.select("order_item_id").join(lines, "order_item_id").select("order_id").distinct()
+    return lines.join(named, "order_item_id", "left_semi").select("order_id").distinct()
 
 
-def load_facts_until(path: str, staged: Staged, customers: DataFrame, before: str) -> DataFrame:
+def load_facts_until(path: str, staged: Relations, customers: DataFrame, before: str) -> DataFrame:
     """First load of the fact table with the orders dated before ``before``."""
-    early = Staged(
-        users=staged.users,
-        products=staged.products,
-        orders=staged.orders.where(F.col("order_date") < F.lit(before).cast("date")),
-        order_items=staged.order_items,
-        returns=staged.returns,
-    )
-    return refresh_fct_orders(path, early, customers)
+    early = staged.orders.where(F.col("order_date") < F.lit(before).cast("date"))
+    return refresh_fct_orders(path, staged.replace(orders=early), customers)
 

@@ -6,12 +6,11 @@ that does not fit its type raises instead of turning into NULL.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, parse_date
+from ..relations import Relations
 from ..sources import RawTables
 
 
@@ -84,22 +83,12 @@ def stage_returns(raw: DataFrame, line_key: str = "bigint") -> DataFrame:
     )
 
 
-@dataclass
-class Staged:
+def stage_all(raw: RawTables) -> Relations:
     """The five staged relations (lazy; nothing is stored at this layer)."""
-
-    users: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    returns: DataFrame
-
-
-def stage_all(raw: RawTables) -> Staged:
-    return Staged(
-        users=stage_users(raw.users),
-        products=stage_products(raw.products),
-        orders=stage_orders(raw.orders),
-        order_items=stage_order_items(raw.order_items, raw.line_key),
-        returns=stage_returns(raw.returns, raw.line_key),
+    return Relations(
+        users=lambda: stage_users(raw.users),
+        products=lambda: stage_products(raw.products),
+        orders=lambda: stage_orders(raw.orders),
+        order_items=lambda: stage_order_items(raw.order_items, raw.line_key),
+        returns=lambda: stage_returns(raw.returns, raw.line_key),
     )

@@ -87,8 +87,9 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Rebuild every stored table under ``out`` and return the tables.
 
-    Each table is laid out by the columns it is usually filtered on.  Later tables read the
-    stored copies of earlier ones.
+    Each table is laid out by the columns it is usually filtered on; its key comes last, so a
+    large segment, category or day is spread over files.  Later tables read the stored
+    copies of earlier ones.
     """
     wh = Warehouse(raw, vip, growth)
     s = wh.staged
@@ -99,35 +100,36 @@ def build_warehouse(
         return stored[name]
 
     wh.order_metrics = store(
-        "order_metrics", wh.fresh_order_metrics(), sort_by=["order_date", "user_id"]
+        "order_metrics", wh.fresh_order_metrics(), sort_by=["order_date", "user_id", "order_id"]
     )
     lifetime = store(
-        "customer_lifetime", wh.fresh_customer_lifetime(), sort_by=["customer_segment"]
+        "customer_lifetime", wh.fresh_customer_lifetime(), sort_by=["customer_segment", "user_id"]
     )
     wh.dim_customers = store(
         "dim_customers",
         marts.dim_customers(lifetime, vip, growth),
-        sort_by=["customer_segment", "loyalty_tier"],
+        sort_by=["customer_segment", "loyalty_tier", "customer_id"],
     )
-    performance = store("product_performance", wh.product_performance, sort_by=["category"])
-    store("dim_products", marts.dim_products(s.products, performance), sort_by=["category"])
+    by_category = ["category", "product_id"]
+    performance = store("product_performance", wh.product_performance, sort_by=by_category)
+    store("dim_products", marts.dim_products(s.products, performance), sort_by=by_category)
     store(
         "mart_product_performance",
         marts.mart_product_performance(performance),
-        sort_by=["category"],
+        sort_by=by_category,
     )
     store("segment_performance", marts.segment_performance(wh.dim_customers))
     facts = store(
         "fct_orders",
         wh.fct_orders.withColumn("order_month", month_start("order_date")),
         partition_by="order_month",
-        sort_by=["order_date", "customer_id"],
+        sort_by=["order_date", "customer_id", "order_id"],
     )
     store("daily_revenue_summary", daily.daily_revenue_summary(facts), sort_by=["revenue_date"])
     store(
         "unified_transactions",
         marts.unified_transactions(facts, s.returns, s.order_items),
-        sort_by=["transaction_date"],
+        sort_by=["transaction_date", "transaction_id"],
     )
     if as_of is not None:
         store(

@@ -26,7 +26,7 @@ from ..operators.relational import (
 from ..operators.series import rolling_avg, rolling_sum
 from ..operators.upsert import reprocess_window, upsert
 from ..plans import daily, insight, marts, metrics, quality, refresh
-from ..plans.staging import Staged, stage_orders
+from ..plans.staging import stage_orders
 from ..plans.warehouse import Warehouse
 from ..session import fresh_path, stash, tune
 from ..sources import as_view, from_star, read_raw, write_table
@@ -511,13 +511,7 @@ def fct_orders_stream(wh):
     path, inbox = fresh_path(spark, "fct-orders"), fresh_path(spark, "inbox")
     s = wh.staged
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
-    early = Staged(
-        s.users,
-        s.products,
-        s.orders,
-        s.order_items,
-        s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")),
-    )
+    early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
     refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF)
     schema = write_table(late.select("return_id", "order_item_id"), inbox).schema
     arriving = spark.readStream.schema(schema).parquet(inbox)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -43,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a folder on this machine; on a cluster
     an unset folder is an error, because other hosts could not read what is written.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -51,6 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     global _local_dir
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="basketry-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 

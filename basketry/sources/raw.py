@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import MONEY, surrogate_key
+from ..relations import Relations
 
 # The columns of each raw extract, in file order.
 RAW_COLUMNS = {
@@ -25,16 +27,12 @@ RAW_COLUMNS = {
 }
 
 
-@dataclass
-class RawTables:
+class RawTables(Relations):
     """The five raw relations.  ``line_key`` is the type of order-line and return ids."""
 
-    users: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    returns: DataFrame
-    line_key: str = "bigint"
+    def __init__(self, line_key: str = "bigint", **builders: Callable[[], DataFrame]):
+        super().__init__(**builders)
+        self.line_key = line_key
 
 
 def read_raw(spark: SparkSession, folder: str, table: str, prefix: str = "raw_") -> DataFrame:
@@ -51,7 +49,9 @@ def read_raw(spark: SparkSession, folder: str, table: str, prefix: str = "raw_")
 
 
 def raw_extracts(spark: SparkSession, folder: str, prefix: str = "raw_") -> RawTables:
-    return RawTables(**{t: read_raw(spark, folder, t, prefix) for t in RAW_COLUMNS})
+    return RawTables(
+        **{t: (lambda t=t: read_raw(spark, folder, t, prefix)) for t in RAW_COLUMNS}
+    )
 
 
 def source(
@@ -92,40 +92,32 @@ def _line_id() -> Column:
     )
 
 
-def from_star(spark: SparkSession, folder: str) -> RawTables:
-    """The five raw relations read from a customer/part/orders/lineitem star schema.
+def _users(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    country = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return customer.join(country, "c_nationkey", "left").select(
+        F.col("c_custkey").alias("user_id"),
+        F.concat("c_name", F.lit("@Example.com")).alias("email"),
+        F.lit(None).cast("string").alias("signup_date"),
+        F.col("n_name").alias("country"),
+        F.col("c_mktsegment").alias("customer_segment"),
+        F.lit(None).cast("timestamp").alias("ingested_at"),
+    )
 
-    Lines flagged as returned supply the returns; the order status letter supplies the
-    status; order and ship dates stand in for the load time.
-    """
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    no_time = F.lit(None).cast("timestamp")
-    nation = table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    users = (
-        table("customer")
-        .join(nation, "c_nationkey", "left")
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            F.concat("c_name", F.lit("@Example.com")).alias("email"),
-            F.lit(None).cast("string").alias("signup_date"),
-            F.col("n_name").alias("country"),
-            F.col("c_mktsegment").alias("customer_segment"),
-            no_time.alias("ingested_at"),
-        )
-    )
-    products = table("part").select(
+def _products(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.lit(None).cast("bigint").alias("supplier_id"),
         _cents("p_retailprice").alias("cost"),
-        no_time.alias("ingested_at"),
+        F.lit(None).cast("timestamp").alias("ingested_at"),
     )
+
+
+def _orders(orders: DataFrame) -> DataFrame:
     status = F.col("o_orderstatus")
-    orders = table("orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -137,25 +129,48 @@ def from_star(spark: SparkSession, folder: str) -> RawTables:
         _cents("o_totalprice").alias("total_amount"),
         F.col("o_orderdate").cast("timestamp").alias("ingested_at"),
     )
-    lines = table("lineitem")
-    loaded = F.col("l_shipdate").cast("timestamp").alias("ingested_at")
-    order_items = lines.select(
+
+
+def _order_items(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         _line_id().alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         _unit_price().alias("price"),
-        loaded,
+        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
     )
+
+
+def _returns(lineitem: DataFrame) -> DataFrame:
     kept_share = F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
-    returns = lines.where(F.col("l_returnflag") == "R").select(
+    reason = F.when(F.col("l_linestatus") == "O", "Defective").otherwise("Changed_Mind")
+    return lineitem.where(F.col("l_returnflag") == "R").select(
         _line_id().alias("return_id"),
         _line_id().alias("order_item_id"),
         F.col("l_shipdate").cast("date").alias("return_date"),
-        F.when(F.col("l_linestatus") == "O", "Defective")
-        .otherwise("Changed_Mind")
-        .alias("return_reason"),
+        reason.alias("return_reason"),
         (_cents("l_extendedprice") * kept_share).alias("refund_amount"),
-        loaded,
+        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+    )
+
+
+def from_star(spark: SparkSession, folder: str) -> RawTables:
+    """The five raw relations read from a customer/part/orders/lineitem star schema.
+
+    Lines flagged as returned supply the returns; the order status letter supplies the
+    status; order and ship dates stand in for the load time.
+    """
+
+    @cache
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    return RawTables(
+        line_key="string",
+        users=lambda: _users(table("customer"), table("nation")),
+        products=lambda: _products(table("part")),
+        orders=lambda: _orders(table("orders")),
+        order_items=lambda: _order_items(table("lineitem")),
+        returns=lambda: _returns(table("lineitem")),
     )
-    return RawTables(users, products, orders, order_items, returns, line_key="string")

@@ -29,7 +29,8 @@ def write_table(
     ``sort_by`` range-partitions and sorts the rows, so row groups carry narrow min/max
     ranges and scans can skip them.  Rows are ranged on the partition columns first and
     then on ``sort_by``: a large partition is spread over several tasks and files, while a
-    small one lands in one file.
+    small one lands in one file.  End ``sort_by`` with a key: rows that agree on all of its
+    columns stay in one task.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     layout = [*parts, *[c for c in sort_by if c not in parts]]

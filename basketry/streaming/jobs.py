@@ -8,14 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import write_incremental
 from ..plans.refresh import orders_of_returns, refresh_fct_orders
-from ..plans.staging import Staged
+from ..relations import Relations
 
 
 def refresh_fct_orders_stream(
     arriving: DataFrame,
     path: str,
     checkpoint: str,
-    staged: Staged,
+    staged: Relations,
     customers: DataFrame,
     days: int = 14,
 ) -> StreamingQuery:

@@ -1,6 +1,7 @@
 """A small shop with the edge cases regular data lacks."""
 
-from basketry.plans.staging import Staged, stage_all
+from basketry.plans.staging import stage_all
+from basketry.relations import Relations
 from basketry.sources import RawTables
 
 T0 = "2024-03-01"
@@ -51,13 +52,13 @@ def raw(spark) -> RawTables:
         return spark.createDataFrame(data, schema)
 
     return RawTables(
-        frame("users", USERS),
-        frame("products", PRODUCTS),
-        frame("orders", ORDERS),
-        frame("order_items", ITEMS),
-        frame("returns", RETURNS),
+        users=lambda: frame("users", USERS),
+        products=lambda: frame("products", PRODUCTS),
+        orders=lambda: frame("orders", ORDERS),
+        order_items=lambda: frame("order_items", ITEMS),
+        returns=lambda: frame("returns", RETURNS),
     )
 
 
-def staged(spark) -> Staged:
+def staged(spark) -> Relations:
     return stage_all(raw(spark))

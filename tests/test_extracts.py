@@ -28,7 +28,7 @@ def test_quoted_extracts_with_either_line_end(spark, tmp_path):
     write_csv(tmp_path, "order_items", shop.ITEMS)
     write_csv(tmp_path, "returns", shop.RETURNS)
     wh = Warehouse(raw_extracts(spark, str(tmp_path)))
-    assert [t.count() for t in vars(wh.staged).values()] == [4, 4, 7, 8, 3]
+    assert [t.count() for _, t in wh.staged.items()] == [4, 4, 7, 8, 3]
     assert wh.staged.users.where("user_id = 1").first().customer_segment == "PREMIUM"
     assert wh.fct_orders.count() == 7
 
@@ -58,6 +58,6 @@ def test_published_totals(spark):
     assert bands == {"LOYAL": 1, "ACTIVE": 37, "NEW": 2}
     assert marts.segment_performance(dim).count() == 7
     assert wh.product_performance.where("orders_sold = 0").count() == 12
-    staged = {f"stg_{n}": df for n, df in vars(wh.staged).items()}
+    staged = {f"stg_{n}": df for n, df in wh.staged.items()}
     report = quality.run_checks(staged)
     assert report.where("status = 'fail'").count() == 0

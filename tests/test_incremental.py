@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from basketry.operators.history import scd2_from_snapshots, scd2_merge, scd2_start
 from basketry.operators.upsert import reprocess_window, stored_table, upsert, write_incremental
 from basketry.plans.refresh import load_facts_until, orders_of_returns, refresh_fct_orders
-from basketry.plans.staging import Staged
 from basketry.plans.warehouse import Warehouse
 from basketry.session import fresh_path
 from basketry.streaming.jobs import daily_revenue_stream, event_stream, refresh_fct_orders_stream
@@ -98,7 +97,7 @@ def test_first_refresh_is_a_full_load(spark, wh):
 
 
 def without_returns(s):
-    return Staged(s.users, s.products, s.orders, s.order_items, s.returns.limit(0))
+    return s.replace(returns=s.returns.limit(0))
 
 
 def test_late_returns_need_their_order_ids(spark, wh):
