@@ -39,7 +39,8 @@ def scd2_merge(
 
     A changed key closes its current row at ``as_of`` and opens a new one; a new key opens
     one; a key missing from the snapshot stays current unless ``close_missing``.  Current
-    rows meet the snapshot in one full outer join, each pair giving one or two rows.
+    rows meet the snapshot in one full outer join, each pair giving one or two rows; closed
+    rows pass by the join.  ``history`` is read twice and should be a stored table.
     """
     columns = snapshot.columns
     day = F.lit(str(as_of)).cast("date")

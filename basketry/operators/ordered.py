@@ -146,7 +146,11 @@ def add_rank(
 
 
 def add_group_total(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` over the row's group, by aggregate and join instead of a window."""
+    """Sum of ``value`` over the row's group, by aggregate and join instead of a window.
+
+    No group is gathered in one task.  The frame is read twice, so store it first if it is
+    costly.
+    """
     key = _group_key(groups)
     totals = df.groupBy(key.alias("_group")).agg(F.sum(value).alias(name))
     return df.withColumn("_group", key).join(totals, "_group").drop("_group")

@@ -54,7 +54,8 @@ def lag_value(
 def days_since_start(df: DataFrame, parts: Sequence[str], date: str, name: str) -> DataFrame:
     """Days since the first date of the series the row belongs to.
 
-    The first dates are aggregated and joined back; the struct key matches NULLs too.
+    The first dates are aggregated and joined back; the struct key matches NULLs too.  The
+    frame is read twice, so store it first if it is costly.
     """
     key = F.struct(*parts)
     starts = df.groupBy(key.alias("_series")).agg(F.min(date).alias("_start"))

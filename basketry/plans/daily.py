@@ -16,6 +16,7 @@ from ..functions import (
     week_start,
 )
 from ..operators.series import days_since_start, densify_days, rolling_avg, rolling_sum
+from ..session import stash
 
 DIMS = ["customer_segment", "loyalty_tier", "primary_product_category"]
 _COUNTS = ["order_count", "unique_customers", "total_units_sold"]
@@ -73,6 +74,7 @@ def daily_on_spine(
     ``start`` is included and ``end`` excluded; both default to the range of the data.
     By default a day without orders gives one row without dimensions.  ``dense`` instead
     gives every series a row for every day, so that rolling rows are rolling days.
+    ``daily`` is read up to four times: pass a stored frame, not one still to be computed.
     """
     spine = _spine(daily, start, end)
     if dense:
@@ -103,9 +105,11 @@ def daily_revenue_summary(
 ) -> DataFrame:
     """Daily revenue per series with 7-row mean, 30-row total and days since the start.
 
+    The facts are aggregated once and stored; everything after that works on daily rows.
     A series has at most one row per day, so the windows are as long as the calendar.
     """
-    daily = daily_on_spine(daily_revenue(facts), start, end, dense)
+    per_day = stash(daily_revenue(facts), "daily-revenue")
+    daily = daily_on_spine(per_day, start, end, dense)
     out = rolling_avg(daily, DIMS, ["revenue_date"], "total_revenue", "revenue_7day_avg", 7)
     out = rolling_sum(out, DIMS, ["revenue_date"], "total_revenue", "revenue_30day_total", 30)
     out = days_since_start(

@@ -64,9 +64,19 @@ def in_range(column: str, low=None, high=None, inclusive: bool = True) -> RowRul
     return RowRule("accepted_range", column, c.out_of_range(column, low, high, inclusive))
 
 
+def amounts_agree(column: str, expected: str) -> RowRule:
+    off = F.abs(F.col(column) - F.expr(expected))
+    return RowRule("expression", column, off > c.TOLERANCE)
+
+
 def declared_rules(segments: Sequence[str] = SEGMENTS) -> dict[str, list]:
     """The checks of each relation.  Call with a live session: rules hold columns."""
     return {
+        "raw_users": not_null("user_id", "email"),
+        "raw_products": not_null("product_id"),
+        "raw_orders": not_null("order_id", "order_date"),
+        "raw_order_items": not_null("order_item_id"),
+        "raw_returns": not_null("return_id"),
         "stg_users": [
             Unique(["user_id"]),
             *not_null("user_id", "email"),
@@ -91,6 +101,7 @@ def declared_rules(segments: Sequence[str] = SEGMENTS) -> dict[str, list]:
             Reference("product_id", "stg_products", "product_id"),
             in_range("quantity", low=1),
             in_range("unit_price", low=0),
+            amounts_agree("gross_item_sales", "quantity * unit_price"),
         ],
         "stg_returns": [
             Unique(["return_id"]),
@@ -100,7 +111,11 @@ def declared_rules(segments: Sequence[str] = SEGMENTS) -> dict[str, list]:
             accepted("return_reason", REASONS),
             in_range("refund_amount", low=0),
         ],
-        "order_metrics": [Unique(["order_id"]), *not_null("order_id", "user_id")],
+        "order_metrics": [
+            Unique(["order_id"]),
+            *not_null("order_id", "user_id"),
+            amounts_agree("net_sales", "gross_item_sales - total_refund_amount"),
+        ],
         "customer_lifetime": [Unique(["user_id"]), *not_null("user_id")],
         "product_performance": [Unique(["product_id"]), *not_null("product_id")],
         "fct_orders": [

@@ -172,6 +172,21 @@ RELATIONS = {
               LEFT JOIN (SELECT product_id, count(return_id) AS n, sum(quantity) AS units,
                                 sum(refund_amount) AS refund
                          FROM returned GROUP BY product_id) b ON b.product_id = p.product_id)""",
+    "rated": f"""
+        SELECT *, {ratio("units_returned", "total_units_sold")} AS return_rate,
+               {ratio("gross_profit_after_returns", "gross_sales")}
+                   AS profit_margin_after_returns,
+               {ratio("gross_profit_after_returns", "estimated_cogs", "NULL")}
+                   AS roi_after_returns
+        FROM products_perf""",
+    "ledger": """
+        SELECT CAST(order_id AS VARCHAR) AS transaction_id, order_date AS transaction_date,
+               user_id AS customer_id, 'order' AS transaction_type,
+               net_sales AS transaction_amount
+        FROM metrics WHERE is_completed
+        UNION ALL
+        SELECT r.return_id, r.return_date, o.user_id, 'return', -r.refund_amount
+        FROM returned r JOIN s_orders o ON o.order_id = r.order_id""",
     "sold": """
         SELECT i.order_id, p.product_id, p.product_name, p.category,
                sum(i.quantity) AS units, sum(i.gross_item_sales) AS sales
@@ -503,6 +518,10 @@ ROW_PARTS = [
      "status NOT IN ('completed', 'cancelled', 'pending', 'processing')"),
     ("stg_order_items", "accepted_range", "quantity", "quantity < 1"),
     ("stg_order_items", "accepted_range", "unit_price", "unit_price < 0"),
+    ("stg_order_items", "expression", "gross_item_sales",
+     "abs(gross_item_sales - quantity * unit_price) > 0.01"),
+    ("order_metrics", "expression", "net_sales",
+     "abs(net_sales - (gross_item_sales - total_refund_amount)) > 0.01"),
     ("stg_returns", "accepted_values", "return_reason",
      "return_reason NOT IN ('defective', 'changed_mind', 'wrong_item', 'damaged_shipping')"),
     ("stg_returns", "accepted_range", "refund_amount", "refund_amount < 0"),
@@ -515,15 +534,85 @@ PARENT_PARTS = [
 ]
 
 
+RAW_PARTS = {
+    "raw_users": ("s_users", "user_id email"),
+    "raw_products": ("s_products", "product_id"),
+    "raw_orders": ("s_orders", "order_id order_date"),
+    "raw_order_items": ("s_items", "order_item_id"),
+    "raw_returns": ("s_returns", "return_id"),
+}
+MART_PARTS = [
+    ("customer_lifetime", "lifetime", "user_id", "user_id", []),
+    ("product_performance", "products_perf", "product_id", "product_id", []),
+    ("dim_customers", "dim", "customer_id", "customer_id", [
+        ("accepted_values", "loyalty_tier",
+         "loyalty_tier NOT IN ('VIP', 'GROWTH', 'NEW', 'PROSPECT')"),
+        ("accepted_values", "engagement_band",
+         "engagement_band NOT IN ('LOYAL', 'ACTIVE', 'NEW', 'INACTIVE')")]),
+    ("fct_orders", "facts", "order_id", "order_id customer_id", [
+        ("relationships", "customer_id",
+         "customer_id NOT IN (SELECT customer_id FROM dim)")]),
+    ("mart_product_performance", "rated", "product_id", "product_id", [
+        ("accepted_range", "return_rate", "return_rate < 0 OR return_rate > 1"),
+        ("accepted_range", "profit_margin_after_returns",
+         "profit_margin_after_returns < -1 OR profit_margin_after_returns > 1")]),
+    ("segment_performance", "segments", "customer_segment,loyalty_tier",
+     "customer_segment loyalty_tier", [
+        ("accepted_range", "active_customer_ratio",
+         "active_customer_ratio < 0 OR active_customer_ratio > 1")]),
+    ("daily_revenue_summary", "filled", "daily_revenue_key", "revenue_date", [
+        ("accepted_range", "order_count", "order_count < 0")]),
+    ("unified_transactions", "ledger", None, "transaction_id transaction_date", [
+        ("accepted_values", "transaction_type",
+         "transaction_type NOT IN ('order', 'return')")]),
+]
+
+
+def one_check(table: str, check: str, column: str, violations: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
+        f"'{column}' AS column_name, ({violations}) AS violations"
+    )
+
+
+def repeated(relation: str, columns: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT {columns} FROM {relation} GROUP BY {columns} "
+        "HAVING count(*) > 1)"
+    )
+
+
+def check_report(parts: list[str]) -> str:
+    return ask(
+        "table_name check_name column_name violations# status",
+        "FROM (SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status "
+        f"FROM ({' UNION ALL '.join(parts)}))",
+    )
+
+
+def marts_quality_sql() -> str:
+    parts = []
+    for table, relation, unique, required, rules in MART_PARTS:
+        if unique:
+            parts.append(one_check(table, "unique", unique, repeated(relation, unique)))
+        for name in required.split():
+            found = f"SELECT count(*) FROM {relation} WHERE {name} IS NULL"
+            parts.append(one_check(table, "not_null", name, found))
+        for check, column, broken in rules:
+            found = f"SELECT count(*) FROM {relation} WHERE {broken}"
+            parts.append(one_check(table, check, column, found))
+    return check_report(parts)
+
+
 def quality_sql() -> str:
     parts = []
 
     def add(table: str, check: str, column: str, violations: str) -> None:
-        parts.append(
-            f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
-            f"'{column}' AS column_name, ({violations}) AS violations"
-        )
+        parts.append(one_check(table, check, column, violations))
 
+    for table, (relation, names) in RAW_PARTS.items():
+        for name in names.split():
+            add(table, "not_null", name, f"SELECT count(*) FROM {relation} WHERE {name} IS NULL")
     for table, (relation, col) in UNIQUE_PARTS.items():
         add(table, "unique", col,
             f"SELECT count(*) FROM (SELECT {col} FROM {relation} WHERE {col} IS NOT NULL "
@@ -537,16 +626,14 @@ def quality_sql() -> str:
         add(table, "relationships", col,
             f"SELECT count(*) FROM {UNIQUE_PARTS[table][0]} c WHERE c.{col} IS NOT NULL AND "
             f"NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
-    return ask(
-        "table_name check_name column_name violations# status",
-        "FROM (SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status "
-        f"FROM ({' UNION ALL '.join(parts)}))",
-    )
+    return check_report(parts)
 
 
 def freshness_sql(as_of: str) -> str:
     parts = []
     for name, relation, warn, error in (
+        ("users", "s_users", 7, 14),
+        ("products", "s_products", 30, 60),
         ("orders", "s_orders", 3, 7),
         ("order_items", "s_items", 3, 7),
         ("returns", "s_returns", 7, 14),
@@ -564,13 +651,15 @@ def freshness_sql(as_of: str) -> str:
     )
 
 
-ROLLING = """FROM (SELECT order_date, total_revenue,
-    CAST(sum(total_revenue) OVER (ORDER BY order_date ROWS 6 PRECEDING) AS DOUBLE)
-        / CAST(count(*) OVER (ORDER BY order_date ROWS 6 PRECEDING) AS DOUBLE)
-        AS revenue_7day_avg,
-    sum(total_revenue) OVER (ORDER BY order_date ROWS 29 PRECEDING) AS revenue_30day_total
-  FROM (SELECT order_date, sum(net_sales) AS total_revenue FROM metrics
-        WHERE is_completed GROUP BY order_date))"""
+ROLLING = """FROM (SELECT *,
+    CAST(sum(total_revenue) OVER (series ROWS 6 PRECEDING) AS DOUBLE)
+        / CAST(count(*) OVER (series ROWS 6 PRECEDING) AS DOUBLE) AS revenue_7day_avg,
+    sum(total_revenue) OVER (series ROWS 29 PRECEDING) AS revenue_30day_total,
+    sum(total_revenue) OVER (series ROWS UNBOUNDED PRECEDING) AS running_revenue,
+    lag(total_revenue) OVER series AS previous_revenue
+  FROM (SELECT status, order_date, sum(net_sales) AS total_revenue FROM metrics
+        GROUP BY status, order_date)
+  WINDOW series AS (PARTITION BY status ORDER BY order_date))"""
 
 ORACLE_SQL = {
     "stg_users": ask(USERS, "FROM s_users"),
@@ -599,10 +688,7 @@ ORACLE_SQL = {
     "product_performance": ask(PERFORMANCE, "FROM products_perf"),
     "mart_product_performance": ask(
         f"{PERFORMANCE} return_rate$ profit_margin_after_returns$ roi_after_returns$",
-        f"""FROM (SELECT *, {ratio("units_returned", "total_units_sold")} AS return_rate,
-            {ratio("gross_profit_after_returns", "gross_sales")} AS profit_margin_after_returns,
-            {ratio("gross_profit_after_returns", "estimated_cogs", "NULL")}
-                AS roi_after_returns FROM products_perf)""",
+        "FROM rated",
     ),
     "dim_products": ask(
         "product_id product_name category supplier_id# unit_cost$ orders_sold# "
@@ -649,8 +735,44 @@ ORACLE_SQL = {
             LEFT JOIN per_day ON order_date = d)""",
     ),
     "daily_revenue_dense": ask(DAY_ROW, "FROM dense"),
-    "rolling_7day_avg": ask("order_date@ total_revenue$ revenue_7day_avg$", ROLLING),
-    "rolling_30day_total": ask("order_date@ total_revenue$ revenue_30day_total$", ROLLING),
+    "rolling_7day_avg": ask("status order_date@ total_revenue$ revenue_7day_avg$", ROLLING),
+    "rolling_30day_total": ask(
+        "status order_date@ total_revenue$ revenue_30day_total$", ROLLING
+    ),
+    "running_total_and_lag": ask(
+        "status order_date@ total_revenue$ running_revenue$ previous_revenue$", ROLLING
+    ),
+    "days_since_segment_start": ask(
+        "customer_segment order_date@ days_since_segment_start#",
+        """FROM (SELECT DISTINCT customer_segment, order_date,
+                  date_diff('day', min(order_date) OVER (PARTITION BY customer_segment),
+                            order_date) AS days_since_segment_start
+           FROM s_orders o JOIN s_users u ON u.user_id = o.user_id WHERE is_completed)""",
+    ),
+    "customer_revenue_share": ask(
+        "customer_id customer_segment lifetime_revenue$ pct_of_segment$ cumulative_pct$",
+        """FROM (SELECT *,
+              CAST(lifetime_revenue AS DOUBLE) * 100.0 / CAST(whole AS DOUBLE)
+                  AS pct_of_segment,
+              CAST(sum(lifetime_revenue) OVER (
+                       PARTITION BY customer_segment
+                       ORDER BY lifetime_revenue DESC, customer_id
+                       ROWS UNBOUNDED PRECEDING) AS DOUBLE) * 100.0 / CAST(whole AS DOUBLE)
+                  AS cumulative_pct
+            FROM (SELECT *, sum(lifetime_revenue) OVER (PARTITION BY customer_segment) AS whole
+                  FROM dim WHERE is_active_customer))""",
+    ),
+    "segment_share_of_tier": ask(
+        "customer_segment loyalty_tier total_segment_revenue$ pct_of_tier$",
+        """FROM (SELECT *, CASE WHEN whole <> 0 THEN
+                  CAST(total_segment_revenue AS DOUBLE) * 100.0 / CAST(whole AS DOUBLE)
+              END AS pct_of_tier
+            FROM (SELECT *, sum(total_segment_revenue) OVER (PARTITION BY loyalty_tier)
+                      AS whole FROM segments))""",
+    ),
+    "recent_orders": ask(
+        f"{ORDERS} ingested_at@", "FROM s_orders WHERE order_date >= DATE '2001-02-01'"
+    ),
     "daily_revenue_summary": summary("filled"),
     "daily_revenue_summary_dense": summary("dense"),
     "weekly_revenue": ask(
@@ -665,15 +787,8 @@ ORACLE_SQL = {
     "unified_transactions": ask(
         "transaction_id transaction_date@ customer_id transaction_type transaction_amount$ "
         "effective_date@ source_table",
-        """FROM (SELECT *, transaction_date AS effective_date,
-                        'unified_transactions' AS source_table FROM (
-             SELECT CAST(order_id AS VARCHAR) AS transaction_id,
-                    order_date AS transaction_date, user_id AS customer_id,
-                    'order' AS transaction_type, net_sales AS transaction_amount
-             FROM metrics WHERE is_completed
-             UNION ALL
-             SELECT r.return_id, r.return_date, o.user_id, 'return', -r.refund_amount
-             FROM returned r JOIN s_orders o ON o.order_id = r.order_id))""",
+        "FROM (SELECT *, transaction_date AS effective_date, "
+        "'unified_transactions' AS source_table FROM ledger)",
     ),
     "union_orders_returns": ask(
         "order_id user_id order_date@ status is_completed total_amount$ return_id order_item_id "
@@ -826,6 +941,7 @@ ORACLE_SQL = {
             WHERE value < lower_bound OR value > upper_bound""",
     ),
     "quality_report": quality_sql(),
+    "quality_report_marts": marts_quality_sql(),
     "reprocess_window_orders": ask(
         f"{ORDERS} ingested_at@",
         "FROM s_orders WHERE order_date >= (SELECT max(order_date) FROM s_orders "

@@ -12,18 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import date_bounds, date_spine, surrogate_key
+from ..functions import date_bounds, date_spine, recent_months, surrogate_key
 from ..operators import checks
 from ..operators.history import scd2_from_snapshots, scd2_merge, scd2_start
 from ..operators.relational import (
     column_values,
+    pareto_shares,
     pivot_sum,
+    share_of_total,
     top_k_by_rank,
     top_n,
     union_relations,
     unpivot,
 )
-from ..operators.series import rolling_avg, rolling_sum
+from ..operators.series import (
+    days_since_start,
+    lag_value,
+    rolling_avg,
+    rolling_sum,
+    running_total,
+)
 from ..operators.upsert import reprocess_window, upsert
 from ..plans import daily, insight, marts, metrics, quality, refresh
 from ..plans.staging import stage_orders
@@ -211,7 +219,8 @@ def date_spine_orders(wh):
 
 
 def _daily(wh, **options):
-    return daily.daily_on_spine(daily.daily_revenue(wh.fct_orders), **options)
+    per_day = stash(daily.daily_revenue(wh.fct_orders), "daily-revenue")
+    return daily.daily_on_spine(per_day, **options)
 
 
 @query
@@ -229,22 +238,39 @@ def daily_revenue_dense(wh):
     return _daily(wh, dense=True)
 
 
-def _daily_total(wh):
-    """Revenue per day over all series, which needs no dimension."""
-    done = wh.fresh_order_metrics().where("is_completed")
-    return done.groupBy("order_date").agg(F.sum("net_sales").alias("total_revenue"))
+def _daily_by_status(wh):
+    """Revenue per status and day: a series per status, as long as the calendar."""
+    by_day = wh.fresh_order_metrics().groupBy("status", "order_date")
+    return by_day.agg(F.sum("net_sales").alias("total_revenue"))
+
+
+STATUS_SERIES = (["status"], ["order_date"], "total_revenue")
 
 
 @query
 def rolling_7day_avg(wh):
-    return rolling_avg(_daily_total(wh), [], ["order_date"], "total_revenue", "revenue_7day_avg")
+    return rolling_avg(_daily_by_status(wh), *STATUS_SERIES, "revenue_7day_avg")
 
 
 @query
 def rolling_30day_total(wh):
-    return rolling_sum(
-        _daily_total(wh), [], ["order_date"], "total_revenue", "revenue_30day_total"
+    return rolling_sum(_daily_by_status(wh), *STATUS_SERIES, "revenue_30day_total")
+
+
+@query
+def running_total_and_lag(wh):
+    daily_rows = _daily_by_status(wh)
+    running = running_total(daily_rows, *STATUS_SERIES, "running_revenue")
+    return lag_value(running, *STATUS_SERIES, "previous_revenue")
+
+
+@query
+def days_since_segment_start(wh):
+    first_day = wh.staged.orders.where("is_completed").join(
+        wh.staged.users.select("user_id", "customer_segment"), "user_id"
     )
+    days = first_day.select("customer_segment", "order_date").distinct()
+    return days_since_start(days, ["customer_segment"], "order_date", "days_since_segment_start")
 
 
 @query
@@ -345,6 +371,38 @@ def ltv_statistics(wh):
     return insight.ltv_statistics(insight.customer_category_value(wh.enriched_orders))
 
 
+@query
+def customer_revenue_share(wh):
+    """Share and running share of each customer in the revenue of the segment."""
+    active = _dim(wh).where("is_active_customer").select(
+        "customer_id", "customer_segment", "lifetime_revenue"
+    )
+    by_revenue = [F.desc("lifetime_revenue"), F.asc("customer_id")]
+    return pareto_shares(
+        active,
+        ["customer_segment"],
+        by_revenue,
+        "lifetime_revenue",
+        share="pct_of_segment",
+        cumulative="cumulative_pct",
+    )
+
+
+@query
+def segment_share_of_tier(wh):
+    """Share of each segment in the revenue of its loyalty tier."""
+    totals = marts.segment_performance(_dim(wh)).select(
+        "customer_segment", "loyalty_tier", "total_segment_revenue"
+    )
+    totals = stash(totals, "segment-totals")
+    return share_of_total(totals, ["loyalty_tier"], "total_segment_revenue", "pct_of_tier")
+
+
+@query
+def recent_orders(wh):
+    return recent_months(wh.staged.orders, "order_date", AS_OF, 6)
+
+
 @query
 def high_value_opportunities(wh):
     return insight.high_value_opportunities(wh.enriched_orders)
@@ -421,9 +479,8 @@ def check_gross_sales(wh):
 
 @query
 def check_freshness(wh):
-    raw = wh.raw
-    loaded = {"orders": raw.orders, "order_items": raw.order_items, "returns": raw.returns}
-    return quality.freshness_report(loaded, as_of="2001-11-09")
+    """Users and products carry no load time in the test tables, which is an error."""
+    return quality.freshness_report(dict(wh.raw.items()), as_of="2001-11-09")
 
 
 @query
@@ -455,17 +512,29 @@ def check_distribution(wh):
 
 @query
 def quality_report(wh):
-    """All declared checks of the staged relations and the order metrics."""
-    s = wh.staged
+    """All declared checks of the raw and staged relations and the order metrics."""
+    tables = {f"raw_{name}": df for name, df in wh.raw.items()}
+    tables |= {f"stg_{name}": df for name, df in wh.staged.items()}
+    tables["order_metrics"] = wh.order_metrics
+    return quality.run_checks(tables, quality.declared_rules(STAR_SEGMENTS))
+
+
+@query
+def quality_report_marts(wh):
+    """All declared checks of the dimensions, facts and marts."""
+    facts = stash(wh.fct_orders, "fct-orders")
+    performance = stash(wh.product_performance, "product-performance")
     tables = {
-        "stg_users": s.users,
-        "stg_products": s.products,
-        "stg_orders": s.orders,
-        "stg_order_items": s.order_items,
-        "stg_returns": s.returns,
-        "order_metrics": wh.order_metrics,
+        "customer_lifetime": wh.fresh_customer_lifetime(),
+        "product_performance": performance,
+        "dim_customers": wh.dim_customers,
+        "fct_orders": facts,
+        "mart_product_performance": marts.mart_product_performance(performance),
+        "segment_performance": marts.segment_performance(wh.dim_customers),
+        "daily_revenue_summary": daily.daily_revenue_summary(facts),
+        "unified_transactions": wh.unified_transactions,
     }
-    return quality.run_checks(tables, quality.declared_rules(STAR_SEGMENTS))
+    return quality.run_checks(tables)
 
 
 # --- incremental, stored and streaming ----------------------------------------------------
@@ -590,11 +659,15 @@ def product_cost_merge(wh):
         top = seen.where(inside).groupBy("product_id")
         return top.agg(F.max("unit_cost").alias("unit_cost"))
 
-    history = scd2_start(snapshot("1995-01-01", "1997-01-01"), "1997-01-01")
+    history = stash(scd2_start(snapshot("1995-01-01", "1997-01-01"), "1997-01-01"), "history")
     history = scd2_merge(
         history, snapshot("1997-01-01", "1999-01-01"), "product_id", ["unit_cost"], "1999-01-01"
     )
     return scd2_merge(
-        history, snapshot("1999-01-01", "2002-01-01"), "product_id", ["unit_cost"], "2002-01-01",
+        stash(history, "history"),
+        snapshot("1999-01-01", "2002-01-01"),
+        "product_id",
+        ["unit_cost"],
+        "2002-01-01",
         close_missing=True,
-    )
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +18,7 @@ def refresh_fct_orders_stream(
     path: str,
     checkpoint: str,
     staged: Relations,
-    customers: DataFrame,
+    customers: DataFrame | Callable[[], DataFrame],
     days: int = 14,
 ) -> StreamingQuery:
     """Refresh the fact table for each batch of arriving orders or returns.
@@ -25,6 +27,7 @@ def refresh_fct_orders_stream(
     only says which orders to rebuild; their rows come from the staged relations.  The
     merge is keyed, so a batch that is replayed after a failure changes nothing.  The
     rolling window stays a batch filter: it is bound by the target, not by the stream.
+    Pass ``customers`` as a function to read the dimension anew for each batch.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
@@ -32,7 +35,8 @@ def refresh_fct_orders_stream(
             ids = batch.select("order_id")
         else:
             ids = orders_of_returns(batch, staged.order_items)
-        refresh_fct_orders(path, staged, customers, days, changed_order_ids=ids)
+        dim = customers() if callable(customers) else customers
+        refresh_fct_orders(path, staged, dim, days, changed_order_ids=ids)
 
     return (
         arriving.writeStream.foreachBatch(merge)

@@ -128,6 +128,25 @@ def test_stream_of_returns_refreshes_facts(spark, wh):
     assert order_level(spark.read.parquet(path)) == order_level(wh.fct_orders)
 
 
+def test_stream_of_orders_rebuilds_a_corrected_old_order(spark, wh):
+    """Order 100 is cancelled long after the window has passed it."""
+    path, inbox, state = (fresh_path(spark, n) for n in ("facts", "inbox", "state"))
+    refresh_fct_orders(path, wh.staged, wh.dim_customers)
+    fixed = wh.staged.orders.withColumns(
+        {
+            "status": F.expr("if(order_id = 100, 'cancelled', status)"),
+            "is_completed": F.expr("order_id != 100 and is_completed"),
+        }
+    )
+    fixed.where("order_id = 100").select("order_id").write.parquet(inbox)
+    now = wh.staged.replace(orders=fixed)
+    arriving = spark.readStream.schema("order_id bigint").parquet(inbox)
+    run = refresh_fct_orders_stream(arriving, path, state, now, lambda: wh.dim_customers)
+    run.awaitTermination()
+    got = {r.order_id: r.status for r in spark.read.parquet(path).collect()}
+    assert got[100] == "cancelled" and len(got) == 7
+
+
 def test_daily_stream_adds_late_events(spark):
     inbox, path, state = (fresh_path(spark, n) for n in ("inbox", "daily", "state"))
 
