@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import month_start
 from ..session import stash
-from ..sources import write_table
+from ..sources.tables import laid_out, write_table
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,10 +106,8 @@ def write_incremental(
         left_over -= _months(kept, month)
 
     merged = upsert(affected, updates, keys)
-    order = [month, *[c for c in layout if c != month]]
     (
-        merged.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        laid_out(merged, [month], layout)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(month)

@@ -49,21 +49,23 @@ def refresh_fct_orders(
 ) -> DataFrame:
     """Rebuild the facts of recent (and named) orders and merge them into the table.
 
-    Lines are cut down to those orders before anything is aggregated.  Customers are the
+    Lines and returns are cut down to those orders before anything is aggregated.  Customers are the
     current dimension; facts of orders outside the scope keep the tier and lifetime
     figures they had when last merged.  Orders are never deleted.
     """
     spark = staged.orders.sparkSession
     target = stored_table(spark, path)
     orders = orders_to_refresh(staged.orders, target, days, changed_order_ids)
-    if target is None:
-        items = staged.order_items
-    else:
+    items, returns = staged.order_items, staged.returns
+    if target is not None:
         orders = stash(orders, "orders-to-refresh")
         ids = orders.select("order_id")
         near = within_key_range(staged.order_items, ids, "order_id")
         items = stash(near.join(ids, "order_id", "left_semi"), "lines-to-refresh")
-    metrics = stash(order_metrics(orders, items, staged.returns), "refreshed-metrics")
+        # summing per line then reuses the partitioning of this join, or needs no shuffle of
+        # the other returns at all when the lines are few enough to broadcast
+        returns = returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
+    metrics = order_metrics(orders, items, returns)
     facts = fct_orders(metrics, customers, items, staged.products)
     return write_incremental(
         facts, path, keys=["order_id"], date="order_date", sort_by=["order_date", "customer_id"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -17,6 +18,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+    """Rows arranged for writing: partition columns first, then ``sort_by``.
+
+    With partition columns the rows are rebalanced on them: AQE splits a partition that is
+    too large for one task and merges small ones, without a sampling pass.  Without them
+    the rows are range-partitioned on ``sort_by``, so each file covers a narrow range.
+    """
+    layout = [*partition_by, *[c for c in sort_by if c not in partition_by]]
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    elif sort_by:
+        df = df.repartitionByRange(*sort_by)
+    return df.sortWithinPartitions(*layout) if layout else df
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -26,17 +42,12 @@ def write_table(
 ) -> DataFrame:
     """Store a full rebuild as parquet and return the stored table.
 
-    ``sort_by`` range-partitions and sorts the rows, so row groups carry narrow min/max
-    ranges and scans can skip them.  Rows are ranged on the partition columns first and
-    then on ``sort_by``: a large partition is spread over several tasks and files, while a
-    small one lands in one file.  End ``sort_by`` with a key: rows that agree on all of its
-    columns stay in one task.
+    Rows are sorted by ``sort_by`` within files, so row groups carry narrow min/max ranges
+    and scans can skip them.  End ``sort_by`` with a key: without partition columns, rows
+    that agree on all of its columns stay in one task.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    layout = [*parts, *[c for c in sort_by if c not in parts]]
-    if layout:
-        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
-    writer = df.write.mode(mode)
+    writer = laid_out(df, parts, sort_by).write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(path)
