@@ -145,9 +145,10 @@ def _order_items(lineitem: DataFrame) -> DataFrame:
 def _returns(lineitem: DataFrame) -> DataFrame:
     kept_share = F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
     reason = F.when(F.col("l_linestatus") == "O", "Defective").otherwise("Changed_Mind")
+    line_id = _line_id()
     return lineitem.where(F.col("l_returnflag") == "R").select(
-        _line_id().alias("return_id"),
-        _line_id().alias("order_item_id"),
+        line_id.alias("return_id"),
+        line_id.alias("order_item_id"),
         F.col("l_shipdate").cast("date").alias("return_date"),
         reason.alias("return_reason"),
         (_cents("l_extendedprice") * kept_share).alias("refund_amount"),

@@ -63,6 +63,8 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            # no stack capture per column expression while plans are built
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
