@@ -11,6 +11,7 @@ group, so the last step works on a small table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,122 +28,147 @@ def _group_key(groups: Sequence[str]) -> Column:
     return F.struct(*groups) if groups else F.struct(F.lit(0).alias("all"))
 
 
-def chunked(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
+@dataclass(frozen=True)
+class Chunked:
+    """Rows stored in global order with a chunk number, and columns added to them so far.
+
+    Per-chunk totals are always taken from the stored rows, so several columns can be added
+    without computing the earlier ones again.
+    """
+
+    stored: DataFrame
+    rows: DataFrame
+
+    def result(self) -> DataFrame:
+        return self.rows.drop("_chunk")
+
+    def _add(self, groups, local: dict[str, Column], per_chunk: DataFrame, added) -> Chunked:
+        """Window columns per chunk, joined to the per-chunk table (broadcast when small)."""
+        rows = self.rows.withColumn("_group", _group_key(groups)).withColumns(local)
+        joined = rows.join(per_chunk, ["_chunk", "_group"])
+        return replace(self, rows=joined.select(*self.rows.columns, *added))
+
+    def with_running(
+        self,
+        groups: Sequence[str],
+        order: Sequence[Column],
+        position: str | None = None,
+        sums: dict[str, str] | None = None,
+        size: str | None = None,
+        totals: dict[str, str] | None = None,
+    ) -> Chunked:
+        """Add row position, running sums, group size and group totals.
+
+        ``order`` is the order of the chunks and must tell all rows of a group apart.
+        ``sums`` maps a new column to the column it accumulates (ROWS up to the current
+        row); ``totals`` maps a new column to the column it sums over the whole group.
+        """
+        sums, totals = sums or {}, totals or {}
+        earlier = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*_BEFORE)
+        whole = W.partitionBy("_group")
+        per_chunk = (
+            self.stored.groupBy("_chunk", _group_key(groups).alias("_group"))
+            .agg(
+                F.count(F.lit(1)).alias("_n"),
+                *[F.sum(c).alias(f"_sum_{n}") for n, c in {**sums, **totals}.items()],
+            )
+            .select(
+                "_chunk",
+                "_group",
+                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"),
+                F.sum("_n").over(whole).alias("_size"),
+                *[F.sum(f"_sum_{n}").over(earlier).alias(f"_before_{n}") for n in sums],
+                *[F.sum(f"_sum_{n}").over(whole).alias(f"_total_{n}") for n in totals],
+            )
+        )
+        here = W.partitionBy("_chunk", "_group").orderBy(*order)
+        so_far = here.rowsBetween(*_UP_TO_HERE)
+        local = {f"_run_{n}": F.sum(c).over(so_far) for n, c in sums.items()}
+
+        def plus(name: str, column: str) -> Column:
+            # like SUM, NULL only while no value has been seen
+            before, run = F.col(f"_before_{name}"), F.col(f"_run_{name}")
+            total = F.coalesce(before + run, before, run)
+            kind = self.stored.select(F.sum(column)).schema[0].dataType
+            return total.cast(kind).alias(name)
+
+        added = [plus(n, c) for n, c in sums.items()]
+        added += [F.col(f"_total_{n}").alias(n) for n in totals]
+        if position:
+            local["_position"] = F.row_number().over(here)
+            added.append((F.col("_n_before") + F.col("_position")).alias(position))
+        if size:
+            added.append(F.col("_size").alias(size))
+        return self._add(groups, local, per_chunk, added)
+
+    def with_rank(self, groups: Sequence[str], value: str, name: str) -> Chunked:
+        """Add SQL ``rank()`` by ``value`` descending (NULLs last) within ``groups``.
+
+        The chunks must be in an order that has ``value`` descending within each group;
+        ``groups`` may be finer than the groups the rows were chunked by.  Rows that
+        continue a value of an earlier chunk take the rank the value got where it began.
+        """
+        boxed = F.struct(F.col(value))  # keeps a NULL value as the smallest
+        by_chunk = W.partitionBy("_group").orderBy("_chunk")
+        rank_of_last = F.col("_before") + F.col("_n") - F.col("_n_last") + 1
+        per_chunk = (
+            self.stored.groupBy("_chunk", _group_key(groups).alias("_group"), boxed.alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_c"))
+            .groupBy("_chunk", "_group")
+            .agg(
+                F.sum("_c").alias("_n"),
+                F.max("_v").alias("_first"),
+                F.min("_v").alias("_last"),
+                F.min_by("_c", "_v").alias("_n_last"),
+            )
+            .withColumn(
+                "_before", F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(*_BEFORE)), F.lit(0))
+            )
+            # rank of the chunk's last value, counted from the chunk in which it began
+            .withColumn("_began", F.min(rank_of_last).over(W.partitionBy("_group", "_last")))
+            .select(
+                "_chunk",
+                "_group",
+                "_before",
+                "_first",
+                F.when(F.lag("_last").over(by_chunk) == F.col("_first"),
+                       F.lag("_began").over(by_chunk)).alias("_head_rank"),
+            )
+        )
+        here = W.partitionBy("_chunk", "_group").orderBy(F.desc_nulls_last(value))
+        continues = (boxed == F.col("_first")) & F.col("_head_rank").isNotNull()
+        rank = F.when(continues, F.col("_head_rank")).otherwise(F.col("_before") + F.col("_rank"))
+        return self._add(groups, {"_rank": F.rank().over(here)}, per_chunk, [rank.alias(name)])
+
+
+def chunked(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> Chunked:
     """Store ``df`` in global (groups, order) order with a chunk number per row.
 
     The chunk number is written with the rows: later steps read the same assignment even if
     a task is rerun.
     """
-    tagged = df.repartitionByRange(*[F.asc_nulls_first(g) for g in groups], *order).withColumns(
-        {"_chunk": F.spark_partition_id(), "_group": _group_key(groups)}
-    )
-    return stash(tagged, "chunked")
-
-
-def _add_offsets(local: DataFrame, per_chunk: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Join the small per-chunk table to the rows; AQE broadcasts it when it is small."""
-    return local.join(per_chunk.select("_chunk", "_group", *keep), ["_chunk", "_group"])
+    ranged = df.repartitionByRange(*[F.asc_nulls_first(g) for g in groups], *order)
+    stored = stash(ranged.withColumn("_chunk", F.spark_partition_id()), "chunked")
+    return Chunked(stored, stored)
 
 
 def add_running(
-    df: DataFrame,
-    groups: Sequence[str],
-    order: Sequence[Column],
-    position: str | None = None,
-    sums: dict[str, str] | None = None,
-    size: str | None = None,
-    totals: dict[str, str] | None = None,
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], **columns
 ) -> DataFrame:
-    """Add row position, running sums, group size and group totals along a total order.
-
-    ``order`` must tell all rows of a group apart for the result to be deterministic.
-    ``sums`` maps a new column to the column it accumulates (ROWS up to the current row);
-    ``totals`` maps a new column to the column it sums over the whole group.
-    """
-    sums, totals = sums or {}, totals or {}
-    here = W.partitionBy("_chunk", "_group").orderBy(*order)
-    local = chunked(df, groups, order).withColumns(
-        {
-            "_position": F.row_number().over(here).cast("bigint"),
-            **{f"_run_{n}": F.sum(c).over(here.rowsBetween(*_UP_TO_HERE)) for n, c in sums.items()},
-        }
-    )
-    earlier = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*_BEFORE)
-    whole = W.partitionBy("_group")
-    per_chunk = (
-        local.groupBy("_chunk", "_group")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(c).alias(f"_sum_{n}") for n, c in {**sums, **totals}.items()],
-        )
-        .withColumns(
-            {
-                "_n_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-                "_size": F.sum("_n").over(whole),
-                **{f"_before_{n}": F.sum(f"_sum_{n}").over(earlier) for n in sums},
-                **{f"_total_{n}": F.sum(f"_sum_{n}").over(whole) for n in totals},
-            }
-        )
-    )
-    keep = ["_n_before", "_size", *[f"_before_{n}" for n in sums], *[f"_total_{n}" for n in totals]]
-    out = _add_offsets(local, per_chunk, keep)
-
-    def plus(before: str, run: str) -> Column:
-        # like SUM, NULL only while no value has been seen
-        both = F.col(before) + F.col(run)
-        return F.coalesce(both, F.col(before), F.col(run))
-
-    types = {n: local.schema[f"_run_{n}"].dataType for n in sums}
-    added = [plus(f"_before_{n}", f"_run_{n}").cast(types[n]).alias(n) for n in sums]
-    added += [F.col(f"_total_{n}").alias(n) for n in totals]
-    if position:
-        added.append((F.col("_n_before") + F.col("_position")).alias(position))
-    if size:
-        added.append(F.col("_size").alias(size))
-    return out.select(*df.columns, *added)
+    """Chunk the rows and add what ``Chunked.with_running`` offers."""
+    return chunked(df, groups, order).with_running(groups, order, **columns).result()
 
 
 def add_rank(
     df: DataFrame, groups: Sequence[str], value: str, name: str, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """SQL ``rank()`` by ``value`` descending (NULLs last) within ``groups``.
+    """Chunk the rows and add their rank by ``value`` descending within ``groups``.
 
     ``ties`` are further columns that spread rows of one value over several chunks; they do
-    not change the rank.  Rows that continue a value of an earlier chunk take the rank the
-    value got where it began.
+    not change the rank.
     """
     order = [F.desc_nulls_last(value), *[F.asc_nulls_first(t) for t in ties]]
-    here = W.partitionBy("_chunk", "_group").orderBy(F.desc_nulls_last(value))
-    boxed = F.struct(F.col(value))  # keeps a NULL value as the smallest
-    local = chunked(df, groups, order).withColumns(
-        {"_rank": F.rank().over(here).cast("bigint"), "_boxed": boxed}
-    )
-    by_chunk = W.partitionBy("_group").orderBy("_chunk")
-    same_last = W.partitionBy("_group", "_last")
-    per_chunk = (
-        local.groupBy("_chunk", "_group")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.max("_boxed").alias("_first"),
-            F.min("_boxed").alias("_last"),
-            F.max("_rank").alias("_last_rank"),
-        )
-        .withColumn(
-            "_before", F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(*_BEFORE)), F.lit(0))
-        )
-        # rank of the chunk's last value, counted from the chunk in which that value began
-        .withColumn("_began", F.min(F.col("_before") + F.col("_last_rank")).over(same_last))
-        .withColumn(
-            "_head_rank",
-            F.when(
-                F.lag("_last").over(by_chunk) == F.col("_first"), F.lag("_began").over(by_chunk)
-            ),
-        )
-    )
-    out = _add_offsets(local, per_chunk, ["_before", "_first", "_head_rank"])
-    continues = (F.col("_boxed") == F.col("_first")) & F.col("_head_rank").isNotNull()
-    rank = F.when(continues, F.col("_head_rank")).otherwise(F.col("_before") + F.col("_rank"))
-    return out.select(*df.columns, rank.alias(name))
+    return chunked(df, groups, order).with_rank(groups, value, name).result()
 
 
 def add_group_total(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:

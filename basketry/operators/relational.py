@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordered import add_group_total, add_running
+from .ordered import Chunked, add_group_total, chunked
 
 
 def union_relations(
@@ -68,8 +68,8 @@ def share_of_total(df: DataFrame, groups: Sequence[str], col: str, name: str) ->
     return add_group_total(df, groups, col, "_total").withColumn(name, share).drop("_total")
 
 
-def pareto_shares(
-    df: DataFrame,
+def pareto_of_chunks(
+    chunks: Chunked,
     groups: Sequence[str],
     order: Sequence[Column],
     col: str,
@@ -80,15 +80,26 @@ def pareto_shares(
 
     Both are NULL where the total is 0.  ``order`` must tell the rows of a group apart.
     """
-    out = add_running(df, groups, order, sums={"_running": col}, totals={"_total": col})
+    out = chunks.with_running(groups, order, sums={"_running": col}, totals={"_total": col})
     total = F.col("_total").cast("double")
 
     def percent(part: str) -> Column:
         return F.when(total != 0, F.col(part).cast("double") * 100.0 / total)
 
-    return out.withColumns({share: percent(col), cumulative: percent("_running")}).drop(
-        "_running", "_total"
-    )
+    added = out.result().withColumns({share: percent(col), cumulative: percent("_running")})
+    return added.drop("_running", "_total")
+
+
+def pareto_shares(
+    df: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[Column],
+    col: str,
+    share: str,
+    cumulative: str,
+) -> DataFrame:
+    """``pareto_of_chunks`` for a frame that is not chunked yet."""
+    return pareto_of_chunks(chunked(df, groups, order), groups, order, col, share, cumulative)
 
 
 def cumulative_share(

@@ -19,8 +19,8 @@ from ..functions import (
     recent_months,
     return_risk,
 )
-from ..operators.ordered import add_rank, exact_percentiles
-from ..operators.relational import pareto_shares, top_k_by_rank
+from ..operators.ordered import add_rank, chunked, exact_percentiles
+from ..operators.relational import pareto_of_chunks, top_k_by_rank
 from ..operators.series import lag_value, running_total
 from ..session import stash
 
@@ -140,20 +140,22 @@ def product_segment_performance(enriched: DataFrame) -> DataFrame:
             F.sum("return_count").alias("total_returns"),
         )
     )
-    ties = ["loyalty_tier", "primary_product_category", "primary_product_id",
-            "primary_product_name"]
-    ranked = add_rank(
-        sold,
-        ["customer_segment", "primary_product_category"],
-        "total_revenue",
-        "revenue_rank_in_category",
-        ties=["loyalty_tier", "primary_product_id", "primary_product_name"],
+    segment = ["customer_segment"]
+    order = [
+        F.desc_nulls_last("total_revenue"),
+        F.asc_nulls_first("loyalty_tier"),
+        F.asc_nulls_first("primary_product_category"),
+        F.asc("primary_product_id"),
+        F.asc("primary_product_name"),
+    ]
+    # revenue falls within a category too, so one chunking serves the rank and the shares
+    ranked = chunked(sold, segment, order).with_rank(
+        [*segment, "primary_product_category"], "total_revenue", "revenue_rank_in_category"
     )
-    by_revenue = [F.desc_nulls_last("total_revenue"), *[F.asc_nulls_first(t) for t in ties]]
-    return pareto_shares(
+    return pareto_of_chunks(
         ranked,
-        ["customer_segment"],
-        by_revenue,
+        segment,
+        order,
         "total_revenue",
         share="pct_of_segment_revenue",
         cumulative="cumulative_revenue_pct",

@@ -37,13 +37,31 @@ def check_rank(spark, data):
 def test_rank_over_many_chunks(spark, many_chunks):
     data = skewed()
     df = spark.createDataFrame(data, SCHEMA)
-    parts = ordered.chunked(df, ["g"], [F.desc_nulls_last("v"), F.asc("id")])
+    parts = ordered.chunked(df, ["g"], [F.desc_nulls_last("v"), F.asc("id")]).stored
     hot = parts.where("g = 'hot'").select("_chunk").distinct().count()
     ties = parts.where("g = 'hot' and v = 0").select("_chunk").distinct().count()
     assert hot > 2 and ties > 1  # the hot group and its hot value do span chunks
     check_rank(spark, data)
 
 
+def test_one_chunking_serves_finer_groups(spark, many_chunks):
+    """Rank within (g, h) and running sum within g, from rows chunked by g."""
+    df = spark.createDataFrame(skewed(), SCHEMA).withColumn("h", F.col("id") % 3)
+    order = [F.desc_nulls_last("v"), F.asc("id")]
+    got = (
+        ordered.chunked(df, ["g"], order)
+        .with_rank(["g", "h"], "v", "r")
+        .with_running(["g"], order, sums={"s": "v"})
+        .result()
+    )
+    rank_in = W.partitionBy("g", "h").orderBy(F.desc_nulls_last("v"))
+    run_in = W.partitionBy("g").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    plain = df.withColumns(
+        {"r": F.rank().over(rank_in).cast("bigint"), "s": F.sum("v").over(run_in)}
+    )
+    assert rows(got) == rows(plain)
+
+
 def test_rank_when_one_value_fills_whole_chunks(spark, many_chunks):
     check_rank(spark, [("hot", i, 5 if i > 20 else i) for i in range(300)])
     check_rank(spark, [("hot", i, 5) for i in range(100)])
