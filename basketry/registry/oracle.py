@@ -706,12 +706,12 @@ ORACLE_SQL = {
     ),
     "category_mix": ask("order_id distinct_categories#", "FROM mix"),
     "fct_orders": ask(FACTS, "FROM facts"),
-    "date_bounds_of_orders": ask(
+    "date_bounds": ask(
         "min_date@ max_date@",
         "FROM (SELECT min(order_date) AS min_date, max(order_date) AS max_date "
         "FROM s_orders WHERE is_completed)",
     ),
-    "date_spine_orders": ask(
+    "date_spine": ask(
         "date_day@ order_count#",
         """FROM (SELECT d AS date_day, count(order_id) AS order_count
            FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31',
@@ -790,7 +790,7 @@ ORACLE_SQL = {
         "FROM (SELECT *, transaction_date AS effective_date, "
         "'unified_transactions' AS source_table FROM ledger)",
     ),
-    "union_orders_returns": ask(
+    "union_relations": ask(
         "order_id user_id order_date@ status is_completed total_amount$ return_id order_item_id "
         "return_date@ return_reason refund_amount$ _source_relation",
         """FROM (SELECT *, 'orders' AS _source_relation FROM s_orders UNION ALL BY NAME
@@ -818,7 +818,7 @@ ORACLE_SQL = {
         )
         + ")",
     ),
-    "column_values_status": ask(
+    "column_values": ask(
         "value n#", "FROM (SELECT status AS value, count(*) AS n FROM s_orders GROUP BY status)"
     ),
     "enriched_orders": ask(ENRICHED, "FROM enriched"),
@@ -942,19 +942,19 @@ ORACLE_SQL = {
     ),
     "quality_report": quality_sql(),
     "quality_report_marts": marts_quality_sql(),
-    "reprocess_window_orders": ask(
+    "reprocess_window": ask(
         f"{ORDERS} ingested_at@",
         "FROM s_orders WHERE order_date >= (SELECT max(order_date) FROM s_orders "
         "WHERE order_date < DATE '2001-06-01') - INTERVAL 14 DAY",
     ),
-    "upsert_orders": ask(
+    "upsert": ask(
         ORDERS,
         "FROM (SELECT * REPLACE (CASE status WHEN 'pending' THEN 'cancelled' ELSE status END "
         "AS status) FROM s_orders)",
     ),
     "fct_orders_incremental": ask(KEPT_FACTS, "FROM facts"),
     "fct_orders_stream": ask(KEPT_FACTS, "FROM facts"),
-    "daily_event_stream": """
+    "daily_revenue_stream": """
         SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS event_count,
                CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
         FROM events GROUP BY ALL""",

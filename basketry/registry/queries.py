@@ -7,6 +7,7 @@ the library they stay DECIMAL and TIMESTAMP.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,8 @@ from ..plans.staging import stage_orders
 from ..plans.warehouse import Warehouse
 from ..session import fresh_path, stash, tune
 from ..sources import as_view, from_star, read_raw, write_table
-from ..streaming.jobs import daily_revenue_stream, event_stream, refresh_fct_orders_stream
+from ..streaming.jobs import daily_revenue_stream as start_daily_revenue
+from ..streaming.jobs import event_stream, refresh_fct_orders_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,17 +53,21 @@ STAR_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-    """Register a function of a warehouse under its own name."""
+def query(fn: Callable[[Warehouse], DataFrame], name: str | None = None):
+    """Register a function of a warehouse under its own name or ``name``."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         raw = from_star(tune(spark), folder)
         return portable(fn(Warehouse(raw, VIP, GROWTH)))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return fn
 
 
+def query_as(name: str):
+    return partial(query, name=name)
+
+
 def table_query(fn: Query) -> Query:
     """Register a function that reads the given tables by itself."""
 
@@ -204,12 +210,12 @@ def fct_orders(wh):
 # --- time series --------------------------------------------------------------------------
 
 
-@query
+@query_as("date_bounds")
 def date_bounds_of_orders(wh):
     return date_bounds(wh.staged.orders.where("is_completed"), "order_date")
 
 
-@query
+@query_as("date_spine")
 def date_spine_orders(wh):
     """Orders per day of a fixed range, days without orders included."""
     spine = date_spine(wh.staged.orders.sparkSession, "1995-01-01", "2002-01-01")
@@ -297,7 +303,7 @@ def unified_transactions(wh):
     return wh.unified_transactions
 
 
-@query
+@query_as("union_relations")
 def union_orders_returns(wh):
     return union_relations({"orders": wh.staged.orders, "returns": wh.staged.returns}).drop(
         "ingested_at"
@@ -322,7 +328,7 @@ def unpivot_metrics(wh):
     return unpivot(wide, keys, names, "metric", "value")
 
 
-@query
+@query_as("column_values")
 def column_values_status(wh):
     return column_values(wh.staged.orders, "status")
 
@@ -540,14 +546,14 @@ def quality_report_marts(wh):
 # --- incremental, stored and streaming ----------------------------------------------------
 
 
-@query
+@query_as("reprocess_window")
 def reprocess_window_orders(wh):
     orders = wh.staged.orders
     stored = orders.where(F.col("order_date") < F.lit(CUTOFF).cast("date"))
     return reprocess_window(orders, stored, "order_date", 14)
 
 
-@query
+@query_as("upsert")
 def upsert_orders(wh):
     """Orders of which the pending ones arrive again as cancelled."""
     orders = wh.staged.orders.drop("ingested_at")
@@ -592,10 +598,10 @@ def fct_orders_stream(wh):
 
 
 @table_query
-def daily_event_stream(spark, folder):
+def daily_revenue_stream(spark, folder):
     path = fresh_path(spark, "daily-events")
     events = event_stream(spark, folder, "events.parquet")
-    run = daily_revenue_stream(events, path, fresh_path(spark, "stream-state"))
+    run = start_daily_revenue(events, path, fresh_path(spark, "stream-state"))
     run.awaitTermination()
     return spark.read.parquet(path).drop("event_month")
 

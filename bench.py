@@ -30,7 +30,7 @@ HEADLINE = [
     "check_return_dates",
     "quality_report",
     "product_cost_history",
-    "daily_event_stream",
+    "daily_revenue_stream",
 ]
 
 
