@@ -624,9 +624,8 @@ def raw_csv_round_trip(wh):
     """Raw orders written as quoted CSV, read back as text and staged."""
     spark = wh.staged.orders.sparkSession
     folder = fresh_path(spark, "extracts")
-    wh.raw.orders.write.option("header", True).option("quoteAll", True).csv(
-        f"{folder}/raw_orders.csv"
-    )
+    quoted = wh.raw.orders.write.option("header", True).option("quoteAll", True)
+    quoted.option("escape", '"').csv(f"{folder}/raw_orders.csv")
     return stage_orders(read_raw(spark, folder, "orders"))
 
 

@@ -42,6 +42,7 @@ def read_raw(spark: SparkSession, folder: str, table: str, prefix: str = "raw_")
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
+        .option("escape", '"')  # a quote inside a field is doubled
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(f"{folder}/{prefix}{table}.csv")

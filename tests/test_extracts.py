@@ -33,6 +33,13 @@ def test_quoted_extracts_with_either_line_end(spark, tmp_path):
     assert wh.fct_orders.count() == 7
 
 
+def test_a_doubled_quote_is_part_of_the_field(spark, tmp_path):
+    product = ("10", 'Shelf 30"", oak', "home", "7", "4.00", shop.T0)
+    write_csv(tmp_path, "products", [product])
+    row = raw_extracts(spark, str(tmp_path)).products.first()
+    assert row.product_name == 'Shelf 30", oak' and row.category == "home"
+
+
 def test_a_changed_header_is_an_error(spark, tmp_path):
     write_csv(tmp_path, "users", shop.USERS)
     path = tmp_path / "raw_users.csv"

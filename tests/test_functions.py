@@ -63,7 +63,9 @@ def test_labels(spark):
     assert one_column(counts, engagement_band("n")) == [
         "LOYAL", "ACTIVE", "ACTIVE", "NEW", "INACTIVE",
     ]
-    growth = spark.createDataFrame([(10.1,), (10.0,), (0.0,), (-10.0,), (-10.1,), (None,)], "g double")
+    growth = spark.createDataFrame(
+        [(10.1,), (10.0,), (0.0,), (-10.0,), (-10.1,), (None,)], "g double"
+    )
     assert one_column(growth, growth_status("g")) == [
         "Rapid Growth", "Growing", "Stable", "Stable", "Declining", "Stable",
     ]
@@ -75,14 +77,18 @@ def test_labels(spark):
     assert one_column(risk, return_risk("r")) == [
         "High Return Risk", "Moderate Return Risk", "Low Return Risk", "Low Return Risk",
     ]
-    demand = spark.createDataFrame([(3, 100.0), (3, 99.0), (2, 50.0), (1, 500.0)], "n int, m double")
+    demand = spark.createDataFrame(
+        [(3, 100.0), (3, 99.0), (2, 50.0), (1, 500.0)], "n int, m double"
+    )
     assert [x.split()[0] for x in one_column(demand, opportunity_tier("n", "m"))] == [
         "High", "Medium", "Medium", "Low",
     ]
 
 
 def test_parse_date_accepts_both_forms_and_rejects_others(spark):
-    df = spark.createDataFrame([("1/5/2023",), ("12/31/2023",), ("2023-02-03",), (None,)], "d string")
+    df = spark.createDataFrame(
+        [("1/5/2023",), ("12/31/2023",), ("2023-02-03",), (None,)], "d string"
+    )
     assert one_column(df, parse_date("d")) == [
         day("2023-01-05"), day("2023-12-31"), day("2023-02-03"), None,
     ]
@@ -99,7 +105,8 @@ def test_date_parts(spark):
 
 
 def test_spine_excludes_its_end_and_has_no_gaps(spark):
-    days = [r[0] for r in date_spine(spark, "2023-05-01", "2023-08-31").orderBy("date_day").collect()]
+    spine = date_spine(spark, "2023-05-01", "2023-08-31")
+    days = [r[0] for r in spine.orderBy("date_day").collect()]
     assert len(days) == 122 and days[0] == day("2023-05-01") and days[-1] == day("2023-08-30")
     assert all((b - a).days == 1 for a, b in zip(days, days[1:]))
     assert date_spine(spark, "2023-05-01", "2023-05-01").count() == 0
