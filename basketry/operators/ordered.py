@@ -110,31 +110,35 @@ class Chunked:
         """
         boxed = F.struct(F.col(value))  # keeps a NULL value as the smallest
         by_chunk = W.partitionBy("_group").orderBy("_chunk")
-        rank_of_last = F.col("_before") + F.col("_n") - F.col("_n_last") + 1
+        in_chunk = W.partitionBy("_chunk", "_group").orderBy(F.desc("_v"))
+        before = F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(*_BEFORE)), F.lit(0))
+        goes_on = F.lag("_last").over(by_chunk) == F.col("_first")
         per_chunk = (
-            self.stored.groupBy("_chunk", _group_key(groups).alias("_group"), boxed.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_c"))
+            self.stored.select("_chunk", _group_key(groups).alias("_group"), boxed.alias("_v"))
+            .withColumn("_r", F.rank().over(in_chunk))
             .groupBy("_chunk", "_group")
             .agg(
-                F.sum("_c").alias("_n"),
+                F.count(F.lit(1)).alias("_n"),
                 F.max("_v").alias("_first"),
                 F.min("_v").alias("_last"),
-                F.min_by("_c", "_v").alias("_n_last"),
+                F.max("_r").alias("_last_rank"),
             )
+            .withColumn("_before", before)
+            # rank of the chunk's last value, counted from the chunk in which it began
             .withColumn(
-                "_before", F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(*_BEFORE)), F.lit(0))
+                "_began",
+                F.min(F.col("_before") + F.col("_last_rank")).over(
+                    W.partitionBy("_group", "_last")
+                ),
             )
-            # rank of the chunk's last value, counted from the chunk in which it began
-            .withColumn("_began", F.min(rank_of_last).over(W.partitionBy("_group", "_last")))
             .select(
                 "_chunk",
                 "_group",
                 "_before",
                 "_first",
-                F.when(F.lag("_last").over(by_chunk) == F.col("_first"),
-                       F.lag("_began").over(by_chunk)).alias("_head_rank"),
+                F.when(goes_on, F.lag("_began").over(by_chunk)).alias("_head_rank"),
             )
-        )
+        )
         here = W.partitionBy("_chunk", "_group").orderBy(F.desc_nulls_last(value))
         continues = (boxed == F.col("_first")) & F.col("_head_rank").isNotNull()
         rank = F.when(continues, F.col("_head_rank")).otherwise(F.col("_before") + F.col("_rank"))
