@@ -58,11 +58,6 @@ def within_key_range(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.limit(0) if low is None else df.where(F.col(key).between(low, high))
 
 
-def _months(df: DataFrame, month: str) -> set:
-    """Distinct months: one value per partition of the table, so a short list."""
-    return {row[0] for row in df.select(month).distinct().collect()}
-
-
 def _in_months(month: str, values: set) -> Column:
     known = F.col(month).isin([v for v in values if v is not None])
     return known | F.col(month).isNull() if None in values else known
@@ -95,7 +90,13 @@ def write_incremental(
     target = target.withColumn(month, F.col(month).cast("date"))
     near = within_key_range(target.select(*keys, month), updates, keys[0])
     old = near.join(updates.select(*keys), list(keys), "left_semi")
-    gaining, losing = _months(updates, month), _months(old, month)
+    touched = updates.select(month, F.lit(True).alias("gains")).unionByName(
+        old.select(month, F.lit(False).alias("gains"))
+    )
+    # one row per touched partition of the table, so a short list
+    found = touched.distinct().collect()
+    gaining = {r[month] for r in found if r["gains"]}
+    losing = {r[month] for r in found if not r["gains"]}
     affected = target.where(_in_months(month, gaining | losing))
     left_over = losing - gaining
     if left_over:
@@ -103,7 +104,7 @@ def write_incremental(
         kept = affected.where(_in_months(month, left_over)).join(
             updates.select(*keys), list(keys), "left_anti"
         )
-        left_over -= _months(kept, month)
+        left_over -= {r[0] for r in kept.select(month).distinct().collect()}
 
     merged = upsert(affected, updates, keys)
     (
