@@ -74,6 +74,23 @@ node AS (
   WINDOW same AS (PARTITION BY depth, h >> (60 - depth))
 ), deep AS (SELECT doc_id, n_bytes, h, min(depth) AS depth FROM node WHERE fits GROUP BY doc_id, n_bytes, h)
 SELECT doc_id, n_bytes,
-  list_aggregate([(h >> (59 - i)) & 1 FOR i IN range(0, depth)], 'string_agg', '') AS shard,
+  coalesce(list_aggregate([(h >> (59 - i)) & 1 FOR i IN range(0, depth)], 'string_agg', ''), '') AS shard,
   depth::INTEGER AS shard_depth FROM deep
 """
+
+SQL["op6_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_dot_product(e, e) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+c AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
+FROM v LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from ..session import fresh_path, stash
 from . import oracle
 from .decontaminate import decontaminate
+from .language import fit_language
 from .mixing import mix_sources, word_count
 from .sharding import shard
 from .tokens import token_positions, write_token_ids
+from .toxicity import ToxicityModel, fit_toxicity
+from .urls import Rule, judge_urls
+from .vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = oracle.SQL
@@ -38,6 +42,49 @@ def document_quality(spark: SparkSession, folder: str) -> DataFrame:
     return labels.select("doc_id", weight.alias("_weight"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, folder: str) -> ToxicityModel:
+    """Fitted on the labelled documents that are not held out."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    learned = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
+    return fit_toxicity(learned.join(labels.distinct(), "doc_id"))
+
+
+@query
+def op1_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity_model(spark, docs, folder).score(docs)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_language(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = fit_language(docs.where(~held_out(F.col("doc_id"))))
+    found = model.predict(docs.select("doc_id", "text"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+URL_RULES = [
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+]
+
+
+@query
+def op3_url_templates(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).drop("url")
+
+
+@query
+def op6_near_vectors(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    return near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op7_mix_sources(spark, folder):
     docs = table(spark, folder, "documents")

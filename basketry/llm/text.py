@@ -7,7 +7,9 @@ UTF-8 bytes without decoding them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -144,3 +146,11 @@ def append_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Re
     """The batch with more columns; a column of the same name gives way."""
     kept = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n not in columns}
     return pa.RecordBatch.from_pydict(kept | columns)
+
+
+def per_process(key: tuple, make: Callable):
+    """A value made once in a Python worker and kept for its later tasks."""
+    kept = sys.modules.setdefault("_basketry_worker", types.ModuleType("_basketry_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -13,17 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stash
-from .text import ragged, slices
+from .text import per_process, ragged, slices
 
 END_ID = 2
-CACHE_CHARS = 16 << 20
+CACHE_PIECES = 500_000  # about 100 MB in a Python worker
+_TAIL = ".,!?;:"
+_LATIN = 0x250
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-ins of byte-level BPE: bytes that print stay, others follow 255."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class WordCache(dict):
     """Token ids of space-separated pieces of text, encoded once each.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so a
-    text's ids are those of its pieces one after another.  A full cache is emptied.
+    The tokenizer drops white space, and cuts between a letter and punctuation, so a text's ids
+    are those of its pieces one after another, and those of a word with a tail of punctuation
+    are those of the word and of the tail.  Words of Latin letters go to the tokenizer's BPE
+    model in lower case, since its normaliser and splitter leave them whole; other pieces take the
+    whole way.  A full cache is emptied.
     """
 
     def __init__(self, path: str):
@@ -31,25 +43,44 @@ class WordCache(dict):
 
         super().__init__()
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self._reset()
 
     def _reset(self) -> None:
         self.clear()
         self.new: list[str] = []
-        self.chars = 0
+        self.words: dict[str, list[int]] = {}
         self.ids = np.zeros(0, np.int32)
         self.starts = self.lengths = np.zeros(0, np.int64)
 
     def __missing__(self, piece: str) -> int:
         number = self[piece] = len(self)
         self.new.append(piece)
-        self.chars += len(piece)
         return number
 
+    def _word(self, word: str) -> list[int]:
+        found = self.words.get(word)
+        if found is None:
+            low = word.lower() if word.isascii() else "".join(map(str.lower, word))
+            if word.isalpha() and low.isalpha() and ord(max(low)) < _LATIN:
+                spelt = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+                found = [t.id for t in self.model.tokenize(spelt)]
+            else:
+                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.words[word] = found
+        return found
+
     def _learn(self) -> None:
         if not self.new:
             return
-        found = [x.ids for x in self.tokenizer.encode_batch(self.new, add_special_tokens=False)]
+        found = []
+        for piece in self.new:
+            word = piece.rstrip(_TAIL)
+            if len(word) < len(piece) and word and word[-1].isalpha():
+                found.append(self._word(word) + self._word(piece[len(word) :]))
+            else:
+                found.append(self._word(piece) if piece else [])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
@@ -59,7 +90,7 @@ class WordCache(dict):
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
-        if self.chars > CACHE_CHARS:
+        if len(self) > CACHE_PIECES:
             self._reset()
         flat = [t.replace("\n", " ") for t in texts]
         counts = np.fromiter((t.count(" ") + 1 for t in flat), np.int64, len(flat))
@@ -76,7 +107,7 @@ def encoder(tokenizer: str, text: str, end_id: int):
     """A function for mapInArrow that puts column ``ids`` in the place of the text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer)
+        cache = per_process(("WordCache", tokenizer), lambda: WordCache(tokenizer))
         for part, _, _ in slices(batches, text):
             at = part.schema.get_field_index(text)
             ids, counts = cache.encode([t or "" for t in part.column(at).to_pylist()])
