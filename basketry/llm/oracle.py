@@ -94,3 +94,29 @@ SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.lea
   vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
 FROM v LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
 """
+
+SQL["op4_repeated_passages"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT doc_id, p, hash(substr(x, 2 * p + 1, 100)) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(0, len(x) // 2 - 49))) AS p FROM d)
+), first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN first USING (s) WHERE first.least < w.doc_id),
+run AS (
+  SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, true)::INTEGER AS new FROM hit
+), span AS (
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS g FROM run)
+  GROUP BY doc_id, g
+), gap AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span
+), kept AS (
+  SELECT gap.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head,
+    max(b) AS tail, sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM gap JOIN d USING (doc_id) GROUP BY gap.doc_id
+)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head || substr(x, 2 * tail + 1), x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -11,8 +11,10 @@ from ..session import fresh_path, stash
 from . import oracle
 from .decontaminate import decontaminate
 from .language import fit_language
+from .minhash import near_duplicates
 from .mixing import mix_sources, word_count
 from .sharding import shard
+from .suffixes import remove_repeats
 from .tokens import token_positions, write_token_ids
 from .toxicity import ToxicityModel, fit_toxicity
 from .urls import Rule, judge_urls
@@ -79,6 +81,25 @@ def op3_url_templates(spark, folder):
     return judge_urls(pages, URL_RULES).drop("url")
 
 
+@query
+def op4_repeated_passages(spark, folder):
+    cleaned = remove_repeats(table(spark, folder, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return cleaned.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op5_near_duplicates(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "kept")
+
+
 @query
 def op6_near_vectors(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
