@@ -23,13 +23,14 @@ from .text import MULTIPLIER, _BYTE_CODE, _POWERS, mix, ragged, slices
 
 LENGTH = 50
 ANCHOR = 20  # bytes of an anchor; each string of LENGTH bytes has one
-CHUNK_BYTES = 2 << 20  # of text, or one text
-ANCHOR_BUCKET = 64 << 20  # bytes of text whose anchors meet in one task
+CHUNK_BYTES = 1 << 20  # of text, or one text
+ANCHOR_BUCKET = 16 << 20  # bytes of text whose anchors meet in one task
 FRAGMENT_BUCKET = 4 << 20  # bytes of fragments that meet in one task
 TRANSFORM = 150_000  # suffixes of one transform, unless one anchor has more
 LEAST_BUCKETS = 24
-_TABLE = 1 << 24  # entries of the table of occurrences
-_STEP = 1 << 14
+_EACH = 32
+_SMALL = 16
+_STEP = 1 << 13
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -101,39 +102,26 @@ def bounded_order(symbols: np.ndarray) -> np.ndarray:
 
 
 class Occurrences:
-    """How often each symbol comes in the first p symbols of the transform."""
+    """How often each symbol comes in the first p symbols of the transform.
+
+    Counts are kept for every ``_EACH``-th place; the symbols from there on are counted when asked for.
+    """
 
     def __init__(self, transform: np.ndarray, alphabet: int):
-        n = len(transform)
-        self.transform, self.alphabet = transform, alphabet
-        self.step = max(1, math.ceil(n * alphabet / _TABLE))
-        rows = n // self.step + 1
-        counts = np.zeros((rows, alphabet), np.int32)
-        used = (rows - 1) * self.step
-        np.add.at(counts, (np.arange(used) // self.step + 1, transform[:used]), 1) if self.step > 1 else counts.__setitem__(
-            (np.arange(1, rows), transform[:used]), 1
-        )
-        self.counts = np.cumsum(counts, axis=0, dtype=np.int32)
-
-    def rows(self, places: np.ndarray) -> np.ndarray:
-        block = places // self.step
-        found = self.counts[block]
-        if self.step > 1:
-            rest = places - block * self.step
-            for j in range(self.step - 1):
-                own = np.flatnonzero(rest > j)
-                found[own, self.transform[block[own] * self.step + j]] += 1
-        return found
-
-    def at(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        block = places // self.step
-        found = self.counts[block, symbols].astype(np.int64)
-        if self.step > 1:
-            rest = places - block * self.step
-            for j in range(self.step - 1):
-                own = np.flatnonzero(rest > j)
-                found[own] += self.transform[block[own] * self.step + j] == symbols[own]
-        return found
+        blocks = len(transform) // _EACH + 1
+        self.alphabet = alphabet
+        self.symbols = np.zeros((blocks, _EACH), transform.dtype)
+        self.symbols.ravel()[: len(transform)] = transform
+        whole = transform[: (blocks - 1) * _EACH]
+        spots = (np.arange(len(whole)) // _EACH + 1) * alphabet + whole
+        counts = np.bincount(spots, minlength=blocks * alphabet).reshape(blocks, alphabet)
+        self.counts = np.cumsum(counts, axis=0)
+
+    def upto(self, places: np.ndarray) -> np.ndarray:
+        block, rest = np.divmod(places, _EACH)
+        spots = np.arange(len(places))[:, None] * self.alphabet + self.symbols[block]
+        more = np.bincount(spots[np.arange(_EACH) < rest[:, None]], minlength=len(places) * self.alphabet)
+        return self.counts[block] + more.reshape(len(places), self.alphabet)
 
 
 def interval_ends(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -150,22 +138,34 @@ def interval_ends(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
     has_zero = int(present[0] == 0)
     transform = dense[before]
     occurrences = Occurrences(transform, len(present))
+    # rank of the suffix that begins one symbol earlier: suffixes sort by symbol, then by rank
+    earlier = np.empty(n, np.int64)
+    earlier[np.argsort(transform.astype(np.uint8), kind="stable")] = np.arange(n)
     below = np.concatenate([[0], np.cumsum(np.bincount(dense[symbols], minlength=len(present)))])[:-1]
     ended = np.zeros(n + 1, bool)
     ended[0] = ended[n] = True
+    starts_symbol = np.zeros(n + 1, bool)
+    starts_symbol[below] = True
+    reached, owner = np.zeros(n, bool), np.zeros(n, np.int64)
     lows, highs = np.array([0]), np.array([n])
     for _ in range(LENGTH):
-        found_low, found_high = [], []
-        one = highs - lows == 1
-        at = lows[one]
-        symbol = transform[at]
-        at, symbol = at[symbol >= has_zero], symbol[symbol >= has_zero]
-        low = below[symbol] + occurrences.at(at, symbol)
-        found_low.append(low)
-        found_high.append(low + 1)
-        wide_low, wide_high = lows[~one], highs[~one]
+        size = highs - lows
+        small = size <= _SMALL
+        # small intervals: their suffixes one symbol earlier, in runs of one interval and symbol
+        member = ragged(lows[small], size[small])
+        interval = np.repeat(np.flatnonzero(small), size[small])
+        good = transform[member] >= has_zero
+        rank = earlier[member[good]]
+        reached[rank], owner[rank] = True, interval[good]
+        rank = np.flatnonzero(reached)
+        reached[rank] = False
+        new = np.ones(len(rank) + 1, bool)
+        new[1:-1] = (np.diff(rank) != 1) | (np.diff(owner[rank]) != 0) | starts_symbol[rank[1:]]
+        found_low, found_high = [rank[new[:-1]]], [rank[new[1:]] + 1]
+        # large intervals: counts of all symbols before and up to them
+        wide_low, wide_high = lows[~small], highs[~small]
         for a in range(0, len(wide_low), _STEP):
-            first, last = occurrences.rows(wide_low[a : a + _STEP]), occurrences.rows(wide_high[a : a + _STEP])
+            first, last = occurrences.upto(wide_low[a : a + _STEP]), occurrences.upto(wide_high[a : a + _STEP])
             row, symbol = np.nonzero(first[:, has_zero:] != last[:, has_zero:])
             symbol += has_zero
             found_low.append(below[symbol] + first[row, symbol])
