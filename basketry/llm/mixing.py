@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import stash
 from .rows import pack, unpack
 
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 2_000
 
 
 def word_count(text: Column) -> Column:
@@ -83,7 +83,7 @@ def mix_sources(
 
     Only one bucket of keys per source needs an order.  The key is mapped to buckets by the
     distribution it would have if all qualities were the mean one, so a bucket has at most
-    (largest quality / mean quality) times 50,000 documents or so, however large the source.
+    (largest quality / mean quality) times 2,000 documents or so, however large the source.
     Sizes per bucket then tell which buckets are taken whole and which one holds the edge.
 
     Null sources form one source; null quality counts as 1 and a quality of zero or less as

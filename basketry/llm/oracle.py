@@ -96,10 +96,11 @@ FROM v LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
 """
 
 SQL["op4_repeated_passages"] = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+WITH raw AS (SELECT doc_id, encode(coalesce(text, '')) AS y FROM documents),
+d AS (SELECT doc_id, hex(y) AS x FROM raw),
 w AS (
-  SELECT doc_id, p, hash(substr(x, 2 * p + 1, 100)) AS s
-  FROM (SELECT doc_id, x, unnest(range(0, greatest(0, len(x) // 2 - 49))) AS p FROM d)
+  SELECT doc_id, p, hash(array_slice(y, p + 1, p + 50)) AS s
+  FROM (SELECT doc_id, y, unnest(range(0, greatest(0, octet_length(y) - 49))) AS p FROM raw)
 ), first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
 hit AS (SELECT w.doc_id, w.p FROM w JOIN first USING (s) WHERE first.least < w.doc_id),
 run AS (

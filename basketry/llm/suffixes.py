@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stash
-from .text import MULTIPLIER, _BYTE_CODE, _POWERS, mix, ragged, slices
+from .text import _BYTE_CODE, _POWERS, MULTIPLIER, mix, ragged, release, slices
 
 LENGTH = 50
 ANCHOR = 20  # bytes of an anchor; each string of LENGTH bytes has one
@@ -227,6 +227,7 @@ def _anchor_rows(buckets: int, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, offsets, data = load(body.as_py())
                 starts, _, anchor = fragments(data, offsets)
@@ -266,6 +267,7 @@ def _repeated(width: int):
     """Of each chunk the anchors that other texts hold as well."""
 
     def run(table: pa.Table) -> pa.Table:
+        release()
         chunks = table["chunk"].to_pylist()
         raw = table["anchors"].to_pylist()
         many = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(r) // width).view(bool) for m, r in zip(table["many"].to_pylist(), raw, strict=True)]
@@ -287,6 +289,7 @@ def _fragment_rows(buckets: int, width: int):
     cut = _U(8 * (8 - width))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         rows = []
         replies = [load(b)[0] for b in right["body"].to_pylist()]
         for chunk, body in zip(left["chunk"].to_pylist(), left["body"].to_pylist(), strict=True):
@@ -328,6 +331,7 @@ def _fragment_rows(buckets: int, width: int):
 
 def _match(table: pa.Table) -> pa.Table:
     """Where in each chunk's fragments strings begin that a smaller document holds."""
+    release()
     chunks = table["chunk"].to_pylist()
     parts = [load(b) for b in table["body"].to_pylist()]
     base, anchor, content, lengths, least, most, piece = zip(*parts, strict=True)
@@ -384,6 +388,7 @@ _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def _remove(left: pa.Table, right: pa.Table) -> pa.Table:
     """Documents of a chunk with the removed spans and the bytes that are left."""
+    release()
     kinds, bodies = right["bucket"].to_pylist(), right["body"].to_pylist()
     out: dict[str, list] = {"id": [], "n_bytes": [], "spans": [], "kept": []}
     for body in left["body"].to_pylist():

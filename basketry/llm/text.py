@@ -79,6 +79,7 @@ def slices(
             part = offsets[at : end + 1]
             yield batch.slice(at, end - at), data[part[0] : part[-1]], part - part[0]
             at = end
+        release()
 
 
 @dataclass
@@ -148,6 +149,11 @@ def append_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Re
     return pa.RecordBatch.from_pydict(kept | columns)
 
 
+def release() -> None:
+    """Give freed Arrow memory back, which a reused worker would keep beside the next task's."""
+    pa.default_memory_pool().release_unused()
+
+
 def per_process(key: tuple, make: Callable):
     """A value made once in a Python worker and kept for its later tasks."""
     kept = sys.modules.setdefault("_basketry_worker", types.ModuleType("_basketry_worker")).__dict__
