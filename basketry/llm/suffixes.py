@@ -80,7 +80,8 @@ def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     new[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(new)
     stops = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~new[1:], [False]])) + 1
-    return starts, stops - starts, anchor[starts]
+    # least hashes crowd at the low end, so they are spread again
+    return starts, stops - starts, mix(anchor[starts])
 
 
 def bounded_order(symbols: np.ndarray) -> np.ndarray:
