@@ -13,10 +13,23 @@ from ..session import stash
 from ..sources.tables import laid_out, write_table
 
 
+def _by_key(rows: DataFrame, updates: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join with the keys of ``updates``; NULL key parts are equal."""
+    named = updates.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, same, how)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not updated, plus all ``updates`` (one row per key)."""
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(updates)
+    return _by_key(target, updates, keys, "left_anti").unionByName(updates)
+
+
+def refuse_repeated_keys(updates: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if two rows of ``updates`` have one key: which of them should win is unknown."""
+    repeated = updates.groupBy(*keys).count().where("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"several updates for one key: {repeated.asDict()}")
 
 
 def window_floor(target: DataFrame | None, date: str, days: int = 14) -> Column | None:
@@ -54,8 +67,11 @@ def within_key_range(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     Drops only rows that cannot match.  The two bounds are literals, so the scan skips the
     files and row groups outside them; ids that grow over time make that most of a table.
     """
-    low, high = keys.agg(F.min(key), F.max(key)).first()
-    return df.limit(0) if low is None else df.where(F.col(key).between(low, high))
+    low, high, nulls = keys.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull())).first()
+    inside = F.lit(False) if low is None else F.col(key).between(low, high)
+    if nulls:
+        inside = inside | F.col(key).isNull()
+    return df.limit(0) if low is None and not nulls else df.where(inside)
 
 
 def _in_months(month: str, values: set) -> Column:
@@ -76,20 +92,21 @@ def write_incremental(
     Only months that gain or lose a row are rewritten, with dynamic partition overwrite:
     the months of the updates, and the months the updated keys were stored under before.
     The updates are stored first, so every step sees the same rows while the target changes.
-    A repeated call with the same updates leaves the same table.
+    A repeated call with the same updates leaves the same table, NULL key parts included; several
+    updates for one key raise.
     """
     spark = updates.sparkSession
-    updates = updates.withColumn(month, month_start(date))
+    updates = stash(updates.withColumn(month, month_start(date)), "updates")
+    refuse_repeated_keys(updates, keys)
     # the keys come last, so rows that agree on ``sort_by`` can still be spread
     layout = list(dict.fromkeys([*sort_by, *keys]))
     target = stored_table(spark, path)
     if target is None:
         return write_table(updates, path, partition_by=month, sort_by=layout)
 
-    updates = stash(updates, "updates")
     target = target.withColumn(month, F.col(month).cast("date"))
     near = within_key_range(target.select(*keys, month), updates, keys[0])
-    old = near.join(updates.select(*keys), list(keys), "left_semi")
+    old = _by_key(near, updates, keys, "left_semi")
     touched = updates.select(month, F.lit(True).alias("gains")).unionByName(
         old.select(month, F.lit(False).alias("gains"))
     )
@@ -101,12 +118,11 @@ def write_incremental(
     left_over = losing - gaining
     if left_over:
         # a month all of whose rows moved away gets no new files, so clear it by hand below
-        kept = affected.where(_in_months(month, left_over)).join(
-            updates.select(*keys), list(keys), "left_anti"
-        )
+        kept = _by_key(affected.where(_in_months(month, left_over)), updates, keys, "left_anti")
         left_over -= {r[0] for r in kept.select(month).distinct().collect()}
 
-    merged = upsert(affected, updates, keys)
+    # stored before anything is replaced: a failure below leaves a whole copy to go on from
+    merged = stash(upsert(affected, updates, keys), "merged")
     (
         laid_out(merged, [month], layout)
         .write.mode("overwrite")

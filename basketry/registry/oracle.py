@@ -960,12 +960,11 @@ ORACLE_SQL = {
         FROM events GROUP BY ALL""",
     "write_read_partitioned": ask(
         f"{ORDERS} order_month@",
-        "FROM (SELECT *, date_trunc('month', order_date) AS order_month FROM s_orders) "
-        "WHERE order_date >= DATE '2001-01-01'",
+        "FROM (SELECT *, date_trunc('month', order_date) AS order_month FROM s_orders)",
     ),
     "raw_csv_round_trip": ask(f"{ORDERS} ingested_at@", "FROM s_orders"),
     "orders_view_sql": ask(
-        "order_id status is_completed", "FROM s_orders WHERE status <> 'completed'"
+        "order_id status is_completed", "FROM s_orders"
     ),
     "product_cost_history": ask(
         "product_id unit_cost$ valid_from@ valid_to@ is_current",

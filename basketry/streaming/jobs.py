@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import write_incremental
 from ..plans.refresh import orders_of_returns, refresh_fct_orders
 from ..relations import Relations
 
@@ -57,37 +56,33 @@ def event_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch
     )
 
 
-def daily_revenue_stream(
-    events: DataFrame, path: str, checkpoint: str, lateness: str = "14 days"
-) -> StreamingQuery:
-    """Event value per day and type, kept up to date for events up to ``lateness`` late.
+def daily_revenue_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Event value per day and type, however late an event is.
 
-    Windows changed by a batch are merged into the table at ``path``, so open windows are
-    in the result too; the watermark bounds how long their state is held.
+    Counts and sums add up, so no state is kept between batches: each batch writes its own totals
+    under its number below ``path``, and ``daily_revenue`` adds them up.  A batch that is
+    replayed replaces its totals, and the number of files in a batch makes no difference.
     """
     amount = F.col("value").cast("decimal(18,2)")
-    daily = (
-        events.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", lateness)
-        .groupBy(F.window("ts", "1 day").alias("day"), "event_type")
-        .agg(F.count(F.lit(1)).alias("event_count"), F.sum(amount).alias("total_value"))
-        .select(
-            F.col("day.start").cast("date").alias("event_date"),
-            "event_type",
-            "event_count",
-            "total_value",
-        )
-    )
 
-    def merge(batch: DataFrame, _: int) -> None:
-        write_incremental(
-            batch, path, ["event_date", "event_type"], date="event_date", month="event_month"
+    def add(batch: DataFrame, number: int) -> None:
+        day = F.col("ts").cast("timestamp").cast("date").alias("event_date")
+        totals = batch.groupBy(day, "event_type").agg(
+            F.count(F.lit(1)).alias("event_count"), F.sum(amount).alias("total_value")
         )
+        totals.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
-        daily.writeStream.outputMode("update")
-        .foreachBatch(merge)
+        events.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def daily_revenue(spark: SparkSession, path: str) -> DataFrame:
+    """Totals of all batches that ``daily_revenue_stream`` has written."""
+    return spark.read.parquet(path).groupBy("event_date", "event_type").agg(
+        F.sum("event_count").alias("event_count"),
+        F.sum("total_value").cast("decimal(28,2)").alias("total_value"),
+    )

@@ -8,7 +8,12 @@ from basketry.operators.upsert import reprocess_window, stored_table, upsert, wr
 from basketry.plans.refresh import load_facts_until, orders_of_returns, refresh_fct_orders
 from basketry.plans.warehouse import Warehouse
 from basketry.session import fresh_path
-from basketry.streaming.jobs import daily_revenue_stream, event_stream, refresh_fct_orders_stream
+from basketry.streaming.jobs import (
+    daily_revenue,
+    daily_revenue_stream,
+    event_stream,
+    refresh_fct_orders_stream,
+)
 from tests import shop
 from tests.conftest import day, rows
 
@@ -157,8 +162,8 @@ def test_daily_stream_adds_late_events(spark):
         run.awaitTermination()
 
     arrive(("2024-01-10 10:00:00", "buy", 1.25), ("2024-01-20 10:00:00", "buy", 2.0))
-    arrive(("2024-01-10 23:59:59", "buy", 0.25))  # ten days late, inside the tolerance
-    got = rows(spark.read.parquet(path).select("event_date", "event_count", "total_value"))
+    arrive(("2024-01-10 23:59:59", "buy", 0.25))  # ten days late
+    got = rows(daily_revenue(spark, path).select("event_date", "event_count", "total_value"))
     assert [(str(d), n, float(v)) for d, n, v in got] == [
         ("2024-01-10", 2, 1.5), ("2024-01-20", 1, 2.0),
     ]
@@ -195,3 +200,29 @@ def test_scd2_from_snapshots(spark):
     assert [(r.cost, str(r.valid_from), r.is_current) for r in got.collect()] == [
         (5, "2024-01-01", False), (None, "2024-03-01", False), (5, "2024-04-01", True),
     ]
+
+
+@pytest.mark.parametrize("files", [1, 100])
+def test_daily_revenue_stream_takes_events_of_any_age(spark, tmp_path, files):
+    inbox, path = str(tmp_path / "inbox"), str(tmp_path / "table")
+    for ts, kind in (("2024-03-01", "buy"), ("2024-03-02", None), ("2024-01-01", "buy"), ("2024-01-01", None)):
+        df = spark.createDataFrame([(ts, kind, 2.5)], "ts string, event_type string, value double")
+        df.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(inbox)
+    events = event_stream(spark, inbox, "*.parquet", files_per_batch=files)
+    daily_revenue_stream(events, path, str(tmp_path / "state")).awaitTermination()
+    got = [(str(r[0]), r[1], r[2], float(r[3])) for r in daily_revenue(spark, path).collect()]
+    assert sorted(got, key=str) == sorted(
+        [("2024-01-01", None, 1, 2.5), ("2024-01-01", "buy", 1, 2.5), ("2024-03-01", "buy", 1, 2.5), ("2024-03-02", None, 1, 2.5)],
+        key=str,
+    )
+
+
+def test_merge_takes_null_keys_once_and_refuses_repeated_keys(spark, tmp_path):
+    path = str(tmp_path / "nulls")
+    data = frame(spark, (None, "2024-01-01", "a"), (1, "2024-01-02", "b"))
+    for _ in range(2):
+        write_incremental(data, path, ["id"], date="d", month="m")
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="several updates"):
+        write_incremental(frame(spark, (1, "2024-01-01", "a"), (1, "2024-01-01", "b")), path, ["id"], date="d", month="m")
+    assert spark.read.parquet(path).count() == 2
