@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,26 +53,29 @@ def _starts(word: str) -> list[str]:
     return [word[:n] + "~" for n in (4, 5, 6) if len(word) > n]
 
 
-def features(text: str | None, words: dict[str, float], starts: dict[str, float]) -> list[float]:
-    """Dense features of a whole text: densities per word, rates per character."""
+def features(text: str | None, words: dict[str, float], starts: dict[str, float], fours: set[str]) -> list[float]:
+    """Dense features of a whole text: densities per word, rates per character.
+
+    words and starts: learned terms; fours: the first four letters of the learned beginnings.
+    """
     text = text or ""
-    low = [w.lower() for w in _WORD.findall(text)]
+    low = _WORD.findall(text.lower())
     n, size = max(1, len(low)), max(1, len(text))
-    counted: dict[str, int] = {}
-    for w in low:
-        counted[w] = counted.get(w, 0) + 1
+    counted = Counter(low)
     sums = dict.fromkeys(("insults", "profanity", "threats", "second"), 0)
     learned = begun = most = 0.0
     hits = set()
-    for w, k in counted.items():
-        if w in _LEXICON:
-            sums[_LEXICON[w]] += k
-            if _LEXICON[w] == "insults":
-                hits.add(w)
-        score = words.get(w, 0.0)
+    for w in counted.keys() & _LEXICON.keys():
+        sums[_LEXICON[w]] += counted[w]
+        if _LEXICON[w] == "insults":
+            hits.add(w)
+    for w in counted.keys() & words.keys():
+        learned, most = learned + counted[w] * words[w], max(most, words[w])
+        hits.add(w)
+    for w in [w for w in counted if w[:4] in fours]:
         begin = max((starts.get(s, 0.0) for s in _starts(w)), default=0.0)
-        learned, begun, most = learned + k * score, begun + k * begin, max(most, score, begin)
-        if score or begin:
+        if begin:
+            begun, most = begun + counted[w] * begin, max(most, begin)
             hits.add(w)
     near = 0
     if hits and sums["second"]:
@@ -85,8 +89,8 @@ def features(text: str | None, words: dict[str, float], starts: dict[str, float]
     if odd:
         spelt = _WORD.findall(text.translate(_PLAIN).lower())
         plain = sum(_LEXICON.get(w) == "insults" for w in spelt) - sums["insults"]
-    upper = sum(map(str.isupper, _sample_free(text)))
-    shouted = sum(1 for w in _WORD.findall(text) if len(w) > 2 and w.isupper()) if upper else 0
+    upper = len(_NOT_UPPER.sub("", text))
+    shouted = sum(len(w) > 2 and w.isupper() for w in _WORD.findall(text)) if upper > n / 2 else 0
     marks = text.count("!"), text.count("?")
     other = sum(text.count(c) for c in ".,;:-\"'()*#@$%&")
     return [
@@ -100,16 +104,13 @@ _LEXICON = dict.fromkeys(SECOND_PERSON, "second") | dict.fromkeys(THREATS, "thre
 _NOT_UPPER = re.compile(r"[^A-ZÀ-ÖØ-Þ]+")
 
 
-def _sample_free(text: str) -> str:
-    return _NOT_UPPER.sub("", text)
-
-
 def _featurize(terms):
     def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = {t: s for t, s in terms.value.items() if not t.endswith("~")}
         starts = {t: s for t, s in terms.value.items() if t.endswith("~")}
+        fours = {t[:4] for t in starts}
         for texts in frames:
-            yield pd.DataFrame([features(t, words, starts) for t in texts], columns=FEATURES)
+            yield pd.DataFrame([features(t, words, starts, fours) for t in texts], columns=FEATURES)
 
     return F.pandas_udf(run, ", ".join(f"{f} double" for f in FEATURES))
 
