@@ -115,7 +115,6 @@ def _featurize(terms):
     return F.pandas_udf(run, ", ".join(f"{f} double" for f in FEATURES))
 
 
-@F.pandas_udf("array<string>")
 def _terms_of(texts: pd.Series) -> pd.Series:
     """Distinct words and word beginnings of each text."""
     out = []
@@ -133,7 +132,8 @@ def learn_terms(rows: DataFrame) -> dict[str, float]:
     toxic = F.sum("label").alias("t")
     totals = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("label")).first()
     bad, good = float(totals[0]), float(totals[1] - totals[0])
-    seen = rows.select(F.explode(_terms_of("text")).alias("term"), "label").groupBy("term").agg(toxic, F.count("label").alias("n"))
+    terms_of = F.pandas_udf(_terms_of, "array<string>")
+    seen = rows.select(F.explode(terms_of("text")).alias("term"), "label").groupBy("term").agg(toxic, F.count("label").alias("n"))
     clean = F.col("n") - F.col("t")
     odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((clean + 0.5) / (good + 1))
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (clean + 0.5))
