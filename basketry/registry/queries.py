@@ -39,8 +39,9 @@ from ..plans.staging import stage_orders
 from ..plans.warehouse import Warehouse
 from ..session import fresh_path, stash, tune
 from ..sources import as_view, from_star, read_raw, write_table
-from ..streaming.jobs import daily_revenue, event_stream, refresh_fct_orders_stream
+from ..streaming.jobs import daily_revenue as stream_totals
 from ..streaming.jobs import daily_revenue_stream as start_daily_revenue
+from ..streaming.jobs import event_stream, refresh_fct_orders_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -606,7 +607,7 @@ def daily_revenue_stream(spark, folder):
     events = event_stream(spark, inbox, "*.parquet", files_per_batch=2)
     run = start_daily_revenue(events, path, fresh_path(spark, "stream-state"))
     run.awaitTermination()
-    return daily_revenue(spark, path)
+    return stream_totals(spark, path)
 
 
 @query
