@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stash
+from ..session import fresh_path, stash
 from .text import _BYTE_CODE, _POWERS, MULTIPLIER, mix, ragged, release, slices
 
 LENGTH = 50
@@ -285,6 +285,14 @@ def _repeated(width: int):
     return run
 
 
+def _contents(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pieces of the data."""
+    up, down = _POWERS.upto(len(data))
+    total = np.zeros(len(data) + 1, _U)
+    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=total[1:])
+    return mix((total[starts + lengths] - total[starts]) * down[starts] + lengths.astype(_U))
+
+
 def _fragment_rows(buckets: int, width: int):
     """Distinct fragments of a chunk with repeated anchors, by bucket; bucket -1 has their places."""
     cut = _U(8 * (8 - width))
@@ -306,10 +314,7 @@ def _fragment_rows(buckets: int, width: int):
             if not len(starts):
                 continue
             lengths = windows + LENGTH - 1
-            up, down = _POWERS.upto(len(data))
-            total = np.zeros(len(data) + 1, _U)
-            np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=total[1:])
-            content = mix((total[starts + lengths] - total[starts]) * down[starts] + lengths.astype(_U))
+            content = _contents(data, starts, lengths)
             text = np.searchsorted(offsets, starts, "right") - 1
             order = np.lexsort((content, anchor))
             new = np.concatenate([[True], (content[order][1:] != content[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])])
@@ -324,7 +329,7 @@ def _fragment_rows(buckets: int, width: int):
                 own = one[cuts[b] : cuts[b + 1]]
                 s = slice(cuts[b], cuts[b + 1])
                 piece = data[ragged(starts[own], lengths[own])]
-                rows.append((b, chunk, dump(int(cuts[b]), anchor[own], content[own], lengths[own].astype(np.int32), least[s], most[s], piece)))
+                rows.append((b, chunk, dump(int(cuts[b]), anchor[own] >> _U(16), lengths[own].astype(np.int32), least[s], most[s] - least[s], piece)))
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "chunk": pa.array([r[1] for r in rows], pa.int64()), "body": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
@@ -335,11 +340,12 @@ def _match(table: pa.Table) -> pa.Table:
     release()
     chunks = table["chunk"].to_pylist()
     parts = [load(b) for b in table["body"].to_pylist()]
-    base, anchor, content, lengths, least, most, piece = zip(*parts, strict=True)
+    base, anchor, lengths, least, more, piece = zip(*parts, strict=True)
     many = [len(a) for a in anchor]
-    anchor, content, lengths, least, most, data = (np.concatenate(x) for x in (anchor, content, lengths, least, most, piece))
-    lengths = lengths.astype(np.int64)
+    anchor, lengths, least, more, data = (np.concatenate(x) for x in (anchor, lengths, least, more, piece))
+    lengths, most = lengths.astype(np.int64), least + more
     begins = np.cumsum(lengths) - lengths
+    content = _contents(data, begins, lengths)
     order = np.lexsort((lengths, content, anchor))
     a, c, n = anchor[order], content[order], lengths[order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])]))
@@ -426,6 +432,16 @@ def _remove(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array(out["id"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()), "spans": pa.array(out["spans"], _ARROW_SPANS), "kept": pa.array(out["kept"], pa.binary())})
 
 
+def _by_chunk(packed: DataFrame) -> DataFrame:
+    """Chunks stored in buckets by their number, so that joining them twice moves no text."""
+    spark = packed.sparkSession
+    path = fresh_path(spark, "repeat-chunks")
+    name = f"repeat_chunks_{path.rsplit('-', 1)[-1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed.write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_bytes, spans, kept): texts without what a document of a smaller id holds as well.
 
@@ -444,7 +460,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     repeated rows do not remove each other.  Null texts are empty.  Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    packed = stash(rows.mapInArrow(_pack, "chunk long, body binary"), "repeat-chunks")
+    packed = _by_chunk(rows.mapInArrow(_pack, "chunk long, body binary"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, math.ceil(size / ANCHOR_BUCKET))
     # an anchor is only a filter: so many bytes of it leave few chance meetings
