@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stash
-from .components import components
+from .components import merged
 from .rows import pack, unpack
 from .text import Words, mix, per_process, slices, words
 
@@ -293,13 +293,14 @@ def near_duplicates(
         return ratio & (agree >= BANDS * ROWS // 2)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = stash(pairs.select("a", "b").distinct(), "near-pairs")
+        """Classes (a, b) of the pairs that are alike in full."""
+        pairs = pairs.select("a", "b", F.col("component").alias("ca"), "cb").distinct()
         one = vectors.select(F.col("key").alias("a"), F.col("h").alias("ha"), F.col("w").alias("wa"))
         two = vectors.select(F.col("key").alias("b"), F.col("h").alias("hb"), F.col("w").alias("wb"))
-        both = pairs.join(one, "a").join(two, "b").select("a", "b", "ha", "wa", "hb", "wb")
-        return both.mapInArrow(_verify(similarity), "a string, b string")
+        both = pairs.join(one, "a").join(two, "b")
+        both = both.select(F.col("ca").alias("a"), F.col("cb").alias("b"), "ha", "wa", "hb", "wb")
+        return both.mapInArrow(_verify(similarity), "a string, b string").distinct()
 
-    links = None
     open_ = placed.withColumn("component", F.col("key"))
     of = None
     for turn in range(LEADER_ROUNDS + 1):
@@ -314,8 +315,9 @@ def near_duplicates(
             other = open_.select("bucket", F.col("key").alias("b"), F.col("total").alias("tb"), F.col("samples").alias("sb"), F.col("component").alias("cb"))
             pairs = open_.withColumnsRenamed({"key": "a", "total": "ta", "samples": "sa"}).join(other, "bucket").where((F.col("component") < F.col("cb")) & alike())
         found = stash(linked(pairs), "near-links")
-        links = found if links is None else links.unionByName(found)
-        of = stash(components(links), "near-classes")
+        if found.isEmpty():
+            continue
+        of = stash(merged(of, found), "near-classes")
         open_ = placed.join(of.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
         mixed = open_.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("mixed")).where("mixed")
         open_ = stash(open_.join(mixed.select("bucket"), "bucket"), "near-open")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import suffixes
+from basketry.llm.components import components, merged
 from basketry.llm.decontaminate import decontaminate
 from basketry.llm.language import fit_language
 from basketry.llm.minhash import near_duplicates
@@ -168,6 +169,36 @@ def test_token_files_round_trip(spark, docs, texts, tmp_path):
         at += len(ids)
 
 
+def test_components_match_union_find(spark):
+    rng = random.Random(1)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1050)] + [(5, 5)]
+
+    def found_by_hand(links):
+        up = {}
+
+        def top(x):
+            while up.setdefault(x, x) != x:
+                x = up[x]
+            return x
+
+        for a, b in links:
+            if a != b:
+                a, b = sorted((top(a), top(b)))
+                up[b] = a
+        return {x: top(x) for x in up}
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "a long, b long")
+
+    want = sorted(found_by_hand(links).items())
+    assert sorted(map(tuple, components(frame(links)).collect())) == want
+    assert components(frame(links).limit(0)).count() == 0
+    before = found_by_hand(links[:150])
+    between = [(before.get(a, a), before.get(b, b)) for a, b in links[150:]]
+    after = merged(merged(None, frame(links[:150])), frame(between))
+    assert sorted(map(tuple, after.collect())) == want
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((40, 16))
@@ -221,5 +252,3 @@ def test_toxicity_and_language_on_held_out_rows(spark, docs):
     assert language.predict(docs).where("lang_pred = 'und'").count() == 4
     nothing = fit_language(given.limit(0))
     assert nothing.predict(docs).where("lang_pred = 'und'").count() == docs.count()
-
-
