@@ -104,6 +104,15 @@ def _counted(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
 
 
+def damped(n: int, frequency: np.ndarray) -> np.ndarray:
+    """Inverse document frequency between 1 and 2.
+
+    Near copies raise the frequency of what they share.  If idf could fall to nothing, the few words
+    in which a large group's texts differ would outweigh the rest, and the group would fall apart.
+    """
+    return 1 + np.log1p(n / frequency) / np.log1p(n)
+
+
 def inverse_document_frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """(hash, idf) of frequent shingles, and the idf of all others, from all texts.
 
@@ -122,13 +131,13 @@ def inverse_document_frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarr
     step = (1 << SKETCH_BITS) // BLOCKS
     for b, raw in zip(sums["block"], sums["counts"], strict=True):
         hot[b * step : (b + 1) * step] = np.frombuffer(zlib.decompress(raw), np.uint32) >= max(2, least)
-    rest = float(np.log1p(n / least)) if n else 1.0
+    rest = float(damped(n, np.float64(least))) if n else 1.0
     shared = spark.sparkContext.broadcast(np.packbits(hot).tobytes())
     counted = texts.mapInArrow(_candidate_counter(shared), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     frequent = counted.where(F.col("n") >= F.lit(float(max(2, least)))).toArrow()
     h = np.asarray(frequent["h"]).view(np.uint64)
     order = np.argsort(h)
-    return h[order], np.log1p(n / np.asarray(frequent["n"])[order]), rest
+    return h[order], damped(n, np.asarray(frequent["n"])[order]), rest
 
 
 def weigh(h: np.ndarray, count: np.ndarray, idf: tuple) -> np.ndarray:
@@ -255,8 +264,8 @@ def near_duplicates(
 ) -> DataFrame:
     """All rows with ``class_id`` (least id of the class) and ``kept`` (it is the class's own).
 
-    Texts are linked if the weighted Jaccard similarity of their TF-IDF 5-word shingles is
-    ``similarity`` or more; a class is what links connect.  Equal texts are one node.  Nodes that
+    Texts are linked if the weighted Jaccard similarity of their TF-IDF 5-word shingles (idf is
+    damped, see ``damped``) is ``similarity`` or more; a class is what links connect.  Equal texts are one node.  Nodes that
     agree in a band of ``ROWS`` samples are compared: first each with one leader per bucket, and as members
     that joined one class need no more comparing, three rounds with other leaders close nearly
     every bucket, a large group of copies included.  In buckets that still hold several classes, all

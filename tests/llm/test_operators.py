@@ -92,6 +92,19 @@ def test_near_duplicates_find_copies_and_leave_others(docs):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_large_group_of_near_copies_stays_together(spark):
+    rng = random.Random(4)
+    base = [prose(rng, 1) for _ in range(200)]
+    copies = []
+    for i in range(300):  # each pair has a plain Jaccard similarity of 0.9
+        own = list(base)
+        own[rng.randrange(10, 190)] = f"own{i}"
+        copies.append((i, " ".join(own)))
+    frame = spark.createDataFrame([*copies, (300, prose(rng, 200))], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame).collect()}
+    assert got == {i: 0 for i in range(300)} | {300: 300}
+
+
 def test_decontamination_matches_brute_force(spark, docs, texts):
     rng = random.Random(8)
     source = words_of(texts[5][1])
