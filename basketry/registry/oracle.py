@@ -929,7 +929,12 @@ ORACLE_SQL = {
            FROM s_orders) WHERE newest IS NULL OR age_days > 3""",
     ),
     "check_at_least_one": ask(
-        "n#", "FROM (SELECT count(signup_date) AS n FROM s_users) WHERE n = 0"
+        "n# part",
+        """FROM (SELECT 'without lines' AS part, count(primary_product_id) AS n FROM facts
+                 WHERE coalesce(line_item_count, 0) = 0
+                 UNION ALL SELECT 'with lines', count(primary_product_id) FROM facts
+                 WHERE line_item_count > 0)
+           WHERE n = 0""",
     ),
     "check_row_count": ask("n#", "FROM (SELECT count(*) AS n FROM s_items) WHERE n > 1000"),
     "check_distribution": ask(

@@ -503,7 +503,13 @@ def check_recency(wh):
 
 @query
 def check_at_least_one(wh):
-    return checks.check_at_least_one(wh.staged.users, "signup_date")
+    """Orders without lines have no main product at all; those with lines have one."""
+    lines = F.coalesce("line_item_count", F.lit(0))
+    facts = stash(wh.fct_orders.select("line_item_count", "primary_product_id"), "main-products")
+    found = checks.check_at_least_one(facts.where(lines == 0), "primary_product_id")
+    other = checks.check_at_least_one(facts.where(lines > 0), "primary_product_id")
+    named = found.withColumn("part", F.lit("without lines"))
+    return named.unionByName(other.withColumn("part", F.lit("with lines")))
 
 
 @query
