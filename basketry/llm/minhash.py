@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..session import stash
 from .components import merged
 from .rows import pack, unpack
-from .text import Words, mix, per_process, slices, words
+from .text import Words, mix, per_process, ragged, slices, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -23,6 +23,8 @@ SKETCH_BITS = 22
 FREQUENT_BITS = 18  # a shingle is frequent from (all shingles) / 2**FREQUENT_BITS occurrences on
 BLOCKS = 16
 LEADER_ROUNDS = 3
+WIDE = 64  # nodes; larger buckets are compared block by block
+BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
 _TABLE_BITS = 16
 _CHUNK = 1 << 15
 
@@ -255,12 +257,87 @@ def _verify(least: float):
     return verify
 
 
+def _across(least: float):
+    """Links between the classes of two blocks of a bucket, as few as join them."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        names, kind = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)
+        left, minor = (table[c].to_numpy() for c in ("left", "minor"))
+        samples = table["samples"].combine_chunks().flatten().to_numpy().reshape(len(kind), -1)
+        total = table["total"].to_numpy()
+        hashes = [np.frombuffer(h, np.uint64) for h in table["h"].to_pylist()]
+        sizes = np.array([len(h) for h in hashes])
+        starts = np.cumsum(sizes) - sizes
+        _, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        weight = np.concatenate([np.broadcast_to(np.frombuffer(w), n) for w, n in zip(table["w"].to_pylist(), sizes, strict=True)])
+        class_of = np.arange(len(names))
+        spread = np.zeros(place.max() + 1)
+        links = []
+        for x in np.flatnonzero(left):
+            own = class_of[kind[x]]
+            # of two rows outside the largest class, one asks the other
+            rows = np.flatnonzero(~left & (class_of[kind] != own) & (~minor | (kind > kind[x])))
+            rows = rows[_allowed(total[rows], total[x], least)]
+            rows = rows[(samples[rows] == samples[x]).sum(1) >= samples.shape[1] // 2]
+            if not len(rows):
+                continue
+            mine = slice(starts[x], starts[x] + sizes[x])
+            spread[place[mine]] = weight[mine]
+            spots = ragged(starts[rows], sizes[rows])
+            common = np.minimum(weight[spots], spread[place[spots]])
+            common = np.add.reduceat(common, np.cumsum(sizes[rows]) - sizes[rows])
+            spread[place[mine]] = 0
+            alike = common / (total[x] + total[rows] - common) >= least
+            for other in np.unique(class_of[kind[rows[alike]]]):
+                links.append((names[own], names[other]))
+                class_of[class_of == other] = own
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+
+    return compare
+
+
+def _allowed(t, u, least: float):
+    return np.minimum(t, u) >= np.maximum(t, u) * (least - 1e-9)
+
+
+def links_in_wide_buckets(rows: DataFrame, vectors: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between classes from all pairs of a bucket (one too wide for a join of pairs).
+
+    Every pair of two classes has an end outside the bucket's largest class.  These rows are dealt to blocks, all
+    rows to other blocks, and each pair of blocks meets in one task, which holds two blocks and returns
+    fewer links than it has classes.  So a large class costs as many copies as there are blocks outside it.
+    """
+    of_class = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("t"))
+    top = F.max_by(F.struct("component", "n", "t"), F.struct("n", "component"))
+    sums = of_class.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+    def blocks(n: Column, t: Column) -> Column:
+        # a weight is at least 1, so a total is no less than the number of shingles, of 16 bytes
+        return F.ceil(F.greatest(n / BLOCK_NODES, t * 16 / BLOCK_BYTES, F.lit(1))).cast("int")
+
+    sums = sums.select(
+        "bucket",
+        F.col("top.component").alias("largest"),
+        blocks(F.col("n") - F.col("top.n"), F.col("t") - F.col("top.t")).alias("outer"),
+        blocks(F.col("n"), F.col("t")).alias("all"),
+    )
+    held = rows.join(sums, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
+    place = F.xxhash64("key", "bucket")
+    asks = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda j: F.struct(F.pmod(place, F.col("outer")).cast("int").alias("i"), j.alias("j"), F.lit(True).alias("left")))
+    asked = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda i: F.struct(i.alias("i"), F.pmod(place, F.col("all")).cast("int").alias("j"), F.lit(False).alias("left")))
+    held = held.withColumn("spots", F.when(F.col("minor"), F.concat(asks, asked)).otherwise(asked))
+    held = held.join(vectors, "key").select("bucket", "component", "minor", "total", "samples", "h", "w", F.inline("spots"))
+    return held.groupBy("bucket", "i", "j").applyInArrow(_across(similarity), "a string, b string").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
+    wide: int = WIDE,
 ) -> DataFrame:
     """All rows with ``class_id`` (least id of the class) and ``kept`` (it is the class's own).
 
@@ -269,7 +346,8 @@ def near_duplicates(
     agree in a band of ``ROWS`` samples are compared: first each with one leader per bucket, and as members
     that joined one class need no more comparing, three rounds with other leaders close nearly
     every bucket, a large group of copies included.  In buckets that still hold several classes, all
-    pairs across classes are compared, so no leader's choice loses a link.  Only texts are paired whose
+    pairs across classes are compared, so no leader's choice loses a link: buckets of up to ``wide`` nodes by a
+    join of pairs, others block by block, which sends no pair anywhere.  Only texts are paired whose
     total weights allow the similarity and that agree in half of the 36 samples, which a pair at the
     threshold misses 3 times in a million (and all bands 2 times in 10,000).
 
@@ -321,9 +399,14 @@ def near_duplicates(
             leaders = open_.groupBy("bucket").agg(first.alias("_l")).select("bucket", "_l.*")
             pairs = open_.withColumnsRenamed({"key": "a", "total": "ta", "samples": "sa"}).join(leaders, "bucket").where((F.col("component") != F.col("cb")) & alike())
         else:
+            many = open_.groupBy("bucket").agg((F.count(F.lit(1)) > wide).alias("wide"))
+            sized = stash(open_.join(many, "bucket"), "near-sized")
+            in_wide = links_in_wide_buckets(sized.where("wide"), vectors, similarity)
+            open_ = sized.where("NOT wide")
             other = open_.select("bucket", F.col("key").alias("b"), F.col("total").alias("tb"), F.col("samples").alias("sb"), F.col("component").alias("cb"))
             pairs = open_.withColumnsRenamed({"key": "a", "total": "ta", "samples": "sa"}).join(other, "bucket").where((F.col("component") < F.col("cb")) & alike())
-        found = stash(linked(pairs), "near-links")
+        found = linked(pairs)
+        found = stash(found if turn < LEADER_ROUNDS else found.unionByName(in_wide), "near-links")
         if found.isEmpty():
             continue
         of = stash(merged(of, found), "near-classes")

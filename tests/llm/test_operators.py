@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import suffixes
+from basketry.llm import minhash, suffixes
 from basketry.llm.components import components, merged
 from basketry.llm.decontaminate import decontaminate
 from basketry.llm.language import fit_language
@@ -105,6 +105,27 @@ def test_a_large_group_of_near_copies_stays_together(spark):
     assert got == {i: 0 for i in range(300)} | {300: 300}
 
 
+def test_wide_buckets_give_the_links_of_narrow_ones(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [prose(rng, 1) for _ in range(150)]
+    rows = []
+    for i in range(160):  # from close to far copies: some pairs are linked, some are not
+        own = list(base)
+        for p in rng.sample(range(150), rng.randrange(12)):
+            own[p] = f"own{i}x{p}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "LEADER_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 20)
+
+    def classes(wide):
+        return {r["doc_id"]: r["class_id"] for r in near_duplicates(frame, wide=wide).collect()}
+
+    narrow = classes(10**6)
+    assert classes(0) == narrow and classes(30) == narrow
+    assert 1 < len(set(narrow.values())) < 160
+
+
 def test_decontamination_matches_brute_force(spark, docs, texts):
     rng = random.Random(8)
     source = words_of(texts[5][1])
