@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import engagement_band, loyalty_tier, mean_of, safe_divide
 from ..functions.columns import GROWTH_REVENUE, VIP_REVENUE
+from ..operators.relational import top_n
+from ..session import stash
 from .metrics import order_product_totals, returns_with_order
 
 
@@ -30,50 +32,52 @@ def dim_products(products: DataFrame, performance: DataFrame) -> DataFrame:
     )
 
 
-def order_product_mix(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Per order: its main product and the number of distinct categories.
+def sold_products(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Order x product totals with the product's name and category.
 
-    The main product has the largest quantity, then the largest sales, then the lowest id.
-    It is taken as the minimum of an ordering struct, an aggregate that combines on the map
-    side: even an order holding a third of all lines reaches its reducer as a few rows.
     Lines of unknown products are left out.
     """
-    sold = order_product_totals(items).join(
-        products.select("product_id", "product_name", "category"), "product_id"
-    )
-    by_weight = F.struct(
-        (-F.col("product_quantity")).alias("less_quantity"),
-        (-F.col("product_sales")).alias("less_sales"),
-        "product_id",
-        "product_name",
-        "category",
-        "product_quantity",
-        "product_sales",
-    )
-    return (
-        sold.groupBy("order_id")
-        .agg(
-            F.min(by_weight).alias("top"),
-            F.countDistinct("category").alias("distinct_categories"),
-        )
-        .select(
-            "order_id",
-            F.col("top.product_id").alias("primary_product_id"),
-            F.col("top.product_name").alias("primary_product_name"),
-            F.col("top.category").alias("primary_product_category"),
-            F.col("top.product_quantity").alias("primary_product_quantity"),
-            F.col("top.product_sales").alias("primary_product_sales"),
-            "distinct_categories",
-        )
+    known = products.select("product_id", "product_name", "category")
+    return order_product_totals(items).join(known, "product_id")
+
+
+def _main_products(sold: DataFrame) -> DataFrame:
+    """Per order the product of largest quantity, then largest sales, then lowest id.
+
+    Only each task's best rows are shuffled, so an order holding a third of all lines costs
+    few rows.  A NULL quantity or sales figure is ordered first.
+    """
+    less = [(-F.col(c)).asc_nulls_first() for c in ("product_quantity", "product_sales")]
+    return top_n(sold, ["order_id"], [*less, F.asc("product_id")], 1).select(
+        "order_id",
+        F.col("product_id").alias("primary_product_id"),
+        F.col("product_name").alias("primary_product_name"),
+        F.col("category").alias("primary_product_category"),
+        F.col("product_quantity").alias("primary_product_quantity"),
+        F.col("product_sales").alias("primary_product_sales"),
     )
 
 
+def _category_counts(sold: DataFrame) -> DataFrame:
+    pairs = sold.select("order_id", "category").distinct()
+    return pairs.groupBy("order_id").agg(F.count("category").alias("distinct_categories"))
+
+
+def order_product_mix(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Per order: its main product and the number of distinct categories.
+
+    The order x product rows are stored once and read for both.
+    """
+    sold = stash(sold_products(items, products), "sold-products")
+    return _main_products(sold).join(_category_counts(sold), "order_id", "left")
+
+
 def primary_product(items: DataFrame, products: DataFrame) -> DataFrame:
-    return order_product_mix(items, products).drop("distinct_categories")
+    return _main_products(sold_products(items, products))
 
 
 def category_mix(items: DataFrame, products: DataFrame) -> DataFrame:
-    return order_product_mix(items, products).select("order_id", "distinct_categories")
+    return _category_counts(sold_products(items, products))
 
 
 def fct_orders(

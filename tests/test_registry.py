@@ -78,3 +78,8 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
 def test_top_rows_are_limited_before_the_shuffle(spark):
     text = plan(QUERIES["primary_product_top_n"](spark, str(FOLDER)))
     assert text.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name", ["order_metrics", "primary_product", "category_mix", "fct_orders"])
+def test_order_rollups_use_hash_aggregates(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, str(FOLDER)))
