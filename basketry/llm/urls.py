@@ -80,9 +80,10 @@ def judge_urls(
     - digits and long hexadecimal runs in a segment are wildcards,
     - of a node with ``many_children`` or more, children with under ``rare`` of its pages are
       one wildcard,
-    - siblings whose pages end there as often, and are blocked as often, as those of all siblings
-      of their kind (labelled or not) by a Hoeffding test at ``alpha`` are merged into one.  Unlabelled
-      branches never merge with labelled ones, so a verdict is not carried over without evidence.
+    - siblings whose pages end there as often as those of all siblings by a Hoeffding test at ``alpha`` are
+      merged into one.  Labelled ones must be blocked as often as all labelled siblings, too.  Unlabelled
+      ones have no rate to test: they merge by structure, so that the purity of their template,
+      known from labelled siblings, judges them.
 
     A template's purity is blocked / (labelled + ``smoothing``), and it is rejected from ``purity`` on;
     without labels it is kept.  A rule that fits overrides the template.
@@ -126,18 +127,15 @@ def _grow(tree: DataFrame, depth: int, many: int, rare: float, alpha: float) ->
     children = open_.groupBy("host", "_node", "_child").agg(
         F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("blocked").alias("cb"), F.sum(ends).alias("ce")
     )
-    kind = (F.col("cl") > 0).alias("_kind")
-    children = children.withColumn("_kind", kind)
-    nodes = children.groupBy("host", "_node").agg(F.sum("cn").alias("nn"), F.count(F.lit(1)).alias("nk"))
-    pools = children.groupBy("host", "_node", "_kind").agg(
+    pools = children.groupBy("host", "_node").agg(
         F.sum("cn").alias("pn"), F.sum("cl").alias("pl"), F.sum("cb").alias("pb"), F.sum("ce").alias("pe"), F.count(F.lit(1)).alias("pk")
     )
     c = F.col
     similar = _compatible(c("ce"), c("cn"), c("pe"), c("pn"), alpha)
-    similar &= ~c("_kind") | _compatible(c("cb"), c("cl"), c("pb"), c("pl"), alpha)
-    variable = (c("nk") >= many) & (c("cn") < rare * c("nn"))
-    token = F.when(variable, F.when(c("_kind"), "*").otherwise("*?")).when((c("pk") > 1) & similar, F.when(c("_kind"), "+").otherwise("+?"))
-    named = children.join(nodes, ["host", "_node"]).join(pools, ["host", "_node", "_kind"])
+    similar &= (c("cl") == 0) | _compatible(c("cb"), c("cl"), c("pb"), c("pl"), alpha)
+    variable = (c("pk") >= many) & (c("cn") < rare * c("pn"))
+    token = F.when(variable, "*").when((c("pk") > 1) & similar, "+")
+    named = children.join(pools, ["host", "_node"])
     named = named.select("host", "_node", "_child", F.coalesce(token, c("_child")).alias("_token"))
     grown = open_.join(named, ["host", "_node", "_child"]).withColumn("_node", F.concat("_node", F.lit("/"), "_token"))
     return ended.unionByName(grown.select(ended.columns))

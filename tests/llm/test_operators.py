@@ -268,6 +268,24 @@ def test_urls_follow_rules_then_purity(spark):
     assert judge_urls(frame.limit(0), rules).count() == 0
 
 
+def test_purity_judges_unlabelled_slugs_by_their_siblings(spark):
+    def slug(i):
+        return "".join("abcdefghij"[int(d)] for d in f"{i:02}")
+
+    pages = []
+    for host, bad in (("spam.org", 1), ("good.org", 0)):
+        pages += [(f"http://{host}/ad/{slug(i)}", None if i % 10 == 0 else bad) for i in range(40)]  # a wildcard
+        pages += [(f"http://few.{host}/{slug(i)}/x", None if i == 0 else bad) for i in range(6)]  # a merge
+        pages += [(f"http://none.{host}/{slug(i)}", None) for i in range(40)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, bad int")
+    got = judge_urls(frame, [], label=F.col("bad")).where("bad IS NULL").collect()
+    verdicts = {h: {r["verdict"] for r in got if r["host"] == h} for h in {r["host"] for r in got}}
+    assert verdicts == {
+        "spam.org": {"block"}, "few.spam.org": {"block"}, "none.spam.org": {"allow"},
+        "good.org": {"allow"}, "few.good.org": {"allow"}, "none.good.org": {"allow"},
+    }
+
+
 def test_toxicity_and_language_on_held_out_rows(spark, docs):
     folder = "/root/testdata/sf0.01"
     given = spark.read.parquet(f"{folder}/documents.parquet")
