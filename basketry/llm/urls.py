@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from ..session import stash
 from .rows import pack, unpack
 
-MAX_DEPTH = 6  # deeper segments share one wildcard
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,8 +74,10 @@ def judge_urls(
     """All rows with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``purity``.
 
     A page's label is blocked (1), allowed (0) or unknown (null): that of ``label``, or else of the
-    longest rule that fits.  Paths are cut at slashes, empty segments left out.  The tree is grown level by
-    level for all hosts at once, on distinct (host, shaped path) with counts:
+    longest rule that fits.  Paths are cut at slashes, empty segments left out.  The tree is grown fork by
+    fork for all hosts at once, on distinct (host, shaped path) with counts, to the end of every path.  What
+    lies between two forks is one chain, which is taken in one round: there are as many rounds as
+    forks on one path, however long it is.
 
     - digits and long hexadecimal runs in a segment are wildcards,
     - of a node with ``many_children`` or more, children with under ``rare`` of its pages are
@@ -97,17 +99,18 @@ def judge_urls(
     rows = rows.withColumns({"rule": rule, "_said": said})
     marked = F.when(F.col("_said") == "block", 1).when(F.col("_said") == "allow", 0)
     shaped = F.filter(F.split("path", "/"), lambda s: s != "")
-    rest = F.when(F.size(shaped) > MAX_DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    shaped = F.concat(F.transform(F.slice(shaped, 1, MAX_DEPTH), shape), rest)
+    shaped = F.transform(shaped, shape)
     rows = rows.withColumns({"_label": F.coalesce(F.col("_label").cast("int"), marked), "_shape": F.array_join(shaped, "/")})
     counts = rows.groupBy("host", "_shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("_label").alias("labelled"), F.coalesce(F.sum("_label"), F.lit(0)).alias("blocked")
     )
-    tree = counts.withColumns({"_segments": F.when(F.col("_shape") == "", F.array().cast("array<string>")).otherwise(F.split("_shape", "/")), "_node": F.lit("")})
-    tree = stash(tree, "url-tree")
-    deepest = tree.agg(F.max(F.size("_segments"))).first()[0] or 0  # MAX_DEPTH + 1 at most
-    for depth in range(deepest):
-        tree = stash(_grow(tree, depth, many_children, rare, alpha), "url-tree")
+    empty = F.array().cast("array<string>")
+    tree = counts.withColumns({"_rest": F.when(F.col("_shape") == "", empty).otherwise(F.split("_shape", "/")), "_node": F.lit("")})
+    parts = [stash(tree, "url-tree")]
+    while not (open_ := parts[-1].where(F.size("_rest") > 0)).isEmpty():
+        parts[-1] = parts[-1].where(F.size("_rest") == 0)
+        parts.append(stash(_grow(open_, many_children, rare, alpha), "url-tree"))
+    tree = reduce(DataFrame.unionByName, parts)
     pure = F.col("blocked") / (F.col("labelled") + smoothing)
     templates = tree.groupBy("host", "_node").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
     templates = templates.select("host", "_node", pure.alias("purity"))
@@ -119,18 +122,35 @@ def judge_urls(
     return unpack(out, ["host", "path", "rule", "verdict", "template", "purity"])
 
 
-def _grow(tree: DataFrame, depth: int, many: int, rare: float, alpha: float) -> DataFrame:
-    """Append the token of segment ``depth`` to each node; the pages that end before stay."""
-    ended = tree.where(F.size("_segments") <= depth)
-    open_ = tree.where(F.size("_segments") > depth).withColumn("_child", F.col("_segments")[depth])
-    ends = F.when(F.size("_segments") == depth + 1, F.col("n")).otherwise(0)
+def _path(segments: Column) -> Column:
+    return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
+
+
+def _grow(tree: DataFrame, many: int, rare: float, alpha: float) -> DataFrame:
+    """Move each node's rows down to its first fork and into the children there, or to their ends before."""
+    c = F.col
+    # if two rows part somewhere, one of them parts from the greatest there or before
+    last = tree.groupBy("host", "_node").agg(F.max("_rest").alias("_last"))
+    parts = F.array_position(F.zip_with("_rest", "_last", lambda x, y: x == y), F.lit(False))
+    rows = tree.join(last, ["host", "_node"]).withColumn("_parts", parts).drop("_last")
+    forks = rows.where("_parts > 0").groupBy("host", "_node").agg((F.min("_parts") - 1).cast("int").alias("_fork"))
+    rows = stash(rows.drop("_parts").join(forks, ["host", "_node"], "left"), "url-forks")
+    goes_on = F.coalesce(F.size("_rest") > c("_fork"), F.lit(False))
+    ended = rows.where(~goes_on).withColumns({"_node": F.concat("_node", _path(c("_rest"))), "_rest": F.array().cast("array<string>")})
+    open_ = rows.where(goes_on).withColumns(
+        {
+            "_node": F.concat("_node", _path(F.slice("_rest", 1, c("_fork")))),
+            "_child": F.get("_rest", c("_fork")),
+            "_rest": F.slice("_rest", c("_fork") + 2, F.size("_rest")),
+        }
+    )
+    ends = F.when(F.size("_rest") == 0, F.col("n")).otherwise(0)
     children = open_.groupBy("host", "_node", "_child").agg(
         F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("blocked").alias("cb"), F.sum(ends).alias("ce")
     )
     pools = children.groupBy("host", "_node").agg(
         F.sum("cn").alias("pn"), F.sum("cl").alias("pl"), F.sum("cb").alias("pb"), F.sum("ce").alias("pe"), F.count(F.lit(1)).alias("pk")
     )
-    c = F.col
     similar = _compatible(c("ce"), c("cn"), c("pe"), c("pn"), alpha)
     similar &= (c("cl") == 0) | _compatible(c("cb"), c("cl"), c("pb"), c("pl"), alpha)
     variable = (c("pk") >= many) & (c("cn") < rare * c("pn"))
@@ -138,4 +158,4 @@ def _grow(tree: DataFrame, depth: int, many: int, rare: float, alpha: float) ->
     named = children.join(pools, ["host", "_node"])
     named = named.select("host", "_node", "_child", F.coalesce(token, c("_child")).alias("_token"))
     grown = open_.join(named, ["host", "_node", "_child"]).withColumn("_node", F.concat("_node", F.lit("/"), "_token"))
-    return ended.unionByName(grown.select(ended.columns))
+    return ended.unionByName(grown.select(ended.columns)).select(tree.columns)

@@ -286,6 +286,18 @@ def test_purity_judges_unlabelled_slugs_by_their_siblings(spark):
     }
 
 
+def test_templates_reach_the_end_of_deep_paths(spark):
+    deep = "http://x.org/" + "a/b/c/d/e/f/" * 50
+    pages = [(deep + f"ads/s/{i}", 1 if i else None) for i in range(40)] + [(deep + f"news/s/{i}", 0 if i else None) for i in range(40)]
+    pages += [("http://x.org/" + "a/" * i, None) for i in range(1, 60)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in judge_urls(frame, [], label=F.col("bad")).collect()}
+    assert len(got) == len(pages)
+    assert got[0]["verdict"] == "block" and got[40]["verdict"] == "allow"
+    assert got[0]["template"].endswith("/ads/s/{n}") and got[40]["template"].endswith("/news/s/{n}")
+    assert got[80]["template"] == "/a" and {got[i]["verdict"] for i in range(80, len(pages))} == {"allow"}
+
+
 def test_toxicity_and_language_on_held_out_rows(spark, docs):
     folder = "/root/testdata/sf0.01"
     given = spark.read.parquet(f"{folder}/documents.parquet")
