@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +20,9 @@ from .rows import pack, unpack
 THRESHOLD = 0.93
 TREES = 8
 SPILL = 0.05  # of a node's vectors on either side of the median go both ways
-SAMPLE = 20_000  # vectors that the splits near the roots are fitted on
-SAMPLE_BYTES = 16 << 20
+SAMPLE = 20_000  # vectors that the splits near the roots are fitted on, shared out by group size
+SAMPLE_BYTES = 16 << 20  # of one (label, length)
+GROUP_SAMPLE = 128  # vectors at least for a (label, length) of more than LEAF
 LEAST_SAMPLE = 16  # a node with fewer sampled vectors is not split by the fitted trees
 LEAF = 512  # a leaf with more is split further in its task
 BLOCK = 1024
@@ -99,8 +102,8 @@ def _assign(forest):
             for label, own in frame.groupby("label", sort=False):
                 for dim, same in own.groupby(own["v"].str.len(), sort=False):
                     x = _matrix(same["v"])
-                    for t in range(TREES):
-                        nodes = forest.value.get((label, int(dim), t), [])
+                    # a (label, length) of up to LEAF vectors has no trees and is compared as a whole, once
+                    for t, nodes in enumerate(forest.value.get((label, int(dim)), [[]])):
                         rows, leaf = _leaves(nodes, x)
                         part = same.iloc[rows]
                         out = pd.DataFrame({"label": label, "dim": int(dim), "tree": t, "leaf": leaf, "key": part["key"], "v": part["v"]})
@@ -112,6 +115,10 @@ def _assign(forest):
 _LEAF_ROWS = pa.schema([("label", pa.string()), ("dim", pa.int32()), ("tree", pa.int32()), ("leaf", pa.int64()), ("key", pa.string()), ("v", pa.binary())])
 
 
+def _seed(label: str, *numbers: int) -> list[int]:
+    return [zlib.crc32(label.encode()), *map(int, numbers)]
+
+
 def _compare(threshold: float):
     def pairs_of(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator, out: list, tries: int = 8) -> None:
         if len(rows) > LEAF and tries:
@@ -134,7 +141,7 @@ def _compare(threshold: float):
         frame = frame.sort_values("key", ignore_index=True)
         x = _matrix(frame["v"])
         out: list[np.ndarray] = []
-        pairs_of(x, np.arange(len(x)), np.random.default_rng(int(frame["leaf"][0])), out)
+        pairs_of(x, np.arange(len(x)), np.random.default_rng(_seed(*frame.loc[0, ["label", "dim", "tree", "leaf"]])), out)
         pairs = np.unique(np.concatenate(out), axis=0)
         kept = [np.einsum("ij,ij->i", x[p[:, 0]], x[p[:, 1]]) >= threshold for p in np.array_split(pairs, len(pairs) // 100_000 + 1)]
         pairs = pairs[np.concatenate(kept)]
@@ -157,9 +164,10 @@ def near_vectors(
 
     Vectors of one label and length whose cosine is ``threshold`` or more are linked.  Equal vectors (up to a
     positive factor) are one node with a weight, so copies are never paired with each other.
-    Splits of each label's trees are fitted on a uniform sample of at most ``SAMPLE`` nodes, every node is indexed: it
+    A (label, length) of up to ``LEAF`` nodes is compared as a whole.  Splits of the others' trees are fitted on a uniform
+    sample of their own: their part of ``SAMPLE`` nodes, ``GROUP_SAMPLE`` at least.  Every node is indexed: it
     goes down ``TREES`` trees, to both sides when near a split.  Nodes meet in leaves, where larger leaves are split on
-    with the same spill, blocks are multiplied, and pairs are verified in double precision.  Links of
+    with the same spill, otherwise in each tree, blocks are multiplied, and pairs are verified in double precision.  Links of
     all leaves are united; components are found over them.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those with a null
@@ -198,18 +206,28 @@ def near_vectors(
 
 
 def _forest(nodes: DataFrame, seed: int) -> dict:
-    """Trees by (label, length, number), fitted on a uniform sample of bounded size and bytes."""
-    width, total = nodes.agg(F.max(F.length("v")), F.count(F.lit(1))).first()
-    most = min(SAMPLE, SAMPLE_BYTES // max(1, width or 1))
-    chosen = nodes.select("label", "v", "key")
-    if total > most:
-        # keys are hashes: the first of them are a uniform sample, the same in every run
-        chosen = chosen.orderBy("key").limit(most)
-    frame = chosen.toPandas()
-    forest = {}
-    for label, own in frame.groupby("label", sort=True):
-        for dim, same in own.groupby(own["v"].str.len(), sort=True):
-            x = _matrix(same["v"])
-            for t in range(TREES):
-                forest[label, int(dim), t] = _fit(x, np.random.default_rng([seed, t, len(forest)]))
-    return forest
+    """Trees by (label, length), each fitted on a sample of its own of bounded size and bytes.
+
+    What comes to the driver are the splits: at most one for ``LEAST_SAMPLE`` sampled vectors or so.
+    """
+    c = F.col
+    sized = nodes.select("label", F.length("v").alias("dim"), "key", "v")
+    groups = sized.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("many"))
+    total = groups.agg(F.sum("many")).first()[0] or 0
+    groups = groups.where(c("many") > LEAF)
+    share = c("many") * F.lit(min(1.0, SAMPLE / max(1, total)))
+    wanted = F.greatest(F.least(share, F.floor(F.lit(SAMPLE_BYTES) / c("dim"))), F.lit(GROUP_SAMPLE))
+    groups = stash(groups.select("label", "dim", (wanted / c("many")).alias("part")), "vector-groups")
+    # keys are hashes: the low ones are a uniform sample, the same in every run
+    low = F.conv(F.substring("key", 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+    chosen = sized.join(groups, ["label", "dim"]).where(low < c("part"))
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key", ignore_index=True)
+        label, dim = frame.loc[0, ["label", "dim"]]
+        x = _matrix(frame["v"])
+        trees = [_fit(x, np.random.default_rng([seed, *_seed(label, dim, t)])) for t in range(TREES)]
+        return pd.DataFrame({"label": [label], "dim": [dim], "trees": [pickle.dumps(trees)]})
+
+    fitted = chosen.select("label", "dim", "key", "v").groupBy("label", "dim").applyInPandas(fit, "label string, dim int, trees binary")
+    return {(r["label"], r["dim"]): pickle.loads(r["trees"]) for r in fitted.collect()}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import minhash, suffixes
+from basketry.llm import minhash, suffixes, vectors
 from basketry.llm.components import components, merged
 from basketry.llm.decontaminate import decontaminate
 from basketry.llm.language import fit_language
@@ -253,6 +253,29 @@ def test_vectors_match_brute_force(spark):
     assert near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_many_skewed_labels_keep_their_links(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(vectors, "SAMPLE", 400)  # about 20 vectors of a label of 700
+    data = []
+    for label, many in [("big", 5000), *((f"mid{i}", 700) for i in range(6)), *((f"few{i}", 20) for i in range(30))]:
+        centres = rng.standard_normal((max(1, many // 25), 16))
+        for i in range(many):
+            data.append((len(data), label, [float(x) for x in centres[i % len(centres)] + rng.standard_normal(16) * 0.2]))
+    data.append((len(data), "wide", [1.0] * 65_536))
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(spark.createDataFrame(data, "vec_id long, label string, embedding array<double>").repartition(8)).collect()}
+    recall = {}
+    for label in {d[1] for d in data} - {"wide"}:
+        own = [d for d in data if d[1] == label]
+        x = np.array([d[2] for d in own])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        link = x @ x.T >= 0.93
+        np.fill_diagonal(link, False)
+        found = sum(got[d[0]] for d in own)
+        assert found <= link.sum()
+        recall[label[:3]] = [*recall.get(label[:3], []), found / max(1, link.sum()) if link.any() else 1.0]
+    assert min(recall["few"]) == 1 and min(recall["mid"]) >= 0.98 and min(recall["big"]) >= 0.98, recall
+
+
 def test_urls_follow_rules_then_purity(spark):
     rules = [Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow")]
     urls = ["http://A.Example.com/en/1?x", "https://www.example.com/en/1", "http://b.com/x#y", "http://b.org/p/1", "nothing", None, "http://example.com", "http://b.org/" + "a/" * 3000]
