@@ -339,7 +339,7 @@ def near_duplicates(
     similarity: float = SIMILARITY,
     wide: int = WIDE,
 ) -> DataFrame:
-    """All rows with ``class_id`` (least id of the class) and ``kept`` (it is the class's own).
+    """All rows with ``class_id`` (least id of the class) and ``kept`` (one row of the class, of that id).
 
     Texts are linked if the weighted Jaccard similarity of their TF-IDF 5-word shingles (idf is
     damped, see ``damped``) is ``similarity`` or more; a class is what links connect.  Equal texts are one node.  Nodes that
@@ -351,9 +351,10 @@ def near_duplicates(
     total weights allow the similarity and that agree in half of the 36 samples, which a pair at the
     threshold misses 3 times in a million (and all bands 2 times in 10,000).
 
-    Null texts are alone in their class; a text without words is only like equal ones; one of fewer than
-    five words has one shingle.  A null id counts as after all others; rows without an id whose class has none
-    are kept.  Repeated rows of one id share its answer.  Added columns take the place of others.
+    Null texts of one id are a class, and alone in theirs without an id; a text without words is only like equal
+    ones; one of fewer than five words has one shingle.  A null id counts as after all others.  Of the rows of a class's
+    least id, or of all rows of a class without ids, the first by a hash of the whole row is kept; equal rows
+    are told apart by their place in a stored copy.  Added columns take the place of others.
     """
     spark = docs.sparkSession
     rows = pack(docs, id=F.col(doc_id), text=F.col(text).cast("string"))
@@ -419,9 +420,37 @@ def near_duplicates(
         nodes = nodes.withColumn("component", F.lit(None).cast("string"))
     nodes = nodes.withColumn("component", F.coalesce("component", "key"))
     least = nodes.groupBy("component").agg(F.min("least").alias("class_id"))
-    classes = stash(nodes.join(least, "component").select("key", "class_id"), "near-classes")
-    rows = rows.withColumn("key", F.md5("text")).join(classes, "key", "left")
+    classes = stash(nodes.join(least, "component").select("key", "class_id", "component"), "near-classes")
+    # classes with several rows of the least id: in most tables there are none
+    first = signed.select("key", "id").join(classes, "key").where(F.col("id").eqNullSafe(F.col("class_id")))
+    first = first.groupBy("component").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    blank = rows.where("text IS NULL AND id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    first, blank = stash(first.select("component"), "near-repeated"), stash(blank.select("id"), "near-repeated")
+    rows = rows.withColumn("key", F.md5("text"))
+    several, blanks = not first.isEmpty(), not blank.isEmpty()
+    tied = None
+    if several:
+        held = classes.join(first, "component").withColumn("repeated", F.lit(True))
+        classes = classes.join(held.select("key", "repeated"), "key", "left")
+        tied = rows.join(held.drop("repeated"), "key").where(F.col("id").eqNullSafe(F.col("class_id"))).select("_row", "component", "class_id")
+    else:
+        classes = classes.withColumn("repeated", F.lit(None).cast("boolean"))
+    if blanks:
+        more = rows.where("text IS NULL").join(blank, "id")
+        more = more.select("_row", F.concat(F.lit("id "), F.col("id").cast("string")).alias("component"), F.col("id").alias("class_id"))
+        tied = more if tied is None else tied.unionByName(more)
+    rows = rows.join(classes, "key", "left")
+    if blanks:
+        rows = rows.join(blank.select(F.col("id").alias("_id"), F.lit(True).alias("_blank")), F.col("text").isNull() & (F.col("id") == F.col("_id")), "left")
+        rows = rows.withColumn("repeated", F.coalesce("repeated", "_blank"))
     alone = F.col("text").isNull()
     rows = rows.withColumn("class_id", F.when(alone, F.col("id")).otherwise(F.col("class_id")))
-    rows = rows.withColumn("kept", F.coalesce(F.col("id") == F.col("class_id"), F.col("class_id").isNull()))
-    return unpack(rows, ["class_id", "kept"])
+    own = F.col("id").eqNullSafe(F.col("class_id"))
+    if tied is None:
+        return unpack(rows.withColumn("kept", own), ["class_id", "kept"])
+    rest = rows.where(~(own & F.coalesce("repeated", F.lit(False)))).select("_row", "class_id", own.alias("kept"))
+    place = F.struct(F.md5(F.to_json("_row")).alias("row"), F.monotonically_increasing_id().alias("place"))
+    tied = stash(tied.withColumn("_place", place), "near-tied")
+    chosen = tied.groupBy("component").agg(F.min("_place").alias("_chosen"))
+    tied = tied.join(chosen, "component").select("_row", "class_id", (F.col("_place") == F.col("_chosen")).alias("kept"))
+    return unpack(rest.unionByName(tied), ["class_id", "kept"])

@@ -28,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near copies."""
+    """One row of each class of near copies, of the least id."""
     return _documents(near_duplicates(docs).where("kept"), docs)
 
 
@@ -41,12 +41,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes, none included."""
     quality = registry.document_quality(spark, sf_dir)
-    ids = stash(docs.select("doc_id", "source", word_count(F.col("text")).alias("n")), "mix-sizes")
-    mixed = mix_sources(ids.join(quality, "doc_id", "left"), F.col("n"), quality=F.col("_weight"))
-    copies = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    taken = docs.join(stash(copies, "mix-copies"), docs["doc_id"].eqNullSafe(F.col("_id")))
-    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return _documents(taken, docs)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
+    sized = docs.select(row, "doc_id", "source", word_count(F.col("text")).alias("_n"))
+    sized = stash(sized.join(quality, "doc_id", "left"), "mix-sizes")
+    mixed = mix_sources(sized, F.col("_n"), quality=F.col("_weight")).where("copies > 0")
+    taken = mixed.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"))
+    return taken.select("_doc.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from basketry.llm import minhash, suffixes, vectors
 from basketry.llm.components import components, merged
 from basketry.llm.decontaminate import decontaminate
@@ -92,6 +93,36 @@ def test_near_duplicates_find_copies_and_leave_others(docs):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_class_is_kept(spark, texts):
+    base = texts[3][1]
+    rows = [(1, base, "x")] * 3 + [(1, base, "y"), (2, base, "x"), (None, base, "x")]
+    rows += [(None, texts[4][1], "x")] * 3 + [(None, texts[4][1], "a")]
+    rows += [(7, None, "x")] * 2 + [(None, None, "x")] * 2 + [(1, texts[5][1], "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    got = near_duplicates(frame.repartition(4)).collect()
+    assert sorted(map(str, (tuple(r)[:3] for r in got))) == sorted(map(str, rows))
+    kept = sorted(str((r["doc_id"], r["text"])) for r in got if r["kept"])
+    want = [(1, base), (None, texts[4][1]), (7, None), (None, None), (None, None), (1, texts[5][1])]
+    assert kept == sorted(map(str, want))
+    again = near_duplicates(frame.repartition(7)).where("kept").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in got if r["kept"])
+
+
+def test_mixing_stage_copies_rows_and_not_ids(spark, texts):
+    folder = "/root/testdata/sf0.001"
+    rows = [(1, texts[2][1], "A"), *[(2, texts[3][1], "A")] * 5, *[(None, texts[4][1] + f" {i}", "B") for i in range(6)], (3, texts[5][1], "C")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.mixing(spark, docs, folder)
+    assert got.columns == docs.columns
+    many = {(r["doc_id"], r["text"]): r["count"] for r in got.groupBy("doc_id", "text").count().collect()}
+    for i, t, _ in set(rows):  # the mix takes each row up to two times
+        assert many.get((i, t), 0) <= 2 * sum(r[:2] == (i, t) for r in rows)
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "ABC"}
+    taken = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("n")).collect()}
+    most = max(len(t.split()) for _, t, _ in rows)
+    assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= 3 * most
+
+
 def test_a_large_group_of_near_copies_stays_together(spark):
     rng = random.Random(4)
     base = [prose(rng, 1) for _ in range(200)]
