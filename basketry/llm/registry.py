@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_path, stash
 from . import oracle
+from .bpe import round_trip_digests
 from .decontaminate import decontaminate
 from .language import fit_language
 from .minhash import near_duplicates
 from .mixing import mix_sources, word_count
 from .sharding import shard
+from .spelling import count_words, spelling_variants
 from .suffixes import remove_repeats
 from .tokens import token_positions, write_token_ids
 from .toxicity import ToxicityModel, fit_toxicity
 from .urls import Rule, judge_urls
 from .vectors import near_vectors
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = oracle.SQL
@@ -146,3 +149,24 @@ def op10_shard(spark, folder):
     docs = table(spark, folder, "documents")
     docs = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return shard(docs, F.col("n_bytes"))
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling_variants(count_words(docs, drop_every=97))
+
+
+@query
+def op12_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip_digests(docs, f"file://{ranks}").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_whitening(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors).withColumnRenamed("id", "vec_id")

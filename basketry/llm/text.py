@@ -136,6 +136,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, from one running sum over all bytes."""
+    up, down = _POWERS.upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, _U)
+    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... (lengths[0] of them), starts[1], ..."""
     ends = np.cumsum(lengths)
