@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_between
+from .ordered import exact_percentiles
 
 TOLERANCE = 0.01
 
@@ -79,23 +80,37 @@ def check_row_count(df: DataFrame, min_rows: int | None = None, max_rows: int |
 
 
 def check_distribution(
-    df: DataFrame, col: str, bounds: Mapping[str, tuple[float | None, float | None]]
+    df: DataFrame,
+    col: str,
+    bounds: Mapping[str, tuple[float | None, float | None]],
+    approx: bool = False,
 ) -> DataFrame:
     """Statistics of a column that leave their bounds: (statistic, value, lower, upper).
 
     ``bounds`` maps 'mean', 'stddev', 'min', 'max' or a quantile such as 'p50' to limits.
-    Quantiles come from the engine's one-pass sketch, within 1/10000 of the rank.
+    A quantile is the least value that this share of the values does not exceed.  It is found
+    exactly by counting ranges, which reads the column a few times; ``approx`` takes the engine's one-pass sketch instead, within 1/10000 of the rank.
     """
     number = F.col(col).cast("double")
 
+    def quantile(name: str) -> bool:
+        return name.startswith("p")
+
     def statistic(name: str) -> Column:
-        if name.startswith("p"):
+        if quantile(name):
             return F.percentile_approx(number, float(name[1:]) / 100.0)
         if name == "mean":
             return F.sum(F.col(col)).cast("double") / F.nullif(F.count(col), F.lit(0))
         return {"stddev": F.stddev_samp, "min": F.min, "max": F.max}[name](number)
 
-    stats = df.agg(*[statistic(n).cast("double").alias(n) for n in bounds])
+    exact = {} if approx else {n: float(n[1:]) / 100.0 for n in bounds if quantile(n)}
+    plain = [statistic(n).cast("double").alias(n) for n in bounds if n not in exact]
+    stats = df.agg(*plain) if plain else None
+    if exact:
+        cuts = exact_percentiles(df.select(col), [], col, exact, discrete=True)
+        # one row each; a column without values has no percentiles
+        one = F.lit(0).alias("_one")
+        stats = cuts if stats is None else stats.select("*", one).join(cuts.select("*", one), "_one", "left")
     limits = F.array(
         *[
             F.struct(

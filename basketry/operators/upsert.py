@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import month_start
 from ..session import stash
 from ..sources.tables import laid_out, write_table
+from .keymonths import in_months, months_of_keys, record_months
 
 
 def _by_key(rows: DataFrame, updates: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -74,9 +75,16 @@ def within_key_range(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.limit(0) if low is None and not nulls else df.where(inside)
 
 
-def _in_months(month: str, values: set) -> Column:
-    known = F.col(month).isin([v for v in values if v is not None])
-    return known | F.col(month).isNull() if None in values else known
+def stored_rows_of(target: DataFrame, updates: DataFrame, keys: Sequence[str], month: str, root: str) -> DataFrame:
+    """Keys and month of the target's rows that ``updates`` replaces.
+
+    The stored map from keys to months says which months can hold them; only those are read.
+    Without a map (a table written by other means) the range of the keys bounds the scan.
+    """
+    months = months_of_keys(target.sparkSession, root, updates, keys[0])
+    rows = target.select(*keys, month)
+    near = within_key_range(rows, updates, keys[0]) if months is None else rows.where(in_months(month, months))
+    return _by_key(near, updates, keys, "left_semi")
 
 
 def write_incremental(
@@ -102,11 +110,12 @@ def write_incremental(
     layout = list(dict.fromkeys([*sort_by, *keys]))
     target = stored_table(spark, path)
     if target is None:
-        return write_table(updates, path, partition_by=month, sort_by=layout)
+        table = write_table(updates, path, partition_by=month, sort_by=layout)
+        record_months(updates, None, path, keys[0], month)
+        return table
 
     target = target.withColumn(month, F.col(month).cast("date"))
-    near = within_key_range(target.select(*keys, month), updates, keys[0])
-    old = _by_key(near, updates, keys, "left_semi")
+    old = stored_rows_of(target, updates, keys, month, path)
     touched = updates.select(month, F.lit(True).alias("gains")).unionByName(
         old.select(month, F.lit(False).alias("gains"))
     )
@@ -114,13 +123,14 @@ def write_incremental(
     found = touched.distinct().collect()
     gaining = {r[month] for r in found if r["gains"]}
     losing = {r[month] for r in found if not r["gains"]}
-    affected = target.where(_in_months(month, gaining | losing))
+    affected = target.where(in_months(month, gaining | losing))
     left_over = losing - gaining
     if left_over:
         # a month all of whose rows moved away gets no new files, so clear it by hand below
-        kept = _by_key(affected.where(_in_months(month, left_over)), updates, keys, "left_anti")
+        kept = _by_key(affected.where(in_months(month, left_over)), updates, keys, "left_anti")
         left_over -= {r[0] for r in kept.select(month).distinct().collect()}
 
+    record_months(updates, target, path, keys[0], month)
     # stored before anything is replaced: a failure below leaves a whole copy to go on from
     merged = stash(upsert(affected, updates, keys), "merged")
     (

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.upsert import (
-    stored_table,
-    window_floor,
-    within_key_range,
-    write_incremental,
-)
+from ..operators.keymonths import within_key_ranges
+from ..operators.published import merge_published, published_table
+from ..operators.upsert import stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
@@ -46,30 +43,35 @@ def refresh_fct_orders(
     customers: DataFrame,
     days: int = 14,
     changed_order_ids: DataFrame | None = None,
+    table: str | None = None,
 ) -> DataFrame:
     """Rebuild the facts of recent (and named) orders and merge them into the table.
 
+    The table is a folder of months, or with ``table`` a catalog table whose months are stored
+    below ``path`` and published one by one when they have been written.
+
     Lines and returns are cut down to those orders before anything is aggregated.  Customers are the
     current dimension; facts of orders outside the scope keep the tier and lifetime
     figures they had when last merged.  Orders are never deleted.
     """
     spark = staged.orders.sparkSession
-    target = stored_table(spark, path)
+    target = published_table(spark, table) if table else stored_table(spark, path)
     orders = orders_to_refresh(staged.orders, target, days, changed_order_ids)
     items, returns = staged.order_items, staged.returns
     if target is not None:
         orders = stash(orders, "orders-to-refresh")
         ids = orders.select("order_id")
-        near = within_key_range(staged.order_items, ids, "order_id")
+        near = within_key_ranges(staged.order_items, ids, "order_id")
         items = stash(near.join(ids, "order_id", "left_semi"), "lines-to-refresh")
         # summing per line then reuses the partitioning of this join, or needs no shuffle of
         # the other returns at all when the lines are few enough to broadcast
         returns = returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
     metrics = order_metrics(orders, items, returns)
     facts = fct_orders(metrics, customers, items, staged.products)
-    return write_incremental(
-        facts, path, keys=["order_id"], date="order_date", sort_by=["order_date", "customer_id"]
-    )
+    layout = {"keys": ["order_id"], "date": "order_date", "sort_by": ["order_date", "customer_id"]}
+    if table:
+        return merge_published(facts, table, path, **layout)
+    return write_incremental(facts, path, **layout)
 
 
 def orders_of_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
@@ -83,8 +85,18 @@ def orders_of_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
     return lines.join(named, "order_item_id", "left_semi").select("order_id").distinct()
 
 
-def load_facts_until(path: str, staged: Relations, customers: DataFrame, before: str) -> DataFrame:
+def load_facts_until(
+    path: str, staged: Relations, customers: DataFrame, before: str, table: str | None = None
+) -> DataFrame:
     """First load of the fact table with the orders dated before ``before``."""
     early = staged.orders.where(F.col("order_date") < F.lit(before).cast("date"))
-    return refresh_fct_orders(path, staged.replace(orders=early), customers)
+    return refresh_fct_orders(path, staged.replace(orders=early), customers, table=table)
+
 
+
+def match_returns(returns: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids of the orders the given returns belong to, and the line ids without a line so far."""
+    named = stash(returns.where("order_item_id IS NOT NULL").select("order_item_id").distinct(), "returned-line-ids")
+    lines = items.select("order_item_id", "order_id")
+    found = stash(lines.join(named, "order_item_id", "left_semi"), "returned-lines")
+    return found.select("order_id").distinct(), named.join(found, "order_item_id", "left_anti")

@@ -46,6 +46,10 @@ def interpolated(p: str) -> str:
     return f"{low} * (CAST(1 AS DOUBLE) - {part}) + {high} * {part}"
 
 
+def discrete(p: str) -> str:
+    return f"max(v) FILTER (WHERE place = greatest(ceil(CAST({p} AS DOUBLE) * n), 1))"
+
+
 SERIES = "customer_segment, loyalty_tier, primary_product_category"
 LINE_ID = key(
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -96,6 +100,12 @@ RELATIONS = {
                     * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(28,6)) AS refund_amount,
                CAST(l_shipdate AS DATE) AS ingested_at
         FROM lineitem WHERE l_returnflag = 'R'""",
+    "sales_places": """
+        SELECT CAST(gross_item_sales AS DOUBLE) AS v, row_number() OVER (ORDER BY gross_item_sales) AS place,
+               count(*) OVER () AS n FROM s_items""",
+    "quantity_places": """
+        SELECT CAST(quantity AS DOUBLE) AS v, row_number() OVER (ORDER BY quantity) AS place,
+               count(*) OVER () AS n FROM s_items""",
     "returned": """
         SELECT r.*, i.order_id, i.product_id, i.quantity
         FROM s_returns r, s_items i WHERE i.order_item_id = r.order_item_id""",
@@ -445,11 +455,34 @@ KEPT_FACTS = (
     "distinct_categories# gross_item_sales$ total_refund_amount$ net_sales$ return_count# "
     "primary_product_id primary_product_sales$"
 )
+EVENT_TOTALS = """
+    SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS event_count,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+    FROM events GROUP BY ALL"""
 GROWTH_LABEL = """CASE WHEN mom_growth_rate_pct > 10 THEN 'Rapid Growth'
     WHEN mom_growth_rate_pct > 0 THEN 'Growing'
     WHEN mom_growth_rate_pct < -10 THEN 'Declining' ELSE 'Stable' END"""
 
 
+def loaded(columns: str, relation: str, good: str, key: str, reasons: str) -> str:
+    """Staged rows of an extract whose records are ``good``, and the others with their reasons."""
+    kept, lost = [], []
+    for item in columns.split():
+        name, cast = (item[:-1], CASTS.get(item[-1])) if item[-1] in CASTS else (item, None)
+        kept.append(f"CAST({name} AS {cast}) AS {name}" if cast else name)
+        lost.append("NULL")
+    return with_relations(
+        f""", outcomes AS (
+          SELECT {", ".join(kept)}, 'loaded' AS outcome, CAST(NULL AS VARCHAR) AS record_key,
+                 CAST(NULL AS VARCHAR) AS reasons FROM {relation} WHERE {good}
+          UNION ALL
+          SELECT {", ".join(lost)}, 'rejected', {key}, {reasons} FROM {relation} WHERE NOT ({good}))
+        SELECT *, (SELECT count(*) FROM outcomes WHERE outcome = 'loaded') AS n_loaded,
+               (SELECT count(*) FROM outcomes WHERE outcome = 'rejected') AS n_rejected
+        FROM outcomes"""
+    )
+
+
 def summary(relation: str) -> str:
     return ask(
         f"{DAY_ROW} revenue_7day_avg$ revenue_30day_total$ days_since_segment_start#",
@@ -945,6 +978,50 @@ ORACLE_SQL = {
               UNION ALL SELECT 'max', max(quantity), NULL, 40.0 FROM s_items)
             WHERE value < lower_bound OR value > upper_bound""",
     ),
+    "check_distribution_quantiles": ask(
+        "column_name statistic value$ lower_bound$ upper_bound$",
+        f"""FROM (SELECT 'gross_item_sales' AS column_name, 'p50' AS statistic, {discrete("0.5")} AS value,
+                    0.0 AS lower_bound, 100.0 AS upper_bound FROM sales_places
+              UNION ALL SELECT 'gross_item_sales', 'p95', {discrete("0.95")}, 0.0, 1000.0 FROM sales_places
+              UNION ALL SELECT 'gross_item_sales', 'stddev', round(stddev_samp(v), 4), NULL, 1.0 FROM sales_places
+              UNION ALL SELECT 'quantity', 'p90', {discrete("0.9")}, NULL, 2.0 FROM quantity_places)
+            WHERE value < lower_bound OR value > upper_bound""",
+    ),
+    "load_users": loaded(
+        "user_id email signup_date@ country customer_segment",
+        "(SELECT * REPLACE (DATE '2020-01-01' + CAST(user_id % 1000 AS INTEGER) AS signup_date) FROM s_users)",
+        "user_id % 50 NOT IN (7, 9)",
+        "CAST(user_id AS VARCHAR)",
+        "CASE user_id % 50 WHEN 7 THEN 'record: wrong number of fields' ELSE 'signup_date: no date' END",
+    ),
+    "load_products": loaded(
+        "product_id product_name category supplier_id# unit_cost$",
+        "s_products",
+        "product_id % 50 NOT IN (7, 9)",
+        "CASE WHEN product_id % 50 = 7 THEN CAST(product_id AS VARCHAR) END",
+        "CASE product_id % 50 WHEN 7 THEN 'cost: no decimal' ELSE 'product_id: missing' END",
+    ),
+    "load_orders": loaded(
+        ORDERS,
+        "s_orders",
+        "order_id % 50 NOT IN (7, 9)",
+        "CAST(order_id AS VARCHAR)",
+        "CASE order_id % 50 WHEN 7 THEN 'order_date: no date' ELSE 'record: wrong number of fields' END",
+    ),
+    "load_order_items": loaded(
+        ITEMS,
+        "s_items",
+        "order_id % 50 <> 7",
+        "order_item_id",
+        "CASE WHEN order_id % 100 = 7 THEN 'quantity: no int; price: no decimal' ELSE 'quantity: no int' END",
+    ),
+    "load_returns": loaded(
+        RETURNS,
+        "s_returns",
+        "return_id >= '1' AND return_id < 'f'",
+        "return_id",
+        "CASE WHEN return_id < '1' THEN 'refund_amount: no decimal' ELSE 'record: wrong number of fields' END",
+    ),
     "quality_report": quality_sql(),
     "quality_report_marts": marts_quality_sql(),
     "reprocess_window": ask(
@@ -959,10 +1036,11 @@ ORACLE_SQL = {
     ),
     "fct_orders_incremental": ask(KEPT_FACTS, "FROM facts"),
     "fct_orders_stream": ask(KEPT_FACTS, "FROM facts"),
-    "daily_revenue_stream": """
-        SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS event_count,
-               CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-        FROM events GROUP BY ALL""",
+    "fct_orders_published": ask(KEPT_FACTS, "FROM facts"),
+    "fct_orders_old_orders": ask(KEPT_FACTS, "FROM facts"),
+    "fct_orders_stream_early_returns": ask(KEPT_FACTS, "FROM facts"),
+    "daily_revenue_stream": EVENT_TOTALS,
+    "daily_revenue_two_streams": EVENT_TOTALS,
     "write_read_partitioned": ask(
         f"{ORDERS} order_month@",
         "FROM (SELECT *, date_trunc('month', order_date) AS order_month FROM s_orders)",

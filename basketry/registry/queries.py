@@ -6,16 +6,18 @@ the library they stay DECIMAL and TIMESTAMP.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import date_bounds, date_spine, recent_months, surrogate_key
 from ..operators import checks
 from ..operators.history import scd2_from_snapshots, scd2_merge, scd2_start
+from ..operators.published import drop_unpublished
 from ..operators.relational import (
     column_values,
     pareto_shares,
@@ -35,13 +37,20 @@ from ..operators.series import (
 )
 from ..operators.upsert import reprocess_window, upsert
 from ..plans import daily, insight, marts, metrics, quality, refresh
-from ..plans.staging import stage_orders
+from ..plans.staging import (
+    stage_order_items,
+    stage_orders,
+    stage_products,
+    stage_returns,
+    stage_users,
+)
 from ..plans.warehouse import Warehouse
 from ..session import fresh_path, stash, tune
-from ..sources import as_view, from_star, read_raw, write_table
-from ..streaming.jobs import daily_revenue as stream_totals
-from ..streaming.jobs import daily_revenue_stream as start_daily_revenue
+from ..sources import RAW_COLUMNS, as_view, from_star, load_raw, read_raw, source, write_table
 from ..streaming.jobs import event_stream, refresh_fct_orders_stream
+from ..streaming.totals import compact_daily_revenue
+from ..streaming.totals import daily_revenue as stream_totals
+from ..streaming.totals import daily_revenue_stream as start_daily_revenue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -523,6 +532,17 @@ def check_distribution(wh):
     return checks.check_distribution(wh.staged.order_items, "quantity", bounds)
 
 
+@query
+def check_distribution_quantiles(wh):
+    """Exact quantiles and the deviation of line sales; the median of quantity lies inside."""
+    prices = {"p50": (0.0, 100.0), "p95": (0.0, 1000.0), "stddev": (None, 1.0), "p1": (None, 1e9)}
+    found = checks.check_distribution(wh.staged.order_items, "gross_item_sales", prices)
+    few = checks.check_distribution(wh.staged.order_items, "quantity", {"p50": (1.0, 50.0), "p90": (None, 2.0)})
+    rounded = F.when(F.col("statistic") == "stddev", F.round("value", 4)).otherwise(F.col("value"))
+    both = found.withColumn("column_name", F.lit("gross_item_sales"))
+    return both.unionByName(few.withColumn("column_name", F.lit("quantity"))).withColumn("value", rounded)
+
+
 @query
 def quality_report(wh):
     """All declared checks of the raw and staged relations and the order metrics."""
@@ -586,6 +606,33 @@ def fct_orders_incremental(wh):
     return table.select(*FACT_COLUMNS)
 
 
+@query
+def fct_orders_published(wh):
+    """The incremental load into a catalog table whose months are switched to new versions."""
+    spark = wh.staged.orders.sparkSession
+    path, name = fresh_path(spark, "published-facts"), f"facts_{uuid.uuid4().hex}"
+    try:
+        refresh.load_facts_until(path, wh.staged, wh.dim_customers, CUTOFF, table=name)
+        facts = refresh.refresh_fct_orders(path, wh.staged, wh.dim_customers, table=name)
+        drop_unpublished(spark, name, path)
+        return stash(facts.select(*FACT_COLUMNS), "published-facts-read")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query
+def fct_orders_old_orders(wh):
+    """Facts without the returns of a few old orders, which are then named and rebuilt."""
+    spark = wh.staged.orders.sparkSession
+    path, s = fresh_path(spark, "fct-orders"), wh.staged
+    old = s.orders.where("order_id % 500 = 3").select("order_id")
+    theirs = s.order_items.join(old, "order_id", "left_semi").select("order_item_id")
+    before = s.replace(returns=s.returns.join(theirs, "order_item_id", "left_anti"))
+    refresh.refresh_fct_orders(path, before, wh.dim_customers)
+    table = refresh.refresh_fct_orders(path, s, wh.dim_customers, changed_order_ids=old)
+    return table.select(*FACT_COLUMNS)
+
+
 @query
 def fct_orders_stream(wh):
     """Facts loaded up to a cutoff, then refreshed by a stream of arriving returns."""
@@ -616,6 +663,49 @@ def daily_revenue_stream(spark, folder):
     return stream_totals(spark, path)
 
 
+@table_query
+def daily_revenue_two_streams(spark, folder):
+    """Two streams with checkpoints of their own, one of them started again, then compacted."""
+    path, given = fresh_path(spark, "daily-events"), spark.read.parquet(f"{folder}/events.parquet")
+    slot = F.pmod(F.xxhash64(*given.columns), F.lit(3))
+
+    def arrive(inbox: str, state: str, part: int) -> None:
+        rows = given.where(slot == part).repartition(3, F.xxhash64(*given.columns))
+        rows.write.mode("append").parquet(inbox)
+        events = event_stream(spark, inbox, "*.parquet", files_per_batch=1)
+        start_daily_revenue(events, path, state, compact_every=2).awaitTermination()
+
+    for parts in ([0, 1], [2]):
+        inbox, state = fresh_path(spark, "event-files"), fresh_path(spark, "stream-state")
+        for part in parts:
+            arrive(inbox, state, part)
+    compact_daily_revenue(spark, path)
+    return stream_totals(spark, path)
+
+
+@query
+def fct_orders_stream_early_returns(wh):
+    """Two batches of returns; the order lines of the first batch are there at the second only."""
+    spark = wh.staged.orders.sparkSession
+    path, inbox = fresh_path(spark, "fct-orders"), fresh_path(spark, "inbox")
+    s = wh.staged
+    late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
+    early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
+    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF)
+    ids = late.select("return_id", "order_item_id")
+    schema = write_table(ids.where("order_item_id < '8'").coalesce(1), inbox).schema
+    write_table(ids.where("order_item_id >= '8'").coalesce(1), inbox, mode="append")
+    unseen = ids.where("order_item_id < '8'").select("order_item_id")
+    before = s.replace(order_items=s.order_items.join(unseen, "order_item_id", "left_anti"))
+    seen = iter([before])
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    run = refresh_fct_orders_stream(
+        arriving, path, fresh_path(spark, "stream-state"), lambda: next(seen, s), wh.dim_customers
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).select(*FACT_COLUMNS)
+
+
 @query
 def write_read_partitioned(wh):
     spark = wh.staged.orders.sparkSession
@@ -638,6 +728,76 @@ def raw_csv_round_trip(wh):
     return stage_orders(read_raw(spark, folder, "orders"))
 
 
+def _as_extract(df: DataFrame, table: str, folder: str, damage: dict, cut: Column, more: Column) -> None:
+    """Write a raw relation as quoted lines that end with CRLF, some of them damaged.
+
+    ``damage`` replaces the text of columns; a record with ``cut`` ends after two fields, one with ``more``
+    has a field too many.
+    """
+    names = RAW_COLUMNS[table]
+    texts = [damage.get(c, F.col(c).cast("string")) for c in names]
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(t, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for t in texts]
+    whole, short = F.concat_ws(",", *quoted), F.concat_ws(",", *quoted[:2])
+    line = F.when(cut, short).when(more, F.concat(whole, F.lit(',"?"'))).otherwise(whole)
+    df.select(line.alias("value")).write.option("lineSep", "\r\n").text(f"{folder}/raw_{table}.csv")
+
+
+def _load(wh, table: str, stage: Callable[..., DataFrame], damage: dict, cut: str, more: str, **key) -> DataFrame:
+    """Staged rows of a damaged extract that has been loaded once, and its rejected records."""
+    raw = getattr(wh.raw, table)
+    spark = raw.sparkSession
+    folder, out = fresh_path(spark, "extracts"), fresh_path(spark, "loaded")
+    _as_extract(raw, table, folder, damage, F.expr(cut), F.expr(more))
+    loaded = load_raw(spark, folder, table, out, header=False, line_key=wh.raw.line_key)
+    counted = F.lit(loaded.row_count).cast("bigint"), F.lit(loaded.rejected_count).cast("bigint")
+    rejected = loaded.rejected.select(
+        F.lit("rejected").alias("outcome"), "record_key", F.concat_ws("; ", "reasons").alias("reasons")
+    )
+    rows = stage(source(spark, table, out), **key).drop("ingested_at").withColumn("outcome", F.lit("loaded"))
+    both = rows.unionByName(rejected, allowMissingColumns=True)
+    return both.withColumn("n_loaded", counted[0]).withColumn("n_rejected", counted[1])
+
+
+def _damaged(column: str, where: str, text: str) -> Column:
+    return F.when(F.expr(where), F.lit(text)).otherwise(F.col(column).cast("string"))
+
+
+@query
+def load_users(wh):
+    """Sign-up dates are written as ISO or as month/day/year, and a few as neither."""
+    day = F.expr("date_add(DATE '2020-01-01', CAST(user_id % 1000 AS INT))")
+    signed = F.when(F.expr("user_id % 50 = 9"), "n/a").when(F.expr("user_id % 2 = 0"), F.date_format(day, "M/d/yyyy"))
+    damage = {"signup_date": signed.otherwise(day.cast("string"))}
+    return _load(wh, "users", stage_users, damage, "false", "user_id % 50 = 7")
+
+
+@query
+def load_products(wh):
+    damage = {"cost": _damaged("cost", "product_id % 50 = 7", "free"), "product_id": _damaged("product_id", "product_id % 50 = 9", " ")}
+    return _load(wh, "products", stage_products, damage, "false", "false")
+
+
+@query
+def load_orders(wh):
+    damage = {"order_date": _damaged("order_date", "order_id % 50 = 7", "1999-02-30")}
+    return _load(wh, "orders", stage_orders, damage, "order_id % 50 = 9", "false")
+
+
+@query
+def load_order_items(wh):
+    damage = {
+        "quantity": _damaged("quantity", "order_id % 50 = 7", "many"),
+        "price": _damaged("price", "order_id % 100 = 7", "12,5"),
+    }
+    return _load(wh, "order_items", stage_order_items, damage, "false", "false", line_key=wh.raw.line_key)
+
+
+@query
+def load_returns(wh):
+    damage = {"refund_amount": _damaged("refund_amount", "return_id < '1'", "x")}
+    return _load(wh, "returns", stage_returns, damage, "false", "return_id >= 'f'", line_key=wh.raw.line_key)
+
+
 @query
 def orders_view_sql(wh):
     """Staged orders exposed as a view and read with SQL."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,7 @@ SQL_SETTINGS = {
 }
 
 _local_dir: str | None = None
+_scopes = threading.local()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -60,7 +64,47 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has been written to yet."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/basketry-{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/basketry-{app}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_scopes, "open", []):
+        scope.append(path)
+    return path
+
+
+def _located(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's writers use them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if there is no such folder."""
+    files, where = _located(spark, path)
+    if not files.exists(where):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(where) if f.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with its files; a missing one does no harm."""
+    files, where = _located(spark, path)
+    files.delete(where, True)
+
+
+@contextmanager
+def freed_stashes(spark: SparkSession) -> Iterator[None]:
+    """Delete what the block has stashed when it ends.
+
+    For jobs that end with a stored table, such as one batch of a stream: no frame made
+    inside may be used outside.
+    """
+    scope: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", []), scope]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        for path in scope:
+            remove_folder(spark, path)
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:

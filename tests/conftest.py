@@ -28,8 +28,9 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def many_chunks(spark):
+def many_chunks(spark, monkeypatch):
     """Keep small data spread over several range partitions, as large data would be."""
+    monkeypatch.setattr("basketry.operators.ordered.LEAST_CHUNK_ROWS", 5)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -8,12 +8,8 @@ from basketry.operators.upsert import reprocess_window, stored_table, upsert, wr
 from basketry.plans.refresh import load_facts_until, orders_of_returns, refresh_fct_orders
 from basketry.plans.warehouse import Warehouse
 from basketry.session import fresh_path
-from basketry.streaming.jobs import (
-    daily_revenue,
-    daily_revenue_stream,
-    event_stream,
-    refresh_fct_orders_stream,
-)
+from basketry.streaming.jobs import event_stream, refresh_fct_orders_stream
+from basketry.streaming.totals import daily_revenue, daily_revenue_stream
 from tests import shop
 from tests.conftest import day, rows
 
