@@ -148,23 +148,28 @@ def _machines(rows: DataFrame, classes: list[str], column: str) -> tuple:
     return classes, np.array(weights).reshape(len(weights), BINS), np.array(intercepts)
 
 
-def fit_language(labelled: DataFrame, *, text: str = "text", lang: str = "lang", max_per_language: int = MAX_PER_LANGUAGE) -> LanguageModel:
-    """Fit on rows with a language and a letter: at most ``max_per_language`` of each, whole texts.
-
-    The sample is the share of rows whose text hash is lowest that gives about that many of the language.  A language
+def fit_language(
+    labelled: DataFrame, *, text: str = "text", lang: str = "lang", by: str | None = None, max_per_language: int = MAX_PER_LANGUAGE
+) -> LanguageModel:
+    """Fit on rows with a language and a letter: about ``max_per_language`` of each at most, whole texts.
+
+    The sample is the share of rows whose hash of column ``by`` is lowest that gives that many of the language.
+    Without ``by`` the text's hash is taken, which takes all rows of a text or none: name a row's id where texts
+    repeat.  Repeated rows count as often as they come.  A language
     alone in its family needs no machine there; without rows the model knows nothing and answers ``und``.
     """
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    chosen_by = F.xxhash64(F.col(by or text).cast("string"), F.lit(3)).alias("c")
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), chosen_by)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return LanguageModel(([], np.zeros((0, BINS)), np.zeros(0)), {})
-    place = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod("c", F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(1.0)
     for name, n in counts.items():
         if n > max_per_language:
             share = F.when(F.col("lang") == name, F.lit(max_per_language / n)).otherwise(share)
-    chosen = rows.where(place < share).mapInArrow(_profiles, "lang string, x array<double>")
+    chosen = rows.where(place < share).select("lang", "text").mapInArrow(_profiles, "lang string, x array<double>")
     chosen = stash(chosen, "language-profiles").coalesce(LEARN_TASKS)
     pairs = {n: family_of(n) for n in sorted(counts)}
     family = F.lit(None).cast("string")

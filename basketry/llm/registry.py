@@ -18,7 +18,7 @@ from .sharding import shard
 from .spelling import count_words, spelling_variants
 from .suffixes import remove_repeats
 from .tokens import token_positions, write_token_ids
-from .toxicity import ToxicityModel, fit_toxicity
+from .toxicity import MAX_ROWS, ToxicityModel, fit_toxicity
 from .urls import Rule, judge_urls
 from .vectors import near_vectors
 from .whitening import whiten
@@ -48,10 +48,16 @@ def document_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, folder: str) -> ToxicityModel:
-    """Fitted on the labelled documents that are not held out."""
+    """Fitted on labelled documents that are not held out.
+
+    The labels are drawn first, at most ``MAX_ROWS`` by the hash of their document's id.  So few are
+    broadcast, and no text is shuffled.
+    """
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
-    learned = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
-    return fit_toxicity(learned.join(labels.distinct(), "doc_id"))
+    labels = labels.where(~held_out(F.col("doc_id"))).where("label in (0, 1)").distinct()
+    drawn = labels.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "label").limit(MAX_ROWS)
+    learned = docs.select("doc_id", "text").join(F.broadcast(stash(drawn, "toxicity-labels")), "doc_id")
+    return fit_toxicity(learned, by="doc_id")
 
 
 @query
@@ -64,7 +70,7 @@ def op1_toxicity(spark, folder):
 @query
 def op2_language(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    model = fit_language(docs.where(~held_out(F.col("doc_id"))))
+    model = fit_language(docs.where(~held_out(F.col("doc_id"))), by="doc_id")
     found = model.predict(docs.select("doc_id", "text"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 

@@ -19,7 +19,7 @@ from .text import per_process, ragged, slices
 END_ID = 2
 CACHE_PIECES = 600_000  # about 150 MB in a Python worker
 _LATIN = 0x250
-_TAIL = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|$)")
+_TAIL = re.compile(r"(?<=[0-9A-Za-z])([.,])(?=[ \n]|$)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -33,8 +33,9 @@ class WordCache(dict):
     """Token ids of space-separated pieces of text, encoded once each.
 
     The tokenizer drops white space and cuts between a letter or digit and punctuation, so a
-    space is put before a full stop or comma that ends a word, and a text's ids are those of its pieces
-    one after another.  Words of Latin letters go to the tokenizer's BPE model in lower case, since its
+    space is put before a full stop or comma that follows an ASCII letter or digit and ends a word, and a
+    text's ids are those of its pieces one after another.  After other letters none is put: in lower case they
+    may end in a mark, which the tokenizer keeps together with the stop.  Words of Latin letters go to the tokenizer's BPE model in lower case, since its
     normaliser and splitter leave them whole; other pieces take the whole way.  A full cache is
     emptied.
     """

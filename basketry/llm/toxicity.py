@@ -151,7 +151,10 @@ class ToxicityModel:
     rate: float
 
     def score(self, docs: DataFrame, text: str = "text", threshold: float = REJECT) -> DataFrame:
-        """All rows with ``score`` in 0 to 1 and ``predicted``; added columns take the place of others."""
+        """All rows with ``score`` in 0 to 1 and ``predicted``; added columns take the place of others.
+
+        Null texts are scored as empty ones, very long ones whole; equal texts get equal scores.
+        """
         rows = pack(docs, _f=_features(docs, F.col(text), self.terms))
         if self.trees is None:
             rows = rows.withColumn("score", F.lit(self.rate))
@@ -176,21 +179,27 @@ def _raw(trees: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.withColumn("raw", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def fit_toxicity(labelled: DataFrame, *, text: str = "text", label: str = "label", max_rows: int = MAX_ROWS, seed: int = 11) -> ToxicityModel:
-    """Fit on rows with label 0 or 1; at most ``max_rows`` of them, chosen by the hash of the text.
+def fit_toxicity(
+    labelled: DataFrame, *, text: str = "text", label: str = "label", by: str | None = None, max_rows: int = MAX_ROWS, seed: int = 11
+) -> ToxicityModel:
+    """Fit on rows with label 0 or 1; about ``max_rows`` of them at most, chosen by the hash of column ``by``.
 
-    The rows are cut in three by that hash, so that no part is judged by what it taught: a third
-    gives the learned terms, a third the trees, a third the calibration.  Equal texts stay together.  Rows
-    with another label are left out; null texts count as empty.  If one part lacks one of the labels, the
+    Without ``by`` the text's hash chooses, which takes all rows of a text or none: name a row's id where
+    texts repeat.  The rows are cut in three by the hash of the text, so that no part is judged by what it
+    taught: a third gives the learned terms, a third the trees, a third the calibration.  Equal texts stay
+    together.  Rows with another label are left out; null texts count as empty, very long ones are read whole;
+    repeated rows count as often as they come.  If one part lacks one of the labels, the
     model answers with the share of toxic rows (0 without rows).
     """
-    rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"))
-    rows = rows.where("label in (0, 1)").withColumn("h", F.xxhash64("text", F.lit(seed)))
+    chosen = F.xxhash64(F.col(by or text).cast("string"), F.lit(seed))
+    rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"), chosen.alias("c"))
+    rows = rows.where("label in (0, 1)")
     total = rows.agg(F.count("label"), F.avg("label")).first()
     if total[0] > max_rows:
         share = max_rows / total[0]
-        rows = rows.where(F.pmod(F.shiftright("h", 8), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = stash(rows.withColumn("part", F.pmod("h", F.lit(3))).coalesce(max(LEARN_TASKS, 1)), "toxicity-labelled")
+        rows = rows.where(F.pmod(F.shiftright("c", 8), F.lit(1 << 20)) < int(share * (1 << 20)))
+    part = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(3)).alias("part")
+    rows = stash(rows.select("text", "label", part), "toxicity-labelled").coalesce(LEARN_TASKS)
     terms = learn_terms(rows.where("part = 0"))
     spread = rows.where("part > 0").select("label", "part", _features(rows, F.col("text"), terms).alias("f"))
     dense = stash(spread.select("label", "part", "f.*"), "toxicity-features").coalesce(LEARN_TASKS)
