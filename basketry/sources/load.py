@@ -44,7 +44,11 @@ class Loaded:
     rejected_count: int
 
 
-def _typed(text: Column, kind: str) -> Column:
+def _called(kind: str | T.DataType) -> str:
+    return kind if isinstance(kind, str) else kind.typeName()
+
+
+def _typed(text: Column, kind: str | T.DataType) -> Column:
     """The value of a type, NULL where the text is not one; dates as ISO or month/day/year."""
     if kind != "date":
         return text.try_cast(kind)
@@ -53,7 +57,7 @@ def _typed(text: Column, kind: str) -> Column:
     return F.when(slashed, by_month).otherwise(text.try_cast("date"))
 
 
-def _checked(parsed: DataFrame, table: str, types: dict[str, str]) -> DataFrame:
+def _checked(parsed: DataFrame, table: str, types: dict[str, str | T.DataType]) -> DataFrame:
     """Typed columns, and the reasons for which a record is rejected."""
     key = RAW_COLUMNS[table][0]
     reasons = [F.when(F.col(_BAD).isNotNull(), F.lit("record: wrong number of fields"))]
@@ -64,7 +68,7 @@ def _checked(parsed: DataFrame, table: str, types: dict[str, str]) -> DataFrame:
             text = F.nullif(F.trim(text), F.lit(""))
             value = _typed(text, types[name])
             wrong = text.isNotNull() & value.isNull() & F.col(_BAD).isNull()
-            reasons.append(F.when(wrong, F.lit(f"{name}: no {types[name].split('(')[0]}")))
+            reasons.append(F.when(wrong, F.lit(f"{name}: no {_called(types[name])}")))
             text = value
         columns.append(text.alias(name))
     blank = F.nullif(F.trim(key), F.lit("")).isNull() & F.col(_BAD).isNull()
