@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import engagement_band, loyalty_tier, mean_of, safe_divide
 from ..functions.columns import GROWTH_REVENUE, VIP_REVENUE
 from ..operators.relational import top_n
-from ..session import stash
 from .metrics import order_product_totals, returns_with_order
 
 
@@ -32,23 +31,18 @@ def dim_products(products: DataFrame, performance: DataFrame) -> DataFrame:
     )
 
 
-def sold_products(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Order x product totals with the product's name and category.
+def _main_products(sold: DataFrame, products: DataFrame) -> DataFrame:
+    """Per order the known product of largest quantity, then largest sales, then lowest id.
 
-    Lines of unknown products are left out.
-    """
-    known = products.select("product_id", "product_name", "category")
-    return order_product_totals(items).join(known, "product_id")
-
-
-def _main_products(sold: DataFrame) -> DataFrame:
-    """Per order the product of largest quantity, then largest sales, then lowest id.
-
-    Only each task's best rows are shuffled, so an order holding a third of all lines costs
-    few rows.  A NULL quantity or sales figure is ordered first.
+    ``sold`` has one row per order and product.  Only each task's best rows are shuffled, so an
+    order holding a third of all lines costs few rows, and names are looked up for the best
+    only.  A NULL quantity or sales figure is ordered first.
     """
+    known = sold.join(products.select("product_id"), "product_id", "left_semi")
     less = [(-F.col(c)).asc_nulls_first() for c in ("product_quantity", "product_sales")]
-    return top_n(sold, ["order_id"], [*less, F.asc("product_id")], 1).select(
+    best = top_n(known, ["order_id"], [*less, F.asc("product_id")], 1)
+    named = products.select("product_id", "product_name", "category")
+    return best.join(named, "product_id").select(
         "order_id",
         F.col("product_id").alias("primary_product_id"),
         F.col("product_name").alias("primary_product_name"),
@@ -58,33 +52,36 @@ def _main_products(sold: DataFrame) -> DataFrame:
     )
 
 
-def _category_counts(sold: DataFrame) -> DataFrame:
-    pairs = sold.select("order_id", "category").distinct()
+def _category_counts(sold: DataFrame, products: DataFrame) -> DataFrame:
+    """Distinct categories per order; lines of unknown products are left out."""
+    known = sold.select("order_id", "product_id").join(products.select("product_id", "category"), "product_id")
+    pairs = known.select("order_id", "category").distinct()
     return pairs.groupBy("order_id").agg(F.count("category").alias("distinct_categories"))
 
 
-def order_product_mix(items: DataFrame, products: DataFrame) -> DataFrame:
+def order_product_mix(sold: DataFrame, products: DataFrame) -> DataFrame:
     """Per order: its main product and the number of distinct categories.
 
-    The order x product rows are stored once and read for both.
+    ``sold`` has order x product rows and is read for both, so store it first.
     """
-    sold = stash(sold_products(items, products), "sold-products")
-    return _main_products(sold).join(_category_counts(sold), "order_id", "left")
+    return _main_products(sold, products).join(_category_counts(sold, products), "order_id", "left")
 
 
 def primary_product(items: DataFrame, products: DataFrame) -> DataFrame:
-    return _main_products(sold_products(items, products))
+    return _main_products(order_product_totals(items), products)
 
 
 def category_mix(items: DataFrame, products: DataFrame) -> DataFrame:
-    return _category_counts(sold_products(items, products))
+    return _category_counts(items.select("order_id", "product_id"), products)
 
 
 def fct_orders(
-    metrics: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame
+    metrics: DataFrame, customers: DataFrame, sold: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Order facts: metrics with the customer's attributes and the order's main product.
 
+    ``sold`` are the stored order x product rows, those the metrics were summed from.
+
     All orders are kept.  Product columns stay NULL for an order without known products and
     customer columns stay NULL for an unknown customer.
     """
@@ -100,7 +97,7 @@ def fct_orders(
         F.col("most_recent_order_date").alias("customer_most_recent_order_date"),
     )
     return (
-        metrics.join(order_product_mix(items, products), "order_id", "left")
+        metrics.join(order_product_mix(sold, products), "order_id", "left")
         .join(who, "user_id", "left")
         .select(
             "order_id",

@@ -31,22 +31,8 @@ def returns_with_order(returns: DataFrame, items: DataFrame, orders: DataFrame)
     return returns_with_item(returns, items).join(orders, "order_id")
 
 
-def returned_lines(returns: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per returned line: number of returns and refund, with the line's keys.
-
-    Returns are summed per line before the join, so many returns of one line cost one row.
-    """
-    per_line = returns.groupBy("order_item_id").agg(
-        F.count("return_id").alias("return_count"),
-        F.count(F.lit(1)).alias("return_rows"),
-        F.sum("refund_amount").alias("refund_amount"),
-    )
-    lines = items.select("order_item_id", "order_id", "product_id", "quantity")
-    return per_line.join(lines, "order_item_id")
-
-
 def order_product_totals(items: DataFrame) -> DataFrame:
-    """Lines summed to order x product; the step both order rollups start from."""
+    """Lines summed to order x product."""
     return items.groupBy("order_id", "product_id").agg(
         F.sum("quantity").alias("product_quantity"),
         F.sum("gross_item_sales").alias("product_sales"),
@@ -54,51 +40,68 @@ def order_product_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def order_metrics(orders: DataFrame, items: DataFrame, returns: DataFrame) -> DataFrame:
-    """One row per order, cancelled ones included; measures of empty orders are 0.
+def order_product_rollup(items: DataFrame, returns: DataFrame) -> DataFrame:
+    """Lines and their returns summed to order x product, from one pass over the lines.
 
-    Lines are summed to order x product first and then to the order: that spreads one huge
-    order over many tasks and gives the distinct product count without a second pass.
+    Order metrics, order facts and product performance all start from these rows, so store
+    them where more than one is built.  Returns are summed per line before the join, so many
+    returns of one line cost one row; returns without a line are left out.
     """
-    lines = (
-        order_product_totals(items)
-        .groupBy("order_id")
-        .agg(
-            F.sum("product_quantity").alias("total_item_quantity"),
-            F.sum("product_lines").alias("line_item_count"),
-            F.count("product_id").alias("distinct_products"),
-            F.sum("product_sales").alias("gross_item_sales"),
-        )
+    per_line = returns.groupBy("order_item_id").agg(
+        F.count("return_id").alias("return_count"),
+        F.count(F.lit(1)).alias("return_rows"),
+        F.sum("refund_amount").alias("refund_amount"),
     )
-    refunds = (
-        returned_lines(returns, items)
-        .groupBy("order_id")
+    lines = items.select("order_item_id", "order_id", "product_id", "quantity", "gross_item_sales")
+    return (
+        lines.join(per_line, "order_item_id", "left")
+        .groupBy("order_id", "product_id")
         .agg(
+            F.sum("quantity").alias("product_quantity"),
+            F.sum("gross_item_sales").alias("product_sales"),
+            F.count(F.lit(1)).alias("product_lines"),
             F.sum("return_count").alias("return_count"),
-            F.sum("refund_amount").alias("total_refund_amount"),
+            F.sum(F.col("quantity") * F.col("return_rows")).alias("units_returned"),
+            F.sum("refund_amount").alias("refund_amount"),
         )
     )
+
+
+def order_metrics(
+    orders: DataFrame, items: DataFrame, returns: DataFrame, rollup: DataFrame | None = None
+) -> DataFrame:
+    """One row per order, cancelled ones included; measures of empty orders are 0.
+
+    Lines are summed to order x product first (``rollup``, where it is stored) and then to the
+    order: that spreads one huge order over many tasks and gives the distinct product count
+    without a second pass.
+    """
+    rollup = order_product_rollup(items, returns) if rollup is None else rollup
+    lines = rollup.groupBy("order_id").agg(
+        F.sum("product_quantity").alias("total_item_quantity"),
+        F.sum("product_lines").alias("line_item_count"),
+        F.count("product_id").alias("distinct_products"),
+        F.sum("product_sales").alias("gross_item_sales"),
+        F.sum("return_count").alias("return_count"),
+        F.sum("refund_amount").alias("total_refund_amount"),
+    )
     gross = _zero_money("gross_item_sales")
     refund = _zero_money("total_refund_amount")
-    return (
-        orders.join(lines, "order_id", "left")
-        .join(refunds, "order_id", "left")
-        .select(
-            "order_id",
-            "user_id",
-            "order_date",
-            "status",
-            "is_completed",
-            F.col("total_amount").alias("order_total_amount"),
-            _zero("total_item_quantity"),
-            _zero("line_item_count"),
-            _zero("distinct_products"),
-            gross.alias("gross_item_sales"),
-            refund.alias("total_refund_amount"),
-            (gross - refund).cast("decimal(38,6)").alias("net_sales"),
-            _zero("return_count"),
-            surrogate_key("order_id", "user_id", "order_date").alias("order_surrogate_key"),
-        )
+    return orders.join(lines, "order_id", "left").select(
+        "order_id",
+        "user_id",
+        "order_date",
+        "status",
+        "is_completed",
+        F.col("total_amount").alias("order_total_amount"),
+        _zero("total_item_quantity"),
+        _zero("line_item_count"),
+        _zero("distinct_products"),
+        gross.alias("gross_item_sales"),
+        refund.alias("total_refund_amount"),
+        (gross - refund).cast("decimal(38,6)").alias("net_sales"),
+        _zero("return_count"),
+        surrogate_key("order_id", "user_id", "order_date").alias("order_surrogate_key"),
     )
 
 
@@ -142,28 +145,28 @@ def completed_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def product_performance(
-    products: DataFrame, items: DataFrame, orders: DataFrame, returns: DataFrame
+    products: DataFrame,
+    items: DataFrame,
+    orders: DataFrame,
+    returns: DataFrame,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """Every product with sales of completed orders and returns of all orders.
 
     ``orders`` needs order_id and is_completed only, so staged orders serve as well as the
     order metrics.  A return counts the whole quantity of its line as returned.
     """
-    sales = (
-        completed_items(items, orders)
-        .groupBy("product_id")
-        .agg(
-            F.countDistinct("order_id").alias("orders_sold"),
-            F.sum("quantity").alias("total_units_sold"),
-            F.sum("gross_item_sales").alias("gross_sales"),
-        )
-    )
-    back = (
-        returned_lines(returns, items)
+    rollup = order_product_rollup(items, returns) if rollup is None else rollup
+    done = orders.where("is_completed").select("order_id", F.lit(True).alias("done")).distinct()
+    totals = (
+        rollup.join(done, "order_id", "left")
         .groupBy("product_id")
         .agg(
+            F.count_if("done").alias("orders_sold"),
+            F.sum(F.when(F.col("done"), F.col("product_quantity"))).alias("total_units_sold"),
+            F.sum(F.when(F.col("done"), F.col("product_sales"))).alias("gross_sales"),
             F.sum("return_count").alias("return_count"),
-            F.sum(F.col("quantity") * F.col("return_rows")).alias("units_returned"),
+            F.sum("units_returned").alias("units_returned"),
             F.sum("refund_amount").alias("total_refund_amount"),
         )
     )
@@ -172,8 +175,7 @@ def product_performance(
     units = F.coalesce(F.col("total_units_sold"), F.lit(0))
     cogs = F.col("unit_cost") * units
     return (
-        products.join(sales, "product_id", "left")
-        .join(back, "product_id", "left")
+        products.join(totals, "product_id", "left")
         .select(
             "product_id",
             "product_name",

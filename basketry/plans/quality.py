@@ -1,20 +1,22 @@
-"""The declared checks of every relation, evaluated with few passes per table.
+"""The declared checks of every relation, evaluated in one pass per table.
 
-Row rules of one table are counted together in a single aggregate; uniqueness and
-references need a pass each.  ``run_checks`` returns one row per check.
+A pass writes the key columns that uniqueness and references need, and counts what breaks the
+row rules on the way.  The rest works on those narrow keys, grouped once.  ``run_checks``
+returns one row per check.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import checks as c
+from ..session import stash
 
 # Accepted values, ranges and freshness limits (days) of the relations.
 STATUSES = ["completed", "cancelled", "pending", "processing"]
@@ -152,70 +154,115 @@ def declared_rules(segments: Sequence[str] = SEGMENTS) -> dict[str, list]:
     }
 
 
-def _row_rule_counts(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """One scan: every rule of the table as one conditional count, then one row each."""
-    counted = df.agg(*[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(rules)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(r.check).alias("check_name"),
-                F.lit(r.column).alias("column_name"),
-                F.col(f"r{i}").alias("violations"),
-            )
-            for i, r in enumerate(rules)
+RESULT = "table_name string, check_name string, column_name string, violations long"
+
+
+def _row_rules(rules: Sequence) -> list[RowRule]:
+    return [r for r in rules if isinstance(r, RowRule)]
+
+
+class _Passes:
+    """One pass per table: observed row rules, and the stored key columns."""
+
+    def __init__(
+        self,
+        tables: Mapping[str, DataFrame],
+        rules: Mapping[str, Sequence],
+        through: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]],
+    ):
+        self.tables, self.rules, self.through = tables, rules, through
+        self.names = [n for n in tables if n in rules]
+        self.observed: list[tuple[str, list[RowRule], Observation]] = []
+        self.columns: dict[str, list[str]] = {n: [] for n in self.names}
+        for name in self.names:
+            for rule in rules[name]:
+                if isinstance(rule, Unique):
+                    self.columns[name] += rule.columns
+                elif isinstance(rule, Reference):
+                    self.columns[name].append(rule.column)
+                    self.columns.setdefault(rule.parent, []).append(rule.parent_column)
+        inner = {base for base, _ in through.values()}
+        self.keys: dict[str, DataFrame] = {}
+        for name in dict.fromkeys([*self.names, *self.columns]):
+            if name not in inner:
+                self._run(name)
+
+    def _observe(self, name: str, df: DataFrame) -> DataFrame:
+        found = _row_rules(self.rules.get(name, ()))
+        if not found:
+            return df
+        counts = Observation(f"checks of {name}")
+        self.observed.append((name, found, counts))
+        return df.observe(counts, *[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(found)])
+
+    def _run(self, name: str) -> None:
+        if name in self.through:
+            base, derive = self.through[name]
+            df = derive(self._observe(base, self.tables[base]))
+        else:
+            df = self.tables[name]
+        columns = dict.fromkeys(self.columns.get(name, ()))
+        kept = self._observe(name, df).select(*columns)
+        if columns:
+            self.keys[name] = stash(kept, "checked-keys")
+        elif _row_rules(self.rules.get(name, ())):
+            kept.write.format("noop").mode("overwrite").save()
+
+    def row_rule_results(self) -> list[tuple[str, str, str, int]]:
+        return [
+            (name, rule.check, rule.column, counts.get[f"r{i}"])
+            for name, found, counts in self.observed
+            for i, rule in enumerate(found)
         ]
-    )
-    return counted.select(F.inline(rows))
-
-
-def _one(check: str, column: str, violating: DataFrame) -> DataFrame:
-    return violating.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), "violations"
-    )
 
 
-def _orphans(df: DataFrame, rule: Reference, parent: DataFrame) -> DataFrame:
-    """Rows without a parent, counted per key first so that a hot key joins as one row."""
-    per_key = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
-    lost = c.check_relationship(per_key, rule.column, parent, rule.parent_column)
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-        F.lit("relationships").alias("check_name"),
-        F.lit(rule.column).alias("column_name"),
-        "violations",
+def _one(violating: DataFrame, table: str, check: str, column: str) -> DataFrame:
+    return violating.select(
+        F.lit(table).alias("table_name"),
+        F.lit(check).alias("check_name"),
+        F.lit(column).alias("column_name"),
+        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
     )
 
 
-def table_report(name: str, rules: Sequence, tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[name]
-    parts = []
-    row_rules = [r for r in rules if isinstance(r, RowRule)]
-    if row_rules:
-        parts.append(_row_rule_counts(df, row_rules))
-    for rule in rules:
-        if isinstance(rule, Unique):
-            keyed = df
-            if len(rule.columns) == 1:
-                keyed = df.where(F.col(rule.columns[0]).isNotNull())
-            dupes = c.check_unique_combination(keyed, rule.columns)
-            parts.append(_one("unique", ",".join(rule.columns), dupes))
-        elif isinstance(rule, Reference):
-            parts.append(_orphans(df, rule, tables[rule.parent]))
-    report = reduce(DataFrame.unionByName, parts)
-    return report.withColumn("table_name", F.lit(name))
-
-
 def run_checks(
-    tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence] | None = None
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, Sequence] | None = None,
+    through: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]] | None = None,
 ) -> DataFrame:
-    """(table_name, check_name, column_name, violations, status) for the given tables."""
+    """(table_name, check_name, column_name, violations, status) for the given tables.
+
+    Each table is read once; its row rules are observed while its key columns are stored.
+    ``through`` names tables that are derived from others, (table, function): both are then checked
+    in the pass over the other.  The keys of a table are grouped once, for its uniqueness and as the
+    parent set of references, and references are counted per key, so a hot key is one row.
+    """
     rules = declared_rules() if rules is None else rules
-    reports = [table_report(n, rules[n], tables) for n in tables if n in rules]
-    return reduce(DataFrame.unionByName, reports).select(
-        "table_name",
-        "check_name",
-        "column_name",
-        "violations",
-        F.when(F.col("violations") == 0, "pass").otherwise("fail").alias("status"),
+    passes = _Passes(tables, rules, through or {})
+    grouped: dict[tuple[str, ...], DataFrame] = {}
+
+    def keys_of(table: str, columns: Sequence[str]) -> DataFrame:
+        key = (table, *columns)
+        if key not in grouped:
+            counted = passes.keys[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+            grouped[key] = stash(counted, "checked-groups")
+        return grouped[key]
+
+    parts = [tables[passes.names[0]].sparkSession.createDataFrame(passes.row_rule_results(), RESULT)]
+    for name in passes.names:
+        for rule in rules[name]:
+            if isinstance(rule, Unique):
+                found = keys_of(name, rule.columns)
+                if len(rule.columns) == 1:
+                    found = found.where(F.col(rule.columns[0]).isNotNull())
+                dupes = found.agg(F.count_if(F.col("n") > 1).alias("violations"))
+                parts.append(_one(dupes, name, "unique", ",".join(rule.columns)))
+            elif isinstance(rule, Reference):
+                own, known = keys_of(name, [rule.column]), keys_of(rule.parent, [rule.parent_column])
+                lost = c.check_relationship(own, rule.column, known, rule.parent_column)
+                parts.append(_one(lost.agg(F.sum("n").alias("violations")), name, "relationships", rule.column))
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "status", F.when(F.col("violations") == 0, "pass").otherwise("fail")
     )
 
 

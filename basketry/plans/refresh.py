@@ -11,7 +11,7 @@ from ..operators.upsert import stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
-from .metrics import order_metrics
+from .metrics import order_metrics, order_product_rollup
 
 
 def orders_to_refresh(
@@ -66,8 +66,9 @@ def refresh_fct_orders(
         # summing per line then reuses the partitioning of this join, or needs no shuffle of
         # the other returns at all when the lines are few enough to broadcast
         returns = returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
-    metrics = order_metrics(orders, items, returns)
-    facts = fct_orders(metrics, customers, items, staged.products)
+    sold = stash(order_product_rollup(items, returns), "order-products")
+    metrics = order_metrics(orders, items, returns, sold)
+    facts = fct_orders(metrics, customers, sold, staged.products)
     layout = {"keys": ["order_id"], "date": "order_date", "sort_by": ["order_date", "customer_id"]}
     if table:
         return merge_published(facts, table, path, **layout)

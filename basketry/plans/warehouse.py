@@ -35,9 +35,16 @@ class Warehouse:
         self.vip, self.growth = vip, growth
         self.keep = keep
 
+    @cached_property
+    def order_products(self) -> DataFrame:
+        """Order x product rows, which orders, facts and products are summed from."""
+        s = self.staged
+        return self.keep(metrics.order_product_rollup(s.order_items, s.returns), "order-products")
+
     def fresh_order_metrics(self) -> DataFrame:
         s = self.staged
-        return metrics.order_metrics(s.orders, s.order_items, s.returns)
+        stored = self.__dict__.get("order_products")  # one model alone needs no stored rollup
+        return metrics.order_metrics(s.orders, s.order_items, s.returns, stored)
 
     def fresh_customer_lifetime(self) -> DataFrame:
         return metrics.customer_lifetime(self.staged.users, self.order_metrics)
@@ -54,14 +61,13 @@ class Warehouse:
     @property
     def product_performance(self) -> DataFrame:
         s = self.staged
-        return metrics.product_performance(s.products, s.order_items, s.orders, s.returns)
+        stored = self.__dict__.get("order_products")
+        return metrics.product_performance(s.products, s.order_items, s.orders, s.returns, stored)
 
     @property
     def fct_orders(self) -> DataFrame:
-        s = self.staged
-        return marts.fct_orders(
-            self.order_metrics, self.dim_customers, s.order_items, s.products
-        )
+        sold = self.order_products  # first, so that the metrics are summed from it
+        return marts.fct_orders(self.order_metrics, self.dim_customers, sold, self.staged.products)
 
     @property
     def order_headers(self) -> DataFrame:
@@ -99,6 +105,7 @@ def build_warehouse(
         stored[name] = write_table(df, f"{out}/{name}", **layout)
         return stored[name]
 
+    _ = wh.order_products  # lines are read once for all that follows
     wh.order_metrics = store(
         "order_metrics", wh.fresh_order_metrics(), sort_by=["order_date", "user_id", "order_id"]
     )

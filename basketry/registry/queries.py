@@ -446,7 +446,7 @@ def check_unique_combination(wh):
 
 @query
 def check_not_null(wh):
-    mix = marts.order_product_mix(wh.staged.order_items, wh.staged.products)
+    mix = marts.order_product_mix(wh.order_products, wh.staged.products)
     orders = wh.staged.orders.select("order_id", "order_date").join(mix, "order_id", "left")
     return checks.check_not_null(orders, "primary_product_id").select("order_id", "order_date")
 
@@ -549,7 +549,15 @@ def quality_report(wh):
     tables = {f"raw_{name}": df for name, df in wh.raw.items()}
     tables |= {f"stg_{name}": df for name, df in wh.staged.items()}
     tables["order_metrics"] = wh.order_metrics
-    return quality.run_checks(tables, quality.declared_rules(STAR_SEGMENTS))
+    line_key = {"line_key": wh.raw.line_key}
+    staged_from = {
+        "stg_users": ("raw_users", stage_users),
+        "stg_products": ("raw_products", stage_products),
+        "stg_orders": ("raw_orders", stage_orders),
+        "stg_order_items": ("raw_order_items", partial(stage_order_items, **line_key)),
+        "stg_returns": ("raw_returns", partial(stage_returns, **line_key)),
+    }
+    return quality.run_checks(tables, quality.declared_rules(STAR_SEGMENTS), staged_from)
 
 
 @query

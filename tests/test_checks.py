@@ -1,6 +1,7 @@
 """Each check must fire on corrupted rows and stay silent on clean ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.operators import checks as c
 from basketry.plans import quality
@@ -109,3 +110,37 @@ def test_run_checks_finds_the_planted_defects(spark):
         ("stg_order_items", "relationships", "product_id"): 1,
         ("fct_orders", "relationships", "customer_id"): 1,
     }
+
+
+def test_reports_of_empty_and_derived_tables(spark):
+    """One pass for a table and what is derived from it; empty tables break nothing."""
+    raw = spark.createDataFrame([("1", "5"), ("1", None), (None, "9"), ("3", "x")], "id string, parent string")
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        passes.add(1)
+        yield from batches
+
+    raw = raw.coalesce(1).mapInArrow(seen, raw.schema)
+    top = spark.createDataFrame([("5",), ("9",)], "id string")
+    rules = {
+        "raw": quality.not_null("id"),
+        "staged": [quality.Unique(["id"]), *quality.not_null("id"), quality.Reference("parent", "top", "id"), quality.in_range("n", high=1)],
+        "top": [quality.Unique(["id"])],
+        "none": [*quality.not_null("id"), quality.Unique(["id"]), quality.Reference("id", "top", "id")],
+        "alone": quality.not_null("id"),
+    }
+
+    def stage(df):
+        return df.withColumn("n", F.length("id"))
+
+    tables = {"raw": raw, "staged": stage(raw), "top": top, "none": top.limit(0), "alone": top}
+    report = quality.run_checks(tables, rules, {"staged": ("raw", stage)})
+    got = {(r.table_name, r.check_name, r.column_name): r.violations for r in report.collect()}
+    assert passes.value == 1
+    assert got == {
+        ("raw", "not_null", "id"): 1, ("staged", "unique", "id"): 1, ("staged", "not_null", "id"): 1,
+        ("staged", "relationships", "parent"): 1, ("staged", "accepted_range", "n"): 0,
+        ("top", "unique", "id"): 0, ("none", "not_null", "id"): 0, ("none", "unique", "id"): 0,
+        ("none", "relationships", "id"): 0, ("alone", "not_null", "id"): 0,
+    }
