@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import days_between
+from ..sources.tables import footer_bounds
 from .ordered import exact_percentiles
 
 TOLERANCE = 0.01
@@ -140,6 +141,21 @@ def check_freshness(
 ) -> DataFrame:
     """Age of the newest load with status pass, warn or error (error too if never loaded)."""
     newest = df.agg(F.max(F.col(col).cast("date")).alias("max_loaded_at"))
+    return freshness_of(newest, warn_days, error_days, as_of, name)
+
+
+def check_freshness_stored(
+    spark: SparkSession, path: str, col: str, warn_days: int, error_days: int, as_of: dt.date | str, name: str
+) -> DataFrame:
+    """``check_freshness`` of a stored table by a date column, from the footers of its files."""
+    newest = footer_bounds(spark, path, col).select(F.col("most").alias("max_loaded_at"))
+    return freshness_of(newest, warn_days, error_days, as_of, name)
+
+
+def freshness_of(
+    newest: DataFrame, warn_days: int, error_days: int, as_of: dt.date | str, name: str
+) -> DataFrame:
+    """Status of a source whose newest load is the one row of ``newest``."""
     age = days_between("max_loaded_at", F.lit(str(as_of)).cast("date"))
     status = (
         F.when(age.isNull() | (age > error_days), "error").when(age > warn_days, "warn")

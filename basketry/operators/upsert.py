@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import month_start
 from ..session import stash
-from ..sources.tables import laid_out, write_table
+from ..sources.tables import footer_bounds, laid_out, write_table
 from .keymonths import in_months, months_of_keys, record_months
 
 
@@ -33,13 +33,19 @@ def refuse_repeated_keys(updates: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"several updates for one key: {repeated.asDict()}")
 
 
-def window_floor(target: DataFrame | None, date: str, days: int = 14) -> Column | None:
+def window_floor(
+    target: DataFrame | None, date: str, days: int = 14, path: str | None = None
+) -> Column | None:
     """First date to reprocess; None when there is no target row, meaning everything.
 
     One value is read from the target, so the filter holds a literal that is pushed down to
-    the scan and prunes partitions.
+    the scan and prunes partitions.  With the ``path`` of a stored target it comes from the
+    footers of the files.
     """
-    last = target.agg(F.max(date)).first()[0] if target is not None else None
+    if target is not None and path is not None:
+        last = footer_bounds(target.sparkSession, path, date).first()["most"]
+    else:
+        last = target.agg(F.max(date)).first()[0] if target is not None else None
     return None if last is None else F.date_sub(F.lit(last), days)
 
 

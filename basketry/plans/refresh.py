@@ -19,13 +19,14 @@ def orders_to_refresh(
     target: DataFrame | None,
     days: int = 14,
     changed_order_ids: DataFrame | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Orders inside the rolling window, plus older ones named in ``changed_order_ids``.
 
     The window alone misses a return that comes in later than ``days`` after its order; pass
     the order ids such returns belong to, and those orders are rebuilt as well.
     """
-    floor = window_floor(target, "order_date", days)
+    floor = window_floor(target, "order_date", days, path)
     if floor is None:
         return orders
     in_window = F.col("order_date") >= floor
@@ -56,7 +57,7 @@ def refresh_fct_orders(
     """
     spark = staged.orders.sparkSession
     target = published_table(spark, table) if table else stored_table(spark, path)
-    orders = orders_to_refresh(staged.orders, target, days, changed_order_ids)
+    orders = orders_to_refresh(staged.orders, target, days, changed_order_ids, None if table else path)
     items, returns = staged.order_items, staged.returns
     if target is not None:
         orders = stash(orders, "orders-to-refresh")

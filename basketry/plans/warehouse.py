@@ -130,7 +130,8 @@ def build_warehouse(
         "fct_orders",
         wh.fct_orders.withColumn("order_month", month_start("order_date")),
         partition_by="order_month",
-        sort_by=["order_date", "customer_id", "order_id"],
+        sort_by=["order_id"],
+        cluster_by=["order_date", "customer_id"],
     )
     store("daily_revenue_summary", daily.daily_revenue_summary(facts), sort_by=["revenue_date"])
     store(

@@ -987,6 +987,20 @@ ORACLE_SQL = {
               UNION ALL SELECT 'quantity', 'p90', {discrete("0.9")}, NULL, 2.0 FROM quantity_places)
             WHERE value < lower_bound OR value > upper_bound""",
     ),
+    "check_freshness_footers": """
+        WITH newest AS (
+          SELECT 'orders' AS source, max(CAST(o_orderdate AS DATE)) AS d, 3 AS warn, 7 AS err FROM orders
+          UNION ALL SELECT 'order_items', max(CAST(l_shipdate AS DATE)), 3, 7 FROM lineitem
+          UNION ALL SELECT 'returns', max(CAST(l_shipdate AS DATE)), 7, 14 FROM lineitem WHERE l_returnflag = 'R')
+        SELECT source, d AS max_loaded_at, CAST(date_diff('day', d, DATE '2001-08-08') AS BIGINT) AS age_days,
+               CASE WHEN date_diff('day', d, DATE '2001-08-08') > err THEN 'error'
+                    WHEN date_diff('day', d, DATE '2001-08-08') > warn THEN 'warn' ELSE 'pass' END AS status
+        FROM newest""",
+    "orders_clustered": ask(
+        f"{ORDERS} order_month@",
+        "FROM (SELECT *, date_trunc('month', order_date) AS order_month FROM s_orders) "
+        "WHERE user_id BETWEEN 100 AND 199",
+    ),
     "load_users": loaded(
         "user_id email signup_date@ country customer_segment",
         "(SELECT * REPLACE (DATE '2020-01-01' + CAST(user_id % 1000 AS INTEGER) AS signup_date) FROM s_users)",

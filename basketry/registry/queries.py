@@ -521,6 +521,39 @@ def check_at_least_one(wh):
     return named.unionByName(other.withColumn("part", F.lit("with lines")))
 
 
+@query
+def check_freshness_footers(wh):
+    """Freshness of stored orders, lines and returns by their dates, from footers alone."""
+    spark = wh.staged.orders.sparkSession
+    s = wh.staged
+    dated = {
+        "orders": s.orders.select("order_id", F.col("order_date").alias("loaded_on")),
+        "order_items": s.order_items.select("order_item_id", F.col("ingested_at").cast("date").alias("loaded_on")),
+        "returns": s.returns.select("return_id", F.col("return_date").alias("loaded_on")),
+    }
+    found = []
+    for name, df in dated.items():
+        path = fresh_path(spark, f"stored-{name}")
+        write_table(df, path, sort_by=["loaded_on", df.columns[0]])
+        limits = quality.FRESHNESS[name]
+        # a footer's answer belongs to a session of its own, so its one row is taken over
+        row = checks.check_freshness_stored(spark, path, "loaded_on", *limits, as_of="2001-08-08", name=name)
+        found += row.collect()
+    return spark.createDataFrame(found, "source string, max_loaded_at date, age_days long, status string")
+
+
+@query
+def orders_clustered(wh):
+    """Orders stored by month and clustered by date and customer, read back for some customers."""
+    spark = wh.staged.orders.sparkSession
+    orders = wh.staged.orders.drop("ingested_at").withColumn("order_month", F.trunc("order_date", "MM"))
+    path = fresh_path(spark, "orders-clustered")
+    stored = write_table(
+        orders, path, partition_by="order_month", sort_by=["order_id"], cluster_by=["order_date", "user_id"]
+    )
+    return stored.where("user_id BETWEEN 100 AND 199")
+
+
 @query
 def check_row_count(wh):
     return checks.check_row_count(wh.staged.order_items, min_rows=1, max_rows=1000)
