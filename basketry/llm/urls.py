@@ -56,7 +56,18 @@ def _compatible(x: Column, n: Column, y: Column, m: Column, alpha: float) -> Col
     """Hoeffding bound: x of n and y of m may come from one rate."""
     bound = math.sqrt(0.5 * math.log(2 / alpha))
     wide = bound * (1 / F.sqrt(n) + 1 / F.sqrt(m))
-    return (n > 0) & (m > 0) & (F.abs(x / n - y / m) <= wide)
+    return F.when((n > 0) & (m > 0), F.abs(x / n - y / m) <= wide).otherwise(F.lit(False))
+
+
+def _alike(own: Column, both: Column, all_: Column, n: Column, m: Column, alpha: float) -> Column:
+    """Whether n pages below one child and m below its siblings may have one distribution.
+
+    own, all_: sums of squared counts of the child and of the node over what follows, both: sum of their products.
+    The distance of the two distributions is bounded as McDiarmid's inequality does for n and m draws.
+    """
+    squared = own / (n * n) - 2 * (both - own) / (n * m) + (all_ - 2 * both + own) / (m * m)
+    wide = (1 + math.sqrt(0.5 * math.log(2 / alpha))) * (1 / F.sqrt(n) + 1 / F.sqrt(m))
+    return F.when(m > 0, F.sqrt(F.greatest(squared, F.lit(0.0))) <= wide).otherwise(F.lit(False))
 
 
 def judge_urls(
@@ -70,6 +81,7 @@ def judge_urls(
     alpha: float = 0.05,
     smoothing: float = 4.0,
     purity: float = 0.5,
+    agreeing: int = 3,
 ) -> DataFrame:
     """All rows with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``purity``.
 
@@ -82,10 +94,11 @@ def judge_urls(
     - digits and long hexadecimal runs in a segment are wildcards,
     - of a node with ``many_children`` or more, children with under ``rare`` of its pages are
       one wildcard,
-    - siblings whose pages end there as often as those of all siblings by a Hoeffding test at ``alpha`` are
-      merged into one.  Labelled ones must be blocked as often as all labelled siblings, too.  Unlabelled
-      ones have no rate to test: they merge by structure, so that the purity of their template,
-      known from labelled siblings, judges them.
+    - siblings are merged into one if what follows below them (the next segment and the depth) is distributed
+      as below the other siblings, by a bound at ``alpha``.  Labelled ones must be blocked as often as
+      the other labelled ones, too, by a Hoeffding test.  Unlabelled ones have no rate to test: they join
+      labelled ones only where ``agreeing`` of these have been merged, since one labelled branch does not
+      tell whether its label holds for its neighbours.
 
     A template's purity is blocked / (labelled + ``smoothing``), and it is rejected from ``purity`` on;
     without labels it is kept.  A rule that fits overrides the template.
@@ -109,7 +122,7 @@ def judge_urls(
     parts = [stash(tree, "url-tree")]
     while not (open_ := parts[-1].where(F.size("_rest") > 0)).isEmpty():
         parts[-1] = parts[-1].where(F.size("_rest") == 0)
-        parts.append(stash(_grow(open_, many_children, rare, alpha), "url-tree"))
+        parts.append(stash(_grow(open_, many_children, rare, alpha, agreeing), "url-tree"))
     tree = reduce(DataFrame.unionByName, parts)
     pure = F.col("blocked") / (F.col("labelled") + smoothing)
     templates = tree.groupBy("host", "_node").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
@@ -126,7 +139,7 @@ def _path(segments: Column) -> Column:
     return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
 
 
-def _grow(tree: DataFrame, many: int, rare: float, alpha: float) -> DataFrame:
+def _grow(tree: DataFrame, many: int, rare: float, alpha: float, agreeing: int) -> DataFrame:
     """Move each node's rows down to its first fork and into the children there, or to their ends before."""
     c = F.col
     # if two rows part somewhere, one of them parts from the greatest there or before
@@ -144,18 +157,29 @@ def _grow(tree: DataFrame, many: int, rare: float, alpha: float) -> DataFrame:
             "_rest": F.slice("_rest", c("_fork") + 2, F.size("_rest")),
         }
     )
-    ends = F.when(F.size("_rest") == 0, F.col("n")).otherwise(0)
-    children = open_.groupBy("host", "_node", "_child").agg(
-        F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("blocked").alias("cb"), F.sum(ends).alias("ce")
-    )
-    pools = children.groupBy("host", "_node").agg(
-        F.sum("cn").alias("pn"), F.sum("cl").alias("pl"), F.sum("cb").alias("pb"), F.sum("ce").alias("pe"), F.count(F.lit(1)).alias("pk")
+    node, child = ["host", "_node"], ["host", "_node", "_child"]
+    # what follows below a child, as counts; an end is a symbol of its own
+    symbol = F.struct(F.get("_rest", F.lit(0)).alias("next"), F.size("_rest").alias("depth")).alias("_next")
+    follows = stash(open_.groupBy(*child, symbol).agg(F.sum("n").alias("sn")), "url-follows")
+    pooled = stash(follows.groupBy(*node, "_next").agg(F.sum("sn").alias("ps")), "url-follows")
+    own, pool = c("sn").cast("double"), c("ps").cast("double")
+    sums = follows.join(pooled, [*node, "_next"]).groupBy(*child)
+    sums = sums.agg(F.sum(own * own).alias("own"), F.sum(own * pool).alias("both"))
+    squares = pooled.groupBy(*node).agg(F.sum(pool * pool).alias("all"))
+    children = open_.groupBy(*child).agg(F.sum("n").alias("cn"), F.sum("labelled").alias("cl"), F.sum("blocked").alias("cb"))
+    pools = children.groupBy(*node).agg(
+        F.sum("cn").alias("pn"), F.sum("cl").alias("pl"), F.sum("cb").alias("pb"), F.count(F.lit(1)).alias("pk")
     )
-    similar = _compatible(c("ce"), c("cn"), c("pe"), c("pn"), alpha)
-    similar &= (c("cl") == 0) | _compatible(c("cb"), c("cl"), c("pb"), c("pl"), alpha)
+    named = children.join(sums, child).join(pools.join(squares, node), node)
+    alone = c("pl") == c("cl")  # no other labelled sibling
+    same_rate = alone | _compatible(c("cb"), c("cl"), c("pb") - c("cb"), c("pl") - c("cl"), alpha)
+    alike = _alike(c("own"), c("both"), c("all"), c("cn"), c("pn") - c("cn"), alpha)
+    named = stash(named.select(*child, "cn", "cl", "pn", "pl", "pk", (alike & ((c("cl") == 0) | same_rate)).alias("similar")), "url-children")
+    witnesses = named.groupBy(*node).agg(F.count_if(c("similar") & (c("cl") > 0)).alias("_agree"))
+    named = named.join(witnesses, node)
     variable = (c("pk") >= many) & (c("cn") < rare * c("pn"))
-    token = F.when(variable, "*").when((c("pk") > 1) & similar, "+")
-    named = children.join(pools, ["host", "_node"])
-    named = named.select("host", "_node", "_child", F.coalesce(token, c("_child")).alias("_token"))
+    joins = c("similar") & ((c("cl") > 0) | (c("pl") == 0) | (c("_agree") >= agreeing))
+    token = F.when(variable, "*").when(joins, "+")
+    named = named.select(*child, F.coalesce(token, c("_child")).alias("_token"))
     grown = open_.join(named, ["host", "_node", "_child"]).withColumn("_node", F.concat("_node", F.lit("/"), "_token"))
     return ended.unionByName(grown.select(ended.columns)).select(tree.columns)
