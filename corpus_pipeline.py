@@ -22,7 +22,7 @@ def _documents(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model does not reject; a document that is labelled clean stays."""
+    """Documents that the model does not reject, whatever their label says."""
     model = registry.toxicity_model(spark, docs, sf_dir)
     return _documents(model.score(docs).where("predicted = 0"), docs)
 
@@ -61,7 +61,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: Learned scores and sampled signatures have no SQL; tests/llm holds each stage against brute force.
+#: Learned scores and sampled signatures have no SQL; tests/llm holds the stages against plain versions.
 ORACLE_SQL = None
 
 
