@@ -98,7 +98,8 @@ def _summed(blocks: DataFrame, shape: tuple[int, ...], mean: np.ndarray, part: C
     """Sum over all blocks of ``part`` of the block's centred vectors.
 
     Each task adds up its blocks, Spark adds up the tasks' results entry by entry, and the driver gets one
-    array, whose size does not depend on the number of vectors.
+    array, whose size does not depend on the number of vectors.  There are no more tasks than cores, so
+    neither do the tasks' results grow with the number of files.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,14 +111,15 @@ def _summed(blocks: DataFrame, shape: tuple[int, ...], mean: np.ndarray, part: C
                 total.add(part(vectors.astype(np.float64) - mean))
                 seen = True
         if seen:
-            for at in (total.high, total.low):
-                entries = pa.array(np.arange(at.size, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([entries, pa.array(at.ravel())], ["entry", "v"])
+            columns = [pa.array(np.arange(total.high.size, dtype=np.int32))]
+            columns += [pa.array(part.ravel()) for part in (total.high, total.low)]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "high", "low"])
 
-    sums = blocks.select("x").mapInArrow(task, "entry int, v double").groupBy("entry").agg(F.sum("v"))
+    dealt = blocks.select("x").coalesce(blocks.sparkSession.sparkContext.defaultParallelism)
+    sums = dealt.mapInArrow(task, "entry int, high double, low double").groupBy("entry")
     out = np.zeros(int(np.prod(shape)))
-    for entry, v in sums.collect():  # as many rows as the array has entries
-        out[entry] = v
+    for entry, high, low in sums.agg(F.sum("high"), F.sum("low")).collect():  # a row for each entry
+        out[entry] = high + low
     return out.reshape(shape)
 
 
