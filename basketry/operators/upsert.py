@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import month_start
+from ..functions import month_start, subtract_days
 from ..session import stash
 from ..sources.tables import footer_bounds, laid_out, write_table
 from .keymonths import in_months, months_of_keys, record_months
@@ -46,7 +46,7 @@ def window_floor(
         last = footer_bounds(target.sparkSession, path, date).first()["most"]
     else:
         last = target.agg(F.max(date)).first()[0] if target is not None else None
-    return None if last is None else F.date_sub(F.lit(last), days)
+    return None if last is None else subtract_days(F.lit(last), days)
 
 
 def reprocess_window(

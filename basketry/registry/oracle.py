@@ -782,6 +782,16 @@ ORACLE_SQL = {
                             order_date) AS days_since_segment_start
            FROM s_orders o JOIN s_users u ON u.user_id = o.user_id WHERE is_completed)""",
     ),
+    "customer_share_of_country": ask(
+        "customer_id country lifetime_revenue$ cumulative_pct$",
+        """FROM (SELECT *,
+              CAST(sum(lifetime_revenue) OVER (
+                       PARTITION BY country ORDER BY lifetime_revenue DESC, customer_id
+                       ROWS UNBOUNDED PRECEDING) AS DOUBLE) * 100.0 / nullif(CAST(whole AS DOUBLE), 0)
+                  AS cumulative_pct
+            FROM (SELECT *, sum(lifetime_revenue) OVER (PARTITION BY country) AS whole
+                  FROM dim WHERE is_active_customer))""",
+    ),
     "customer_revenue_share": ask(
         "customer_id customer_segment lifetime_revenue$ pct_of_segment$ cumulative_pct$",
         """FROM (SELECT *,

@@ -20,6 +20,7 @@ from ..operators.history import scd2_from_snapshots, scd2_merge, scd2_start
 from ..operators.published import drop_unpublished
 from ..operators.relational import (
     column_values,
+    cumulative_share,
     pareto_shares,
     pivot_sum,
     share_of_total,
@@ -387,6 +388,14 @@ def ltv_statistics(wh):
     return insight.ltv_statistics(insight.customer_category_value(wh.enriched_orders))
 
 
+@query
+def customer_share_of_country(wh):
+    """Running share of each customer in the revenue of the country, from the largest on."""
+    active = _dim(wh).where("is_active_customer").select("customer_id", "country", "lifetime_revenue")
+    by_revenue = [F.desc("lifetime_revenue"), F.asc("customer_id")]
+    return cumulative_share(active, ["country"], by_revenue, "lifetime_revenue", "cumulative_pct")
+
+
 @query
 def customer_revenue_share(wh):
     """Share and running share of each customer in the revenue of the segment."""
@@ -842,10 +851,11 @@ def load_returns(wh):
 @query
 def orders_view_sql(wh):
     """Staged orders exposed as a view and read with SQL."""
-    as_view(wh.staged.orders, "stg_orders_view")
-    return wh.staged.orders.sparkSession.sql(
-        "SELECT order_id, status, is_completed FROM stg_orders_view"
-    )
+    spark, name = wh.staged.orders.sparkSession, f"stg_orders_{uuid.uuid4().hex}"
+    as_view(wh.staged.orders, name)
+    read = spark.sql(f"SELECT order_id, status, is_completed FROM {name}")
+    spark.catalog.dropTempView(name)  # the frame is resolved already
+    return read
 
 
 def _observed_costs(wh):
