@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import stash
 from .rows import pack, unpack
+from .text import release
 
 MAX_ROWS = 60_000  # labelled rows that the model is fitted on
 MAX_TERMS = 4_000  # learned words and word beginnings
@@ -111,6 +112,7 @@ def _featurize(terms):
         fours = {t[:4] for t in starts}
         for texts in frames:
             yield pd.DataFrame([features(t, words, starts, fours) for t in texts], columns=FEATURES)
+            release()
 
     return F.pandas_udf(run, ", ".join(f"{f} double" for f in FEATURES))
 
