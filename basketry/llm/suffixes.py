@@ -24,6 +24,7 @@ from .text import _BYTE_CODE, _POWERS, MULTIPLIER, mix, ragged, release, slices
 LENGTH = 50
 ANCHOR = 20  # bytes of an anchor; each string of LENGTH bytes has one
 CHUNK_BYTES = 1 << 20  # of text, or one text
+CHUNK_BUCKET = 32 << 20  # bytes of text whose chunks are stored together
 ANCHOR_BUCKET = 16 << 20  # bytes of text whose anchors meet in one task
 FRAGMENT_BUCKET = 4 << 20  # bytes of fragments that meet in one task
 TRANSFORM = 150_000  # suffixes of one transform, unless one anchor has more
@@ -294,7 +295,7 @@ def _contents(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _fragment_rows(buckets: int, width: int):
-    """Distinct fragments of a chunk with repeated anchors, by bucket; bucket -1 has their places."""
+    """Distinct fragments of a chunk with repeated anchors, and where they start, by bucket."""
     cut = _U(8 * (8 - width))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -319,28 +320,28 @@ def _fragment_rows(buckets: int, width: int):
             order = np.lexsort((content, anchor))
             new = np.concatenate([[True], (content[order][1:] != content[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])])
             first = np.flatnonzero(new)
-            number = np.cumsum(new) - 1  # of the fragment at each place, in order
+            ends = np.append(first[1:], len(order))
             owner = ids[text[order], 0]
             least, most = np.minimum.reduceat(owner, first), np.maximum.reduceat(owner, first)
-            rows.append((-1, chunk, dump(starts[order], number.astype(np.int32))))
             one = order[first]
             cuts = np.searchsorted(_bucket(anchor[one], buckets), np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
-                own = one[cuts[b] : cuts[b + 1]]
                 s = slice(cuts[b], cuts[b + 1])
+                own = one[s]
+                places = starts[order[first[s.start] : ends[s.stop - 1]]]
                 piece = data[ragged(starts[own], lengths[own])]
-                rows.append((b, chunk, dump(int(cuts[b]), anchor[own] >> _U(16), lengths[own].astype(np.int32), least[s], most[s] - least[s], piece)))
+                rows.append((b, chunk, dump((ends - first)[s].astype(np.int32), places.astype(np.int32), anchor[own] >> _U(16), lengths[own].astype(np.int32), least[s], most[s] - least[s], piece)))
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "chunk": pa.array([r[1] for r in rows], pa.int64()), "body": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
 
 
 def _match(table: pa.Table) -> pa.Table:
-    """Where in each chunk's fragments strings begin that a smaller document holds."""
+    """Where in each chunk strings begin that a smaller document holds, in runs of one least document."""
     release()
     chunks = table["chunk"].to_pylist()
     parts = [load(b) for b in table["body"].to_pylist()]
-    base, anchor, lengths, least, more, piece = zip(*parts, strict=True)
+    copies, places, anchor, lengths, least, more, piece = zip(*parts, strict=True)
     many = [len(a) for a in anchor]
     anchor, lengths, least, more, data = (np.concatenate(x) for x in (anchor, lengths, least, more, piece))
     lengths, most = lengths.astype(np.int64), least + more
@@ -371,7 +372,7 @@ def _match(table: pa.Table) -> pa.Table:
         i = j
     rows = []
     at = 0
-    for chunk, n, start in zip(chunks, many, base, strict=True):
+    for chunk, n, each, starts in zip(chunks, many, copies, places, strict=True):
         own = kind[at : at + n]
         w = windows[own]
         value = found[ragged(window_at[own], w)]
@@ -385,9 +386,11 @@ def _match(table: pa.Table) -> pa.Table:
         last[:-1] &= ~hit[1:] | new[1:]
         run = np.flatnonzero(last) + 1 - runs
         if len(runs):
-            rows.append((chunk, dump((fragment[runs] + start).astype(np.int32), spot[runs].astype(np.int32), run.astype(np.int32), value[runs])))
+            times = each[fragment[runs]]  # a fragment may start at several places of the chunk
+            begin = starts[ragged((np.cumsum(each) - each)[fragment[runs]], times)] + np.repeat(spot[runs], times)
+            rows.append((chunk, dump(begin.astype(np.int32), np.repeat(run, times).astype(np.int32), np.repeat(value[runs], times))))
         at += n
-    return pa.table({"bucket": pa.array([0] * len(rows), pa.int64()), "chunk": pa.array([r[0] for r in rows], pa.int64()), "body": pa.array([r[1] for r in rows], pa.binary())})
+    return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "body": pa.array([r[1] for r in rows], pa.binary())})
 
 
 _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -396,26 +399,16 @@ _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 def _remove(left: pa.Table, right: pa.Table) -> pa.Table:
     """Documents of a chunk with the removed spans and the bytes that are left."""
     release()
-    kinds, bodies = right["bucket"].to_pylist(), right["body"].to_pylist()
     out: dict[str, list] = {"id": [], "n_bytes": [], "spans": [], "kept": []}
     for body in left["body"].to_pylist():
         ids, offsets, data = load(body)
         depth = np.zeros(len(data) + 1, np.int32)
-        places = next((load(b) for k, b in zip(kinds, bodies, strict=True) if k < 0), None)
-        for k, b in zip(kinds, bodies, strict=True):
-            if k < 0:
-                continue
-            starts, number = places
-            fragment, spot, run, value = load(b)
-            first = np.searchsorted(number, fragment)
-            many = np.searchsorted(number, fragment, "right") - first
-            at = starts[ragged(first, many)]
-            spot, run, value = (np.repeat(x, many) for x in (spot, run, value))
-            text = np.searchsorted(offsets, at, "right") - 1
+        for answer in right["body"].to_pylist():
+            begin, run, value = load(answer)
+            text = np.searchsorted(offsets, begin, "right") - 1
             good = value < ids[text, 0]
-            begin = (at + spot)[good]
-            np.add.at(depth, begin, 1)
-            np.add.at(depth, begin + run[good] + LENGTH - 1, -1)
+            np.add.at(depth, begin[good], 1)
+            np.add.at(depth, begin[good] + run[good] + LENGTH - 1, -1)
         gone = np.cumsum(depth[:-1]) > 0
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             mask = gone[a:b]
@@ -432,14 +425,21 @@ def _remove(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array(out["id"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()), "spans": pa.array(out["spans"], _ARROW_SPANS), "kept": pa.array(out["kept"], pa.binary())})
 
 
-def _by_chunk(packed: DataFrame) -> DataFrame:
-    """Chunks stored in buckets by their number, so that joining them twice moves no text."""
+def _by_chunk(packed: DataFrame, size: int) -> DataFrame:
+    """Chunks stored in buckets by their number, so that joining them twice moves no text.
+
+    Only a table can have buckets.  Its name is dropped at once; the files stay and are read by the plan.
+    """
     spark = packed.sparkSession
     path = fresh_path(spark, "repeat-chunks")
     name = f"repeat_chunks_{path.rsplit('-', 1)[-1]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed.write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    buckets = max(LEAST_BUCKETS, math.ceil(size / CHUNK_BUCKET))
+    # a chunk is compressed already
+    write = packed.write.option("compression", "none").option("path", path)
+    write.bucketBy(buckets, "chunk").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -460,8 +460,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     repeated rows do not remove each other.  Null texts are empty.  Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    packed = _by_chunk(rows.mapInArrow(_pack, "chunk long, body binary"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    packed = _by_chunk(rows.mapInArrow(_pack, "chunk long, body binary"), size)
     buckets = max(LEAST_BUCKETS, math.ceil(size / ANCHOR_BUCKET))
     # an anchor is only a filter: so many bytes of it leave few chance meetings
     width = min(8, math.ceil((math.log2(size + 2) + 10) / 8))
@@ -470,9 +470,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     count = again.agg(F.sum("n")).first()[0] or 0
     buckets = max(LEAST_BUCKETS, math.ceil(count * 1.3 * LENGTH / FRAGMENT_BUCKET))
     pieces = packed.groupBy("chunk").cogroup(again.select("chunk", "body").groupBy("chunk"))
-    pieces = stash(pieces.applyInArrow(_fragment_rows(buckets, width), "bucket long, chunk long, body binary"), "repeat-fragments")
-    hits = pieces.where("bucket >= 0").groupBy("bucket").applyInArrow(_match, "bucket long, chunk long, body binary")
-    answers = hits.unionByName(pieces.where("bucket < 0"))
+    pieces = pieces.applyInArrow(_fragment_rows(buckets, width), "bucket long, chunk long, body binary")
+    hits = pieces.groupBy("bucket").applyInArrow(_match, "chunk long, body binary")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remove, schema)
+    return packed.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(_remove, schema)
