@@ -106,20 +106,24 @@ def _counted(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
 
 
-def damped(n: int, frequency: np.ndarray) -> np.ndarray:
-    """Inverse document frequency between 1 and 2.
+def damped(total: int, frequency):
+    """Inverse document frequency from 1 to 2, by a shingle's share of all occurrences of shingles.
+
+    It is 1 plus -log2(frequency / total) / ``FREQUENT_BITS``, and 2 for any share of 2**-``FREQUENT_BITS`` or less:
+    only the share matters, so a table twice as large with the same mix of texts weighs its shingles alike.
 
     Near copies raise the frequency of what they share.  If idf could fall to nothing, the few words
     in which a large group's texts differ would outweigh the rest, and the group would fall apart.
     """
-    return 1 + np.log1p(n / frequency) / np.log1p(n)
+    return 1 + np.clip(np.log2(total / np.asarray(frequency, np.float64)) / FREQUENT_BITS, 0.0, 1.0)
 
 
 def inverse_document_frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """(hash, idf) of frequent shingles, and the idf of all others, from all texts.
 
-    A shingle is frequent if its document frequency is at least f = (all shingles) / 2**18; so there
-    are at most 2**18, however many texts.  Others count as having frequency f.  A sketch of 2**22
+    The idf (see ``damped``) is the same for all shingles of at most f = (all occurrences) / 2**18 documents,
+    so only those of more, at most 2**18 however many texts, are counted one by one; where f is below 2, those of 2
+    or more, and the others come once.  So every shingle has its exact idf.  A sketch of 2**22
     bucket counts first tells in which buckets frequent ones can be (no frequent one is
     missed); shingles of those buckets are then counted exactly.
     """
@@ -127,19 +131,19 @@ def inverse_document_frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarr
     first = texts.mapInArrow(_sketch, _BLOCK_ROWS).repartition("block", F.pmod(F.xxhash64("counts"), F.lit(4)))
     sums = first.mapInArrow(_add_blocks, _BLOCK_ROWS).repartition("block").mapInArrow(_add_blocks, _BLOCK_ROWS)
     sums = sums.toArrow().to_pydict()  # 2**22 counts in all, compressed
-    n, total = sum(sums["texts"]), sum(sums["n"])
-    least = max(1, total / (1 << FREQUENT_BITS))
+    total = sum(sums["n"])
+    least = max(2, total / (1 << FREQUENT_BITS))
     hot = np.zeros(1 << SKETCH_BITS, bool)
     step = (1 << SKETCH_BITS) // BLOCKS
     for b, raw in zip(sums["block"], sums["counts"], strict=True):
-        hot[b * step : (b + 1) * step] = np.frombuffer(zlib.decompress(raw), np.uint32) >= max(2, least)
-    rest = float(damped(n, np.float64(least))) if n else 1.0
+        hot[b * step : (b + 1) * step] = np.frombuffer(zlib.decompress(raw), np.uint32) >= least
+    rest = float(damped(total, max(1, total / (1 << FREQUENT_BITS)))) if total else 1.0
     shared = spark.sparkContext.broadcast(np.packbits(hot).tobytes())
     counted = texts.mapInArrow(_candidate_counter(shared), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    frequent = counted.where(F.col("n") >= F.lit(float(max(2, least)))).toArrow()
+    frequent = counted.where(F.col("n") >= F.lit(float(least))).toArrow()
     h = np.asarray(frequent["h"]).view(np.uint64)
     order = np.argsort(h)
-    return h[order], damped(n, np.asarray(frequent["n"])[order]), rest
+    return h[order], damped(total, np.asarray(frequent["n"])[order]), rest
 
 
 def weigh(h: np.ndarray, count: np.ndarray, idf: tuple) -> np.ndarray:

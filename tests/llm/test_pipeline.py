@@ -49,8 +49,8 @@ def classes_of(texts):
     """Least id of each text's class: all pairs, weighted Jaccard similarity of 0.8 or more."""
     bags = {i: shingles(t) for i, t in texts.items()}
     seen = Counter(s for bag in bags.values() for s in bag)
-    n = len(texts)
-    idf = {s: 1 + math.log1p(n / f) / math.log1p(n) for s, f in seen.items()}
+    total = sum(k for bag in bags.values() for k in bag.values())
+    idf = {s: 1 + min(1.0, math.log2(total / f) / 18) for s, f in seen.items()}
     weights = {i: {s: k * idf[s] for s, k in bag.items()} for i, bag in bags.items()}
     total = {i: sum(w.values()) for i, w in weights.items()}
     root = {i: i for i in texts}
