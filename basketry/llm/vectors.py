@@ -25,6 +25,7 @@ SAMPLE_BYTES = 16 << 20  # of one (label, length)
 GROUP_SAMPLE = 128  # vectors at least for a (label, length) of more than LEAF
 LEAST_SAMPLE = 16  # a node with fewer sampled vectors is not split by the fitted trees
 LEAF = 512  # a leaf with more is split further in its task
+SMALL_LEAF = 32  # likewise, in trees of a (label, length) of up to LEAF vectors
 BLOCK = 1024
 
 
@@ -102,8 +103,9 @@ def _assign(forest):
             for label, own in frame.groupby("label", sort=False):
                 for dim, same in own.groupby(own["v"].str.len(), sort=False):
                     x = _matrix(same["v"])
-                    # a (label, length) of up to LEAF vectors has no trees and is compared as a whole, once
-                    for t, nodes in enumerate(forest.value.get((label, int(dim)), [[]])):
+                    # the trees of a (label, length) of up to LEAF vectors grow in the task that compares it
+                    trees = forest.value.get((label, int(dim)))
+                    for t, nodes in enumerate(trees) if trees else [(-1, [])]:
                         rows, leaf = _leaves(nodes, x)
                         part = same.iloc[rows]
                         out = pd.DataFrame({"label": label, "dim": int(dim), "tree": t, "leaf": leaf, "key": part["key"], "v": part["v"]})
@@ -120,16 +122,16 @@ def _seed(label: str, *numbers: int) -> list[int]:
 
 
 def _compare(threshold: float):
-    def pairs_of(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator, out: list, tries: int = 8) -> None:
-        if len(rows) > LEAF and tries:
+    def pairs_of(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator, out: list, most: int, tries: int = 8) -> None:
+        if len(rows) > most and tries:
             direction, low, high = _split(x[rows], rng, SPILL)
             at = x[rows] @ direction
             left, right = rows[at <= high], rows[at >= low]
             if max(len(left), len(right)) <= 0.9 * len(rows):
-                pairs_of(x, left, rng, out)
-                pairs_of(x, right, rng, out)
+                pairs_of(x, left, rng, out, most)
+                pairs_of(x, right, rng, out, most)
             else:
-                pairs_of(x, rows, rng, out, tries - 1)
+                pairs_of(x, rows, rng, out, most, tries - 1)
             return
         for i in range(0, len(rows), BLOCK):
             for j in range(i, len(rows), BLOCK):
@@ -141,7 +143,9 @@ def _compare(threshold: float):
         frame = frame.sort_values("key", ignore_index=True)
         x = _matrix(frame["v"])
         out: list[np.ndarray] = []
-        pairs_of(x, np.arange(len(x)), np.random.default_rng(_seed(*frame.loc[0, ["label", "dim", "tree", "leaf"]])), out)
+        label, dim, tree, leaf = frame.loc[0, ["label", "dim", "tree", "leaf"]]
+        for t, most in [(tree, LEAF)] if tree >= 0 else [(t, SMALL_LEAF) for t in range(TREES)]:
+            pairs_of(x, np.arange(len(x)), np.random.default_rng(_seed(label, dim, t, leaf)), out, most)
         pairs = np.unique(np.concatenate(out), axis=0)
         kept = [np.einsum("ij,ij->i", x[p[:, 0]], x[p[:, 1]]) >= threshold for p in np.array_split(pairs, len(pairs) // 100_000 + 1)]
         pairs = pairs[np.concatenate(kept)]
@@ -164,7 +168,8 @@ def near_vectors(
 
     Vectors of one label and length whose cosine is ``threshold`` or more are linked.  Equal vectors (up to a
     positive factor) are one node with a weight, so copies are never paired with each other.
-    A (label, length) of up to ``LEAF`` nodes is compared as a whole.  Splits of the others' trees are fitted on a uniform
+    A (label, length) of up to ``LEAF`` nodes meets in one task, which grows its ``TREES`` trees down to leaves of
+    ``SMALL_LEAF``.  Splits of the others' trees are fitted on a uniform
     sample of their own: their part of ``SAMPLE`` nodes, ``GROUP_SAMPLE`` at least.  Every node is indexed: it
     goes down ``TREES`` trees, to both sides when near a split.  Nodes meet in leaves, where larger leaves are split on
     with the same spill, otherwise in each tree, blocks are multiplied, and pairs are verified in double precision.  Links of
