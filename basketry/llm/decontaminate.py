@@ -43,7 +43,7 @@ class Block:
 
     grid: np.ndarray
     length: np.ndarray
-    owners: list[list[str]]
+    owners: list[set[str]]
     tokens: np.ndarray
     arity: np.ndarray
     spots: np.ndarray
@@ -57,7 +57,7 @@ class Block:
 def make_block(items: list[tuple[str, np.ndarray]], window: int) -> Block:
     """items: id as text and word hashes."""
     seen: dict[bytes, int] = {}
-    owners: list[list[str]] = []
+    owners: list[set[str]] = []
     rows: list[np.ndarray] = []
     for name, hashes in items:
         for at in range(max(1, len(hashes) - window + 1)):
@@ -65,9 +65,8 @@ def make_block(items: list[tuple[str, np.ndarray]], window: int) -> Block:
             number = seen.setdefault(row.tobytes(), len(rows))
             if number == len(rows):
                 rows.append(row)
-                owners.append([])
-            if name not in owners[number]:
-                owners[number].append(name)
+                owners.append(set())
+            owners[number].add(name)
     length = np.array([len(r) for r in rows], np.int64)
     grid = np.zeros((len(rows), window), np.uint64)
     for i, r in enumerate(rows):
