@@ -1,5 +1,7 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+from .sharding import SHARD_BYTES
+
 _DIGITS = "('0x' || substr(md5({}), 1, {}))::BIGINT"
 
 SQL: dict[str, str] = {}
@@ -64,13 +66,15 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-SQL["op10_shard"] = f"""
+
+def shard_sql(limit: int) -> str:
+    return f"""
 WITH d AS (
   SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
     {_DIGITS.format("coalesce(doc_id::VARCHAR, '')", 15)} AS h FROM documents
 ), each_depth AS (SELECT *, unnest(range(0, 61)) AS depth FROM d),
 node AS (
-  SELECT *, sum(n_bytes) OVER same <= {64 << 20} OR count(*) OVER same = 1 AS fits FROM each_depth
+  SELECT *, sum(n_bytes) OVER same <= {limit} OR count(*) OVER same = 1 AS fits FROM each_depth
   WINDOW same AS (PARTITION BY depth, h >> (60 - depth))
 ), deep AS (SELECT doc_id, n_bytes, h, min(depth) AS depth FROM node WHERE fits GROUP BY doc_id, n_bytes, h)
 SELECT doc_id, n_bytes,
@@ -78,6 +82,9 @@ SELECT doc_id, n_bytes,
   depth::INTEGER AS shard_depth FROM deep
 """
 
+
+SQL["op10_shard"] = shard_sql(SHARD_BYTES)
+
 SQL["op6_near_vectors"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings

@@ -60,11 +60,12 @@ def shard(
 
     A document over the limit gets a shard of its own.  Rows with the same hash (repeated ids,
     null ids) that exceed it together are cut into runs, named prefix-run, by a running
-    sum in stored order: chunk totals first, so no task holds them all.  Null sizes count as 0.  The
+    sum over the partitions in which they come in: totals of these first, so no task holds them all.  Null sizes count as 0.  The
     added columns take the place of columns of the same name; an empty table stays empty.
     """
     bytes_of = F.coalesce(size, F.lit(0)).cast("long")
-    rows = pack(docs, _hash=hash_bits(F.col(doc_id)), _bytes=bytes_of)
+    # the partition in which a row comes in: joins by hash below would bring all rows of one hash together
+    rows = pack(docs, _hash=hash_bits(F.col(doc_id)), _bytes=bytes_of).withColumn("_chunk", F.spark_partition_id())
     pending = stash(rows.select("_hash", "_bytes"), "shard-sizes")
     total = pending.agg(F.sum("_bytes")).first()[0] or 0
     start, end = 0, min(ROUND_BITS, max(1, math.ceil(math.log2(max(total / limit, 1))) + SLACK_BITS))
@@ -91,7 +92,7 @@ def shard(
     name = F.substring(bits, F.lit(1), F.coalesce("_depth", F.lit(HASH_BITS)))
     rows = rows.withColumns({"shard": name, "shard_depth": F.coalesce("_depth", F.lit(HASH_BITS))})
     if tied is not None:
-        rows = rows.where("_depth IS NOT NULL").unionByName(_runs(rows.where("_depth IS NULL"), limit))
+        rows = rows.where("_depth IS NOT NULL").drop("_chunk").unionByName(_runs(rows.where("_depth IS NULL"), limit))
     return unpack(rows, ["shard", "shard_depth"])
 
 
@@ -101,7 +102,7 @@ def _runs(rows: DataFrame, limit: int) -> DataFrame:
     A run takes half the limit by running sum, so that the row on its edge fits as well; rows
     of over half the limit are runs alone.
     """
-    rows = stash(rows.withColumn("_chunk", F.spark_partition_id()), "shard-ties")
+    rows = stash(rows, "shard-ties")
     large = F.col("_bytes") * 2 > limit
     rows = rows.withColumn("_step", F.when(large, F.lit(0)).otherwise(F.col("_bytes")))
     rows = rows.withColumn("_large", large.cast("long"))

@@ -5,14 +5,15 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketry.llm import minhash, suffixes, vectors
+from basketry.llm import minhash, oracle, suffixes, vectors
 from basketry.llm.components import components, merged
-from basketry.llm.decontaminate import decontaminate
+from basketry.llm.decontaminate import decontaminate, make_block
 from basketry.llm.language import fit_language
 from basketry.llm.minhash import near_duplicates
 from basketry.llm.mixing import mix_sources, word_count
@@ -68,6 +69,7 @@ def test_repeats_match_brute_force(spark, docs, texts):
         want.append((i, len(b), spans, bytes(np.frombuffer(b, np.uint8)[~gone])))
     assert sorted((r["id"] if r["id"] is not None else 2**63, r["n_bytes"], len(r["spans"]), bytes(r["kept"])) for r in got) == sorted(want)
     assert remove_repeats(docs.limit(0)).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("repeat_chunks")]
 
 
 def test_intervals_match_sorted_strings():
@@ -123,6 +125,25 @@ def test_mixing_stage_copies_rows_and_not_ids(spark, texts):
     assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= 3 * most
 
 
+def test_idf_depends_on_the_share_of_a_shingle_only(spark):
+    rng = random.Random(8)
+    some = [prose(rng, 30) for _ in range(40)]
+    texts = [rng.choice(some) for _ in range(200)]
+
+    def idf(rows):
+        frame = spark.createDataFrame([(t,) for t in rows], "text string")
+        hashes, values, rest = minhash.inverse_document_frequencies(frame)
+        return dict(zip(hashes.tolist(), values.tolist(), strict=True)), rest
+
+    once, rest = idf(texts)
+    twice, _ = idf(texts * 2)
+    total, held = 26 * len(texts), {t: texts.count(t) for t in set(texts)}
+    want = sorted(1 + math.log2(total / n) / 18 for t, n in held.items() for _ in range(26) if n > 1)
+    assert np.allclose(sorted(once.values()), want) and math.isclose(rest, 1 + math.log2(total) / 18)
+    assert all(math.isclose(twice[h], v) for h, v in once.items())
+    assert minhash.damped(1 << 30, 1) == minhash.damped(1 << 40, 5) == 2
+
+
 def test_a_large_group_of_near_copies_stays_together(spark):
     rng = random.Random(4)
     base = [prose(rng, 1) for _ in range(200)]
@@ -183,6 +204,12 @@ def test_decontamination_matches_brute_force(spark, docs, texts):
     assert decontaminate(docs.limit(0), frame).count() == 0
 
 
+def test_items_that_share_a_window_are_told_once():
+    hashes = np.arange(12, dtype=np.uint64)
+    block = make_block([(str(i % 3000), hashes) for i in range(6000)], 10)
+    assert len(block.grid) == 3 and all(len(o) == 3000 for o in block.owners)
+
+
 def test_mix_reaches_targets(spark, docs):
     got = mix_sources(docs, word_count(F.col("text"))).collect()
     assert len(got) == docs.count() and {"_row", "text"} <= set(got[0].asDict())
@@ -213,6 +240,26 @@ def test_shards_fit_and_split_only_where_needed(spark):
     assert shard(frame.limit(0), F.col("n")).count() == 0
 
 
+def test_many_small_shards_match_sql(spark):
+    limit, path = 64 << 10, "/root/testdata/sf0.01/documents.parquet"
+    docs = spark.read.parquet(path).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"))
+    got = shard(docs, F.col("n_bytes"), limit=limit).select("doc_id", "n_bytes", "shard", "shard_depth").collect()
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    assert sorted(map(tuple, got)) == sorted(base.execute(oracle.shard_sql(limit)).fetchall())
+    assert len({r["shard"] for r in got}) > 30
+
+
+def test_runs_of_one_hash_are_cut_where_rows_come_in(spark):
+    data = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(10).alias("n")).repartition(8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = shard(data, F.col("n"), limit=1000).groupBy("shard").agg(F.sum("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r[1] for r in got) == 40_000 and max(r[1] for r in got) <= 1000 and len(got) <= 88
+
+
 def test_token_files_round_trip(spark, docs, texts, tmp_path):
     import public_tokenizers
     import tokenizers
@@ -307,6 +354,22 @@ def test_vectors_of_many_skewed_labels_keep_their_links(spark, monkeypatch):
     assert min(recall["few"]) == 1 and min(recall["mid"]) >= 0.98 and min(recall["big"]) >= 0.98, recall
 
 
+def test_small_groups_go_through_trees(spark):
+    rng = np.random.default_rng(9)
+    data = []
+    for label, many in [(str(i), 40 + 60 * i) for i in range(7)]:
+        centres = rng.standard_normal((max(1, many // 5), 16))
+        data += [(len(data) + i, label, [float(x) for x in centres[i % len(centres)] + rng.standard_normal(16) * 0.15]) for i in range(many)]
+    frame = spark.createDataFrame(data, "vec_id long, label string, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(frame).collect()}
+    x = np.array([d[2] for d in data])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([d[1] for d in data])
+    link = (x @ x.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    assert 0.98 * link.sum() <= sum(got.values()) <= link.sum()
+
+
 def test_urls_follow_rules_then_purity(spark):
     rules = [Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"), Rule("www.example.com", "/en/", "allow")]
     urls = ["http://A.Example.com/en/1?x", "https://www.example.com/en/1", "http://b.com/x#y", "http://b.org/p/1", "nothing", None, "http://example.com", "http://b.org/" + "a/" * 3000]
