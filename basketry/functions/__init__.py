@@ -3,6 +3,7 @@ from .columns import (
     engagement_band,
     growth_status,
     loyalty_tier,
+    match_key,
     mean_of,
     opportunity_tier,
     pareto_class,
@@ -32,6 +33,7 @@ __all__ = [
     "engagement_band",
     "growth_status",
     "loyalty_tier",
+    "match_key",
     "mean_of",
     "month_start",
     "opportunity_tier",

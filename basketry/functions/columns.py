@@ -68,6 +68,18 @@ def surrogate_key(*cols: Column | str, null_token: str = NULL_KEY_PART) -> Colum
     return F.md5(F.concat_ws("-", *parts))
 
 
+def match_key(key: Column, kind: T.DataType) -> Column:
+    """A value that is equal for equal keys only, and shorter to shuffle where keys are md5 texts.
+
+    A text of 32 lower-case hex digits becomes its 16 bytes; any other text becomes its UTF-8
+    bytes behind 17 zero bytes, which no md5 equals.  Other types stay as they are.
+    """
+    if not isinstance(kind, T.StringType):
+        return key
+    other = F.concat(F.lit(bytes(17)), key.cast("binary"))
+    return F.when(key.rlike("^[0-9a-f]{32}\\z"), F.unhex(key)).otherwise(other)
+
+
 def loyalty_tier(
     revenue: Column | str, vip: float = VIP_REVENUE, growth: float = GROWTH_REVENUE
 ) -> Column:

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, mean_of, safe_divide, surrogate_key
+from ..functions import MONEY, match_key, mean_of, safe_divide, surrogate_key
+
+HOT_LINES = 1_000_000  # lines of one order that are not gathered in one task
 
 
 def _zero(column: str) -> Column:
@@ -40,51 +42,97 @@ def order_product_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def order_product_rollup(items: DataFrame, returns: DataFrame) -> DataFrame:
-    """Lines and their returns summed to order x product, from one pass over the lines.
+def _has_hot_order(items: DataFrame) -> bool:
+    """Whether one order, or the lines without one, may hold more than ``HOT_LINES`` lines.
 
-    Order metrics, order facts and product performance all start from these rows, so store
-    them where more than one is built.  Returns are summed per line before the join, so many
-    returns of one line cost one row; returns without a line are left out.
+    One scan of the order ids with a sketch of bounded size, which misses no frequent value.
+    """
+    top = F.expr("approx_top_k(order_id, 1, 10000)").alias("top")
+    found = items.select("order_id").agg(top, F.count_if(F.col("order_id").isNull()).alias("none")).first()
+    return max([found["none"], *(r["count"] for r in found["top"] or [])]) > HOT_LINES
+
+
+def _returned_lines(items: DataFrame, returns: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of the lines that have returns, with the sums of these.
+
+    Returns are summed per line before the join, so many returns of one line cost one row;
+    returns without a line are left out.
     """
-    per_line = returns.groupBy("order_item_id").agg(
+    key = F.col("order_item_id")
+    kind = items.schema["order_item_id"].dataType
+    if returns.schema["order_item_id"].dataType == kind:
+        key = match_key(key, kind)
+    per_line = returns.select(key.alias("_line"), "return_id", "refund_amount").groupBy("_line").agg(
         F.count("return_id").alias("return_count"),
         F.count(F.lit(1)).alias("return_rows"),
         F.sum("refund_amount").alias("refund_amount"),
     )
-    lines = items.select("order_item_id", "order_id", "product_id", "quantity", "gross_item_sales")
+    return items.select(key.alias("_line"), *columns).join(per_line, "_line").drop("_line")
+
+
+def order_product_rollup(items: DataFrame, returns: DataFrame) -> DataFrame:
+    """Lines and their returns summed to order x product.
+
+    Order metrics, order facts and product performance all start from these rows, so store
+    them where more than one is built.  Only line keys are shuffled to find the lines of the returns;
+    the sums of lines and of returned lines then meet in one more shuffle.  It is by order, so that
+    what is summed per order later shrinks before it is shuffled, and by order and product
+    where one order is so large that it would fill a task.
+    """
+    returned = _returned_lines(items, returns, "order_id", "product_id", "quantity").select(
+        "order_id",
+        "product_id",
+        "return_count",
+        (F.col("quantity") * F.col("return_rows")).alias("units_returned"),
+        "refund_amount",
+    )
+    sold = items.select("order_id", "product_id", "quantity", "gross_item_sales", F.lit(1).alias("line"))
+    rows = sold.unionByName(returned, allowMissingColumns=True)
+    if not _has_hot_order(items):
+        rows = rows.repartition("order_id")
+    return rows.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("product_quantity"),
+        F.sum("gross_item_sales").alias("product_sales"),
+        F.count("line").alias("product_lines"),
+        F.sum("return_count").alias("return_count"),
+        F.sum("units_returned").alias("units_returned"),
+        F.sum("refund_amount").alias("refund_amount"),
+    )
+
+
+def order_returns(items: DataFrame, returns: DataFrame) -> DataFrame:
+    """Returns summed to the order, for orders that have returned lines."""
     return (
-        lines.join(per_line, "order_item_id", "left")
-        .groupBy("order_id", "product_id")
-        .agg(
-            F.sum("quantity").alias("product_quantity"),
-            F.sum("gross_item_sales").alias("product_sales"),
-            F.count(F.lit(1)).alias("product_lines"),
-            F.sum("return_count").alias("return_count"),
-            F.sum(F.col("quantity") * F.col("return_rows")).alias("units_returned"),
-            F.sum("refund_amount").alias("refund_amount"),
-        )
+        _returned_lines(items, returns, "order_id")
+        .groupBy("order_id")
+        .agg(F.sum("return_count").alias("return_count"), F.sum("refund_amount").alias("total_refund_amount"))
     )
 
 
 def order_metrics(
-    orders: DataFrame, items: DataFrame, returns: DataFrame, rollup: DataFrame | None = None
+    orders: DataFrame,
+    items: DataFrame,
+    returns: DataFrame,
+    rollup: DataFrame | None = None,
+    returned: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order, cancelled ones included; measures of empty orders are 0.
 
     Lines are summed to order x product first (``rollup``, where it is stored) and then to the
-    order: that spreads one huge order over many tasks and gives the distinct product count
-    without a second pass.
+    order: that gives the distinct product count without a second pass.  ``returned``
+    (``order_returns``) takes the place of the returns in a rollup that was stored with others.
     """
     rollup = order_product_rollup(items, returns) if rollup is None else rollup
+    sums = {"return_count": "return_count", "total_refund_amount": "refund_amount"} if returned is None else {}
     lines = rollup.groupBy("order_id").agg(
         F.sum("product_quantity").alias("total_item_quantity"),
         F.sum("product_lines").alias("line_item_count"),
         F.count("product_id").alias("distinct_products"),
         F.sum("product_sales").alias("gross_item_sales"),
-        F.sum("return_count").alias("return_count"),
-        F.sum("refund_amount").alias("total_refund_amount"),
+        *[F.sum(c).alias(name) for name, c in sums.items()],
     )
+    if returned is not None:
+        lines = lines.join(returned, "order_id", "left")
     gross = _zero_money("gross_item_sales")
     refund = _zero_money("total_refund_amount")
     return orders.join(lines, "order_id", "left").select(

@@ -47,7 +47,8 @@ class Warehouse:
         return metrics.order_metrics(s.orders, s.order_items, s.returns, stored)
 
     def fresh_customer_lifetime(self) -> DataFrame:
-        return metrics.customer_lifetime(self.staged.users, self.order_metrics)
+        stored = self.__dict__.get("order_metrics")  # this model alone needs no stored metrics
+        return metrics.customer_lifetime(self.staged.users, self.fresh_order_metrics() if stored is None else stored)
 
     @cached_property
     def order_metrics(self) -> DataFrame:
