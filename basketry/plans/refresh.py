@@ -11,7 +11,7 @@ from ..operators.upsert import stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
-from .metrics import order_metrics, order_product_rollup
+from .metrics import order_metrics, order_product_rollup, order_returns
 
 
 def orders_to_refresh(
@@ -45,6 +45,8 @@ def refresh_fct_orders(
     days: int = 14,
     changed_order_ids: DataFrame | None = None,
     table: str | None = None,
+    sold: DataFrame | None = None,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
     """Rebuild the facts of recent (and named) orders and merge them into the table.
 
@@ -54,6 +56,9 @@ def refresh_fct_orders(
     Lines and returns are cut down to those orders before anything is aggregated.  Customers are the
     current dimension; facts of orders outside the scope keep the tier and lifetime
     figures they had when last merged.  Orders are never deleted.
+
+    A first load can start from what is stored already: ``sold`` are the order x product rows of all staged
+    lines (their returns are not used: those of ``staged`` are matched), ``metrics`` those of the staged orders.
     """
     spark = staged.orders.sparkSession
     target = published_table(spark, table) if table else stored_table(spark, path)
@@ -67,8 +72,11 @@ def refresh_fct_orders(
         # summing per line then reuses the partitioning of this join, or needs no shuffle of
         # the other returns at all when the lines are few enough to broadcast
         returns = returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
-    sold = stash(order_product_rollup(items, returns), "order-products")
-    metrics = order_metrics(orders, items, returns, sold)
+    if target is not None or sold is None:
+        sold = stash(order_product_rollup(items, returns), "order-products")
+        metrics = order_metrics(orders, items, returns, sold)
+    elif metrics is None:
+        metrics = order_metrics(orders, items, returns, sold, order_returns(items, returns))
     facts = fct_orders(metrics, customers, sold, staged.products)
     layout = {"keys": ["order_id"], "date": "order_date", "sort_by": ["order_date", "customer_id"]}
     if table:
@@ -88,11 +96,22 @@ def orders_of_returns(returns: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def load_facts_until(
-    path: str, staged: Relations, customers: DataFrame, before: str, table: str | None = None
+    path: str,
+    staged: Relations,
+    customers: DataFrame,
+    before: str,
+    table: str | None = None,
+    sold: DataFrame | None = None,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
-    """First load of the fact table with the orders dated before ``before``."""
-    early = staged.orders.where(F.col("order_date") < F.lit(before).cast("date"))
-    return refresh_fct_orders(path, staged.replace(orders=early), customers, table=table)
+    """First load of the fact table with the orders dated before ``before``.
+
+    ``sold`` and ``metrics`` are stored rows of all staged lines and orders, as in ``refresh_fct_orders``.
+    """
+    is_early = F.col("order_date") < F.lit(before).cast("date")
+    early = staged.replace(orders=staged.orders.where(is_early))
+    metrics = None if metrics is None else metrics.where(is_early)
+    return refresh_fct_orders(path, early, customers, table=table, sold=sold, metrics=metrics)
 
 
 

@@ -651,7 +651,8 @@ def fct_orders_incremental(wh):
     """Facts loaded up to a cutoff, then refreshed with the rolling window."""
     spark = wh.staged.orders.sparkSession
     path = fresh_path(spark, "fct-orders")
-    refresh.load_facts_until(path, wh.staged, wh.dim_customers, CUTOFF)
+    stored = {"sold": wh.order_products, "metrics": wh.order_metrics}
+    refresh.load_facts_until(path, wh.staged, wh.dim_customers, CUTOFF, **stored)
     table = refresh.refresh_fct_orders(path, wh.staged, wh.dim_customers)
     return table.select(*FACT_COLUMNS)
 
@@ -661,8 +662,9 @@ def fct_orders_published(wh):
     """The incremental load into a catalog table whose months are switched to new versions."""
     spark = wh.staged.orders.sparkSession
     path, name = fresh_path(spark, "published-facts"), f"facts_{uuid.uuid4().hex}"
+    stored = {"sold": wh.order_products, "metrics": wh.order_metrics}
     try:
-        refresh.load_facts_until(path, wh.staged, wh.dim_customers, CUTOFF, table=name)
+        refresh.load_facts_until(path, wh.staged, wh.dim_customers, CUTOFF, table=name, **stored)
         facts = refresh.refresh_fct_orders(path, wh.staged, wh.dim_customers, table=name)
         drop_unpublished(spark, name, path)
         return stash(facts.select(*FACT_COLUMNS), "published-facts-read")
@@ -678,7 +680,8 @@ def fct_orders_old_orders(wh):
     old = s.orders.where("order_id % 500 = 3").select("order_id")
     theirs = s.order_items.join(old, "order_id", "left_semi").select("order_item_id")
     before = s.replace(returns=s.returns.join(theirs, "order_item_id", "left_anti"))
-    refresh.refresh_fct_orders(path, before, wh.dim_customers)
+    sold = wh.order_products
+    refresh.refresh_fct_orders(path, before, wh.dim_customers, sold=sold)
     table = refresh.refresh_fct_orders(path, s, wh.dim_customers, changed_order_ids=old)
     return table.select(*FACT_COLUMNS)
 
@@ -691,7 +694,8 @@ def fct_orders_stream(wh):
     s = wh.staged
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
     early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
-    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF)
+    sold = wh.order_products
+    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, sold=sold)
     schema = write_table(late.select("return_id", "order_item_id"), inbox).schema
     arriving = spark.readStream.schema(schema).parquet(inbox)
     run = refresh_fct_orders_stream(
@@ -741,7 +745,8 @@ def fct_orders_stream_early_returns(wh):
     s = wh.staged
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
     early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
-    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF)
+    sold = wh.order_products
+    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, sold=sold)
     ids = late.select("return_id", "order_item_id")
     schema = write_table(ids.where("order_item_id < '8'").coalesce(1), inbox).schema
     write_table(ids.where("order_item_id >= '8'").coalesce(1), inbox, mode="append")
