@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions import match_key
 from ..operators import checks as c
 from ..session import stash
 
@@ -195,6 +196,22 @@ class _Passes:
         self.observed.append((name, found, counts))
         return df.observe(counts, *[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(found)])
 
+    def _key(self, name: str, df: DataFrame, column: str) -> Column:
+        """The column as it is grouped and joined: short, unless it is compared with another type."""
+        kind = df.schema[column].dataType
+        compared = [
+            self.tables[other].schema[col].dataType
+            for child in self.names
+            for r in self.rules[child]
+            if isinstance(r, Reference)
+            for other, col, end in (
+                (r.parent, r.parent_column, (child, r.column)),
+                (child, r.column, (r.parent, r.parent_column)),
+            )
+            if end == (name, column)
+        ]
+        return match_key(F.col(column), kind) if all(k == kind for k in compared) else F.col(column)
+
     def _run(self, name: str) -> None:
         if name in self.through:
             base, derive = self.through[name]
@@ -202,7 +219,7 @@ class _Passes:
         else:
             df = self.tables[name]
         columns = dict.fromkeys(self.columns.get(name, ()))
-        kept = self._observe(name, df).select(*columns)
+        kept = self._observe(name, df).select(*[self._key(name, df, c).alias(c) for c in columns])
         if columns:
             self.keys[name] = stash(kept, "checked-keys")
         elif _row_rules(self.rules.get(name, ())):
