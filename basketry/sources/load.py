@@ -74,10 +74,11 @@ def _checked(parsed: DataFrame, table: str, types: dict[str, str | T.DataType])
     blank = F.nullif(F.trim(key), F.lit("")).isNull() & F.col(_BAD).isNull()
     reasons.append(F.when(blank, F.lit(f"{key}: missing")))
     written = F.to_csv(F.struct(*RAW_COLUMNS[table]))
+    found = F.array_compact(F.array(*reasons))
     return parsed.select(
         *columns,
-        F.array_compact(F.array(*reasons)).alias("_reasons"),
-        F.coalesce(_BAD, written).alias("_record"),
+        found.alias("_reasons"),
+        F.when(F.size(found) > 0, F.coalesce(_BAD, written)).alias("_record"),  # good records need no copy
         F.col("_file"),
     )
 
@@ -115,7 +116,9 @@ def load_raw(
     seen = Observation(f"load {table}")
     counts = [F.count_if(~is_bad).alias("rows"), F.count_if(is_bad).alias("rejected")]
     checked = stash(_checked(parsed, table, types).observe(seen, *counts), f"checked-{table}")
-    checked.where(~is_bad).select(*RAW_COLUMNS[table]).write.mode("overwrite").parquet(f"{out}/raw_{table}")
+    checked.where(~is_bad).select(*RAW_COLUMNS[table]).write.mode("overwrite").option(
+        "compression", "zstd"
+    ).parquet(f"{out}/raw_{table}")
     rejected = checked.where(is_bad).select(
         F.col(RAW_COLUMNS[table][0]).cast("string").alias("record_key"),
         F.col("_reasons").alias("reasons"),
