@@ -52,34 +52,69 @@ def _has_hot_order(items: DataFrame) -> bool:
     return max([found["none"], *(r["count"] for r in found["top"] or [])]) > HOT_LINES
 
 
-def _returned_lines(items: DataFrame, returns: DataFrame, *columns: str) -> DataFrame:
-    """``columns`` of the lines that have returns, with the sums of these.
+def line_key(items: DataFrame, returns: DataFrame) -> Column:
+    """The line id of both frames, short to shuffle where their types agree."""
+    kind = items.schema["order_item_id"].dataType
+    same = returns.schema["order_item_id"].dataType == kind
+    return match_key(F.col("order_item_id"), kind) if same else F.col("order_item_id")
+
+
+def returned_lines(
+    items: DataFrame, returns: DataFrame, some: Column | None = None, few: bool = False
+) -> DataFrame:
+    """Order, product and quantity of the lines that have returns, with the sums of these.
 
     Returns are summed per line before the join, so many returns of one line cost one row;
-    returns without a line are left out.
+    returns without a line are left out.  Store the rows where returns are summed more than
+    once.  The returns that meet the condition ``some`` are summed apart as well, for ``some_returned_lines``.
+    With ``few`` lines the returns of other lines are dropped before they are summed.
     """
-    key = F.col("order_item_id")
-    kind = items.schema["order_item_id"].dataType
-    if returns.schema["order_item_id"].dataType == kind:
-        key = match_key(key, kind)
-    per_line = returns.select(key.alias("_line"), "return_id", "refund_amount").groupBy("_line").agg(
-        F.count("return_id").alias("return_count"),
+    key = line_key(items, returns).alias("line_key")
+    given = returns.select(
+        key,
+        F.col("return_id").isNotNull().alias("named"),
+        "refund_amount",
+        (F.lit(True) if some is None else F.coalesce(some, F.lit(False))).alias("some"),
+    )
+    if few:
+        # summing per line then reuses the partitioning of this join, or needs no shuffle of
+        # the other returns at all when the lines are few enough to broadcast
+        given = given.join(items.select(key), "line_key", "left_semi")
+    sums = [
+        F.count_if("named").alias("return_count"),
         F.count(F.lit(1)).alias("return_rows"),
         F.sum("refund_amount").alias("refund_amount"),
-    )
-    return items.select(key.alias("_line"), *columns).join(per_line, "_line").drop("_line")
-
-
-def order_product_rollup(items: DataFrame, returns: DataFrame) -> DataFrame:
+    ]
+    if some is not None:
+        sums += [
+            F.count_if(F.col("named") & F.col("some")).alias("some_count"),
+            F.count_if("some").alias("some_rows"),
+            F.sum(F.when(F.col("some"), F.col("refund_amount"))).alias("some_refund"),
+        ]
+    per_line = given.groupBy("line_key").agg(*sums)
+    return items.select(key, "order_id", "product_id", "quantity").join(per_line, "line_key")
+
+
+def some_returned_lines(returned: DataFrame) -> DataFrame:
+    """The ``returned_lines`` of the returns that were summed apart."""
+    sums = {"return_count": "some_count", "return_rows": "some_rows", "refund_amount": "some_refund"}
+    lines = returned.where("some_rows > 0")
+    return lines.select("order_id", "product_id", "quantity", *[F.col(c).alias(name) for name, c in sums.items()])
+
+
+def order_product_rollup(
+    items: DataFrame, returns: DataFrame, returned: DataFrame | None = None, few: bool = False
+) -> DataFrame:
     """Lines and their returns summed to order x product.
 
     Order metrics, order facts and product performance all start from these rows, so store
     them where more than one is built.  Only line keys are shuffled to find the lines of the returns;
     the sums of lines and of returned lines then meet in one more shuffle.  It is by order, so that
     what is summed per order later shrinks before it is shuffled, and by order and product
-    where one order is so large that it would fill a task.
+    where one order is so large that it would fill a task.  ``returned`` are the ``returned_lines`` of
+    these returns, where they are stored.
     """
-    returned = _returned_lines(items, returns, "order_id", "product_id", "quantity").select(
+    returned = (returned_lines(items, returns, few=few) if returned is None else returned).select(
         "order_id",
         "product_id",
         "return_count",
@@ -100,12 +135,14 @@ def order_product_rollup(items: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def order_returns(items: DataFrame, returns: DataFrame) -> DataFrame:
-    """Returns summed to the order, for orders that have returned lines."""
-    return (
-        _returned_lines(items, returns, "order_id")
-        .groupBy("order_id")
-        .agg(F.sum("return_count").alias("return_count"), F.sum("refund_amount").alias("total_refund_amount"))
+def order_returns(items: DataFrame, returns: DataFrame, returned: DataFrame | None = None) -> DataFrame:
+    """Returns summed to the order, for orders that have returned lines.
+
+    ``returned`` are the ``returned_lines`` of these returns, where they are stored.
+    """
+    returned = returned_lines(items, returns) if returned is None else returned
+    return returned.groupBy("order_id").agg(
+        F.sum("return_count").alias("return_count"), F.sum("refund_amount").alias("total_refund_amount")
     )
 
 
@@ -135,7 +172,7 @@ def order_metrics(
         lines = lines.join(returned, "order_id", "left")
     gross = _zero_money("gross_item_sales")
     refund = _zero_money("total_refund_amount")
-    return orders.join(lines, "order_id", "left").select(
+    sums = orders.join(lines, "order_id", "left").select(
         "order_id",
         "user_id",
         "order_date",
@@ -149,8 +186,12 @@ def order_metrics(
         refund.alias("total_refund_amount"),
         (gross - refund).cast("decimal(38,6)").alias("net_sales"),
         _zero("return_count"),
-        surrogate_key("order_id", "user_id", "order_date").alias("order_surrogate_key"),
     )
+    return with_order_key(sums)
+
+
+def with_order_key(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("order_surrogate_key", surrogate_key("order_id", "user_id", "order_date"))
 
 
 def customer_lifetime(users: DataFrame, metrics: DataFrame) -> DataFrame:

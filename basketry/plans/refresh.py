@@ -11,7 +11,7 @@ from ..operators.upsert import stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
-from .metrics import order_metrics, order_product_rollup, order_returns
+from .metrics import line_key, order_metrics, order_product_rollup, order_returns
 
 
 def orders_to_refresh(
@@ -47,6 +47,7 @@ def refresh_fct_orders(
     table: str | None = None,
     sold: DataFrame | None = None,
     metrics: DataFrame | None = None,
+    returned: DataFrame | None = None,
 ) -> DataFrame:
     """Rebuild the facts of recent (and named) orders and merge them into the table.
 
@@ -58,7 +59,8 @@ def refresh_fct_orders(
     figures they had when last merged.  Orders are never deleted.
 
     A first load can start from what is stored already: ``sold`` are the order x product rows of all staged
-    lines (their returns are not used: those of ``staged`` are matched), ``metrics`` those of the staged orders.
+    lines (their returns are not used: those of ``staged`` are matched, or come
+    as ``returned``, their stored ``returned_lines``), ``metrics`` those of the staged orders.
     """
     spark = staged.orders.sparkSession
     target = published_table(spark, table) if table else stored_table(spark, path)
@@ -68,15 +70,15 @@ def refresh_fct_orders(
         orders = stash(orders, "orders-to-refresh")
         ids = orders.select("order_id")
         near = within_key_ranges(staged.order_items, ids, "order_id")
-        items = stash(near.join(ids, "order_id", "left_semi"), "lines-to-refresh")
-        # summing per line then reuses the partitioning of this join, or needs no shuffle of
-        # the other returns at all when the lines are few enough to broadcast
-        returns = returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
+        key = line_key(items, returns)
+        items = near.select(key.alias("order_item_id"), "order_id", "product_id", "quantity", "gross_item_sales")
+        items = stash(items.join(ids, "order_id", "left_semi"), "lines-to-refresh")
+        returns = returns.withColumn("order_item_id", key)
     if target is not None or sold is None:
-        sold = stash(order_product_rollup(items, returns), "order-products")
+        sold = stash(order_product_rollup(items, returns, few=target is not None), "order-products")
         metrics = order_metrics(orders, items, returns, sold)
     elif metrics is None:
-        metrics = order_metrics(orders, items, returns, sold, order_returns(items, returns))
+        metrics = order_metrics(orders, items, returns, sold, order_returns(items, returns, returned))
     facts = fct_orders(metrics, customers, sold, staged.products)
     layout = {"keys": ["order_id"], "date": "order_date", "sort_by": ["order_date", "customer_id"]}
     if table:
@@ -103,21 +105,24 @@ def load_facts_until(
     table: str | None = None,
     sold: DataFrame | None = None,
     metrics: DataFrame | None = None,
+    returned: DataFrame | None = None,
 ) -> DataFrame:
     """First load of the fact table with the orders dated before ``before``.
 
-    ``sold`` and ``metrics`` are stored rows of all staged lines and orders, as in ``refresh_fct_orders``.
+    ``sold`` and ``metrics`` are stored rows of all staged lines and orders, ``returned`` those of the staged
+    returns, as in ``refresh_fct_orders``.
     """
     is_early = F.col("order_date") < F.lit(before).cast("date")
     early = staged.replace(orders=staged.orders.where(is_early))
     metrics = None if metrics is None else metrics.where(is_early)
-    return refresh_fct_orders(path, early, customers, table=table, sold=sold, metrics=metrics)
-
+    return refresh_fct_orders(path, early, customers, table=table, sold=sold, metrics=metrics, returned=returned)
 
 
 def match_returns(returns: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ids of the orders the given returns belong to, and the line ids without a line so far."""
-    named = stash(returns.where("order_item_id IS NOT NULL").select("order_item_id").distinct(), "returned-line-ids")
-    lines = items.select("order_item_id", "order_id")
-    found = stash(lines.join(named, "order_item_id", "left_semi"), "returned-lines")
-    return found.select("order_id").distinct(), named.join(found, "order_item_id", "left_anti")
+    key = line_key(items, returns)
+    ids = returns.where("order_item_id IS NOT NULL").select("order_item_id").distinct()
+    named = stash(ids.withColumn("line_key", key), "returned-line-ids")
+    lines = items.select(key.alias("line_key"), "order_id")
+    found = stash(lines.join(named.select("line_key"), "line_key", "left_semi"), "returned-lines")
+    return found.select("order_id").distinct(), named.join(found, "line_key", "left_anti").select("order_item_id")

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..functions import month_start
 from ..functions.columns import GROWTH_REVENUE, VIP_REVENUE
@@ -39,7 +39,19 @@ class Warehouse:
     def order_products(self) -> DataFrame:
         """Order x product rows, which orders, facts and products are summed from."""
         s = self.staged
-        return self.keep(metrics.order_product_rollup(s.order_items, s.returns), "order-products")
+        returned = self.__dict__.get("returned_lines")  # one pass over the returns needs no stored lines
+        return self.keep(metrics.order_product_rollup(s.order_items, s.returns, returned), "order-products")
+
+    def match_returns(self, some: Column | None = None) -> DataFrame:
+        """Find the lines of the returns once for all models, and store them.
+
+        Returns that later count alone are named by the condition ``some``; without one the rows keep
+        their ``line_key``.
+        """
+        s = self.staged
+        found = metrics.returned_lines(s.order_items, s.returns, some)
+        self.returned_lines = self.keep(found if some is None else found.drop("line_key"), "returned-lines")
+        return self.returned_lines
 
     def fresh_order_metrics(self) -> DataFrame:
         s = self.staged
@@ -52,7 +64,9 @@ class Warehouse:
 
     @cached_property
     def order_metrics(self) -> DataFrame:
-        return self.keep(self.fresh_order_metrics(), "order-metrics")
+        # an md5 does not compress, so it is made again where it is read
+        stored = self.keep(self.fresh_order_metrics().drop("order_surrogate_key"), "order-metrics")
+        return metrics.with_order_key(stored)
 
     @cached_property
     def dim_customers(self) -> DataFrame:

@@ -693,9 +693,11 @@ def fct_orders_stream(wh):
     path, inbox = fresh_path(spark, "fct-orders"), fresh_path(spark, "inbox")
     s = wh.staged
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
-    early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
-    sold = wh.order_products
-    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, sold=sold)
+    is_early = F.col("return_date") < F.lit(CUTOFF).cast("date")
+    early = s.replace(returns=s.returns.where(is_early))
+    known = metrics.some_returned_lines(wh.match_returns(is_early))
+    stored = {"sold": wh.order_products, "returned": known}
+    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, **stored)
     schema = write_table(late.select("return_id", "order_item_id"), inbox).schema
     arriving = spark.readStream.schema(schema).parquet(inbox)
     run = refresh_fct_orders_stream(
@@ -744,9 +746,11 @@ def fct_orders_stream_early_returns(wh):
     path, inbox = fresh_path(spark, "fct-orders"), fresh_path(spark, "inbox")
     s = wh.staged
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
-    early = s.replace(returns=s.returns.where(F.col("return_date") < F.lit(CUTOFF).cast("date")))
-    sold = wh.order_products
-    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, sold=sold)
+    is_early = F.col("return_date") < F.lit(CUTOFF).cast("date")
+    early = s.replace(returns=s.returns.where(is_early))
+    known = metrics.some_returned_lines(wh.match_returns(is_early))
+    stored = {"sold": wh.order_products, "returned": known}
+    refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, **stored)
     ids = late.select("return_id", "order_item_id")
     schema = write_table(ids.where("order_item_id < '8'").coalesce(1), inbox).schema
     write_table(ids.where("order_item_id >= '8'").coalesce(1), inbox, mode="append")

@@ -105,3 +105,38 @@ def test_good_records_keep_no_copy(spark):
     given = spark.createDataFrame([(*text.values(), None, "f"), (*bad.values(), None, "f")], ", ".join(f"{n} string" for n in names))
     found = load._checked(given, "orders", load.RAW_TYPES["orders"]).select("_record").collect()
     assert [r[0] is None for r in found] == [True, False]
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_returns_are_matched_once(spark, tmp_path, apart):
+    wh = Warehouse(raw(spark))
+    late = "return_date > '2024-02-20' and order_item_id = 1001"
+    known = wh.match_returns(F.expr(late) if apart else None)
+    stored = spark.read.parquet(*known.inputFiles())
+    assert ("line_key" in stored.columns) == (not apart)
+    assert rows(wh.order_products) == rows(Warehouse(raw(spark)).order_products)
+    some = wh.staged.replace(returns=wh.staged.returns.where(late if apart else "order_item_id = 1001"))
+    known = metrics.some_returned_lines(known) if apart else known.where("line_key = 1001")
+    loads = [{}, {"sold": wh.order_products, "returned": known}]
+    found = [
+        rows(refresh.load_facts_until(str(tmp_path / str(i)), some, wh.dim_customers, "2024-02-11", **more))
+        for i, more in enumerate(loads)
+    ]
+    assert found[0] == found[1]
+
+
+def test_waiting_returns_are_found_by_short_keys(spark):
+    ids = [F.md5(F.col("id").cast("string")).alias("order_item_id"), F.col("id").alias("order_id")]
+    items = spark.range(5).select(*ids)
+    returns = spark.range(3, 7).select(ids[0]).unionByName(spark.createDataFrame([(None,), ("x",)], "order_item_id string"))
+    orders, unmatched = refresh.match_returns(returns, items)
+    assert [r[0] for r in rows(orders)] == [3, 4]
+    assert rows(unmatched) == rows(spark.range(5, 7).select(ids[0]).unionByName(returns.where("order_item_id = 'x'")))
+    assert "binary" in dict(orders.sparkSession.read.parquet(*orders.inputFiles()).dtypes).values()
+
+
+def test_stored_order_metrics_leave_out_the_md5(spark):
+    wh = Warehouse(raw(spark))
+    assert "order_surrogate_key" not in spark.read.parquet(*wh.order_metrics.inputFiles()).columns
+    assert wh.order_metrics.columns == wh.fresh_order_metrics().columns
+    assert rows(wh.order_metrics) == rows(wh.fresh_order_metrics())
