@@ -677,11 +677,14 @@ def fct_orders_old_orders(wh):
     """Facts without the returns of a few old orders, which are then named and rebuilt."""
     spark = wh.staged.orders.sparkSession
     path, s = fresh_path(spark, "fct-orders"), wh.staged
-    old = s.orders.where("order_id % 500 = 3").select("order_id")
+    # stored, so that their size is known when the joins with all lines and returns are planned
+    old = stash(s.orders.where("order_id % 500 = 3").select("order_id"), "old-orders")
     theirs = s.order_items.join(old, "order_id", "left_semi").select("order_item_id")
-    before = s.replace(returns=s.returns.join(theirs, "order_item_id", "left_anti"))
-    sold = wh.order_products
-    refresh.refresh_fct_orders(path, before, wh.dim_customers, sold=sold)
+    theirs = stash(theirs.withColumn("line_key", metrics.line_key(s.order_items, s.returns)), "old-lines")
+    before = s.replace(returns=s.returns.join(theirs.select("order_item_id"), "order_item_id", "left_anti"))
+    known = wh.match_returns().join(theirs.select("line_key"), "line_key", "left_anti")
+    stored = {"sold": wh.order_products, "returned": known}
+    refresh.refresh_fct_orders(path, before, wh.dim_customers, **stored)
     table = refresh.refresh_fct_orders(path, s, wh.dim_customers, changed_order_ids=old)
     return table.select(*FACT_COLUMNS)
 
