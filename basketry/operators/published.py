@@ -13,7 +13,7 @@ from ..functions import month_start
 from ..session import remove_folder, stash, subfolders
 from ..sources.tables import laid_out
 from .keymonths import in_months, record_months
-from .upsert import refuse_repeated_keys, stored_rows_of, upsert
+from .upsert import merged_months, refuse_repeated_keys, stored_rows_of
 
 _VERSION = "version="
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
@@ -39,10 +39,10 @@ def _months(spark: SparkSession, table: str) -> set[str]:
     return {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
 
 
-def write_version(rows: DataFrame, root: str, month: str, sort_by: Sequence[str]) -> str:
-    """Write the rows as a new version, which no reader sees yet; its folder."""
+def write_version(rows: DataFrame, root: str, month: str) -> str:
+    """Write rows arranged by month as a new version, which no reader sees yet; its folder."""
     version = f"{root}/{_VERSION}{uuid.uuid4().hex}"
-    laid_out(rows, [month], sort_by).write.partitionBy(month).parquet(version)
+    rows.write.partitionBy(month).parquet(version)
     return version
 
 
@@ -87,23 +87,30 @@ def merge_published(
     Repeated updates of a key raise; NULL key parts are equal.
     """
     spark = updates.sparkSession
-    updates = stash(updates.withColumn(month, month_start(date)), "updates")
-    refuse_repeated_keys(updates, keys)
+    updates = updates.withColumn(month, month_start(date))
     layout = list(dict.fromkeys([*sort_by, *keys]))
     target = published_table(spark, table)
     if target is None or not _months(spark, table):
+        # nobody sees a version before it is published, so its rows need no copy to be checked on
+        version = write_version(laid_out(updates, [month], layout), root, month)
+        updates = spark.read.schema(updates.schema).parquet(version)
+        try:
+            refuse_repeated_keys(updates, keys)
+        except ValueError:
+            remove_folder(spark, version)
+            raise
         record_months(updates, None, root, keys[0], month)
-        version = write_version(updates, root, month, layout)
         if target is None:
             _create(spark, table, updates, root, month)
         publish(spark, table, month, version)
         return spark.table(table)
+    updates = stash(updates, "updates")
+    refuse_repeated_keys(updates, keys)
     old = stored_rows_of(target, updates, keys, month, root)
     gaining = {r[0] for r in updates.select(month).distinct().collect()}
     losing = {r[0] for r in old.select(month).distinct().collect()}
-    affected = target.where(in_months(month, gaining | losing))
     record_months(updates, target, root, keys[0], month)
-    version = write_version(upsert(affected, updates, keys), root, month, layout)
+    version = write_version(merged_months(target, updates, keys, month, gaining | losing, layout), root, month)
     publish(spark, table, month, version, losing - gaining)
     return spark.table(table)
 

@@ -8,7 +8,7 @@ import pytest
 from basketry.operators import published, upsert
 from basketry.operators.keymonths import key_ranges, months_of_keys, within_key_ranges
 from basketry.operators.published import drop_unpublished, merge_published
-from basketry.operators.upsert import stored_rows_of, write_incremental
+from basketry.operators.upsert import merged_months, stored_rows_of, write_incremental
 from basketry.plans.refresh import load_facts_until, refresh_fct_orders
 from basketry.plans.warehouse import Warehouse
 from tests import shop
@@ -145,3 +145,43 @@ def test_few_old_keys_do_not_widen_the_range(spark):
     assert within_key_ranges(words, words.limit(0), "id").count() == 0
     wide = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,)], "id long")
     assert within_key_ranges(wide, wide, "id").count() == 3
+
+
+def test_rows_that_stay_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    data = [(i, f"2024-{i // 10 % 12 + 1:02}-{i % 28 + 1:02}", "a") for i in range(240)]
+    write_incremental(frame(spark, *data), path, ["id"], "d", month="m")
+    new = frame(spark, (33, "2024-04-09", "B"), (None, "2024-04-10", "n")).selectExpr("*", "trunc(d, 'MM') AS m")
+    merged = merged_months(upsert.stored_table(spark, path), new, ["id"], "m", {day("2024-04-01")}, ["d", "id"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REBALANCE") == 1 and "Join" in plan.split("REBALANCE")[0]
+    assert "Join" not in plan.split("REBALANCE")[1] and "hashpartitioning(id" not in plan
+    got = rows(merged.select("id", "v"))
+    assert len(got) == 21 and {(33, "B"), (None, "n"), (34, "a")} <= set(got)
+
+
+def month_files(path, month):
+    return [f for f in os.listdir(f"{path}/m={month}") if f.endswith(".parquet")]
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_a_month_in_many_small_files_is_dealt_anew(spark, table, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(upsert, "FEW_UPDATES", few)
+    monkeypatch.setattr(upsert, "MONTH_FILES", 3)
+    path = str(tmp_path / "facts")
+    want = {}
+    for i in range(7):
+        new = [(i, "2024-01-05", f"a{i}"), (100, "2024-01-06", f"b{i}"), (200 + i, "2024-02-05", "c")]
+        want |= {k: v for k, _, v in new}
+        write_incremental(frame(spark, *new), path, ["id"], "d", month="m", sort_by=["d"])
+        merge_published(frame(spark, *new), table, str(tmp_path / "p"), ["id"], "d", month="m", sort_by=["d"])
+        assert dict(rows(spark.read.parquet(path).select("id", "v"))) == want
+        assert dict(rows(spark.table(table).select("id", "v"))) == want
+        assert len(month_files(path, "2024-01-01")) <= 4
+
+
+def test_a_first_load_is_checked_before_it_is_published(spark, table, tmp_path):
+    twice = frame(spark, (1, "2024-01-01", "a"), (1, "2024-02-01", "b"))
+    with pytest.raises(ValueError, match="several updates"):
+        merge_published(twice, table, str(tmp_path), ["id"], "d", month="m")
+    assert not spark.catalog.tableExists(table) and not os.listdir(tmp_path)
