@@ -84,6 +84,11 @@ def within_key_range(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.limit(0) if low is None and not nulls else df.where(inside)
 
 
+def few_keys(keys: DataFrame) -> bool:
+    """Whether every task can hold these keys, so that what is joined with them need not be shuffled."""
+    return keys.limit(FEW_UPDATES + 1).count() <= FEW_UPDATES
+
+
 def small_files(target: DataFrame, month: str, months: set) -> set:
     """Those of the months that lie in more than ``MONTH_FILES`` files of less than ``FILE_BYTES`` on average."""
     files = target.select(F.col(month).cast("date").alias("m"), "_metadata.file_path", "_metadata.file_size")
@@ -110,7 +115,7 @@ def merged_months(
     """
     affected = target.withColumn(month, F.col(month).cast("date")).where(in_months(month, months))
     named = updates.select(*keys)
-    if updates.limit(FEW_UPDATES + 1).count() > FEW_UPDATES:
+    if not few_keys(updates):
         kept = keep(_by_key(affected, named, keys, "left_anti"))
         return laid_out(kept.unionByName(updates), [month], sort_by)
     kept = keep(_by_key(affected, F.broadcast(named), keys, "left_anti"))

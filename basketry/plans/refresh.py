@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keymonths import within_key_ranges
 from ..operators.published import merge_published, published_table
-from ..operators.upsert import stored_table, window_floor, write_incremental
+from ..operators.upsert import few_keys, stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
@@ -124,5 +124,7 @@ def match_returns(returns: DataFrame, items: DataFrame) -> tuple[DataFrame, Data
     ids = returns.where("order_item_id IS NOT NULL").select("order_item_id").distinct()
     named = stash(ids.withColumn("line_key", key), "returned-line-ids")
     lines = items.select(key.alias("line_key"), "order_id")
-    found = stash(lines.join(named.select("line_key"), "line_key", "left_semi"), "returned-lines")
+    wanted = named.select("line_key")
+    wanted = F.broadcast(wanted) if few_keys(wanted) else wanted  # lines are not shuffled for a usual batch
+    found = stash(lines.join(wanted, "line_key", "left_semi"), "returned-lines")
     return found.select("order_id").distinct(), named.join(found, "line_key", "left_anti").select("order_item_id")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions import match_key
+from basketry.operators import upsert
 from basketry.plans import metrics, quality, refresh
 from basketry.plans.warehouse import Warehouse
 from basketry.session import stash
@@ -140,3 +141,22 @@ def test_stored_order_metrics_leave_out_the_md5(spark):
     assert "order_surrogate_key" not in spark.read.parquet(*wh.order_metrics.inputFiles()).columns
     assert wh.order_metrics.columns == wh.fresh_order_metrics().columns
     assert rows(wh.order_metrics) == rows(wh.fresh_order_metrics())
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_lines_are_not_shuffled_for_a_usual_batch(spark, monkeypatch, few):
+    s, plans = Warehouse(raw(spark)).staged, {}
+
+    def seen(df, label):
+        plans[label] = plan(df)
+        return stash(df, label)
+
+    monkeypatch.setattr(refresh, "stash", seen)
+    monkeypatch.setattr(upsert, "FEW_UPDATES", few)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders, unmatched = refresh.match_returns(s.returns, s.order_items)
+        assert [r[0] for r in rows(orders)] == [100, 104] and unmatched.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in plans["returned-lines"]) == (few > 0)
