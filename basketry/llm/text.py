@@ -23,8 +23,8 @@ MULTIPLIER = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256).astype(_U)
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[0x30:0x3A] = _IN_WORD[0x61:0x7B] = _IN_WORD[0x80:] = True
 
@@ -119,7 +119,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     if not n:
         zero = np.zeros(0, np.int64)
         return Words(np.zeros(0, _U), zero, zero, np.zeros(len(offsets), np.int64))
-    low = _LOWER[data]
+    low = LOWER[data]
     inside = _IN_WORD[low]
     cuts = offsets[:-1][offsets[:-1] < n]
     begins = inside.copy()
