@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,14 @@ from .text import _BYTE_CODE, _POWERS, MULTIPLIER, mix, ragged, release, slices
 
 LENGTH = 50
 ANCHOR = 20  # bytes of an anchor; each string of LENGTH bytes has one
-CHUNK_BYTES = 1 << 20  # of text, or one text
-CHUNK_BUCKET = 32 << 20  # bytes of text whose chunks are stored together
+CHUNK_BYTES = 8 << 20  # of text, or one text; each chunk sends a piece to each bucket, so large ones keep pieces few
+PART_BYTES = 1 << 20  # of a chunk that are worked on at once, or one text
+CHUNK_BUCKET = 16 << 20  # bytes of text whose chunks are stored together
 ANCHOR_BUCKET = 16 << 20  # bytes of text whose anchors meet in one task
-FRAGMENT_BUCKET = 4 << 20  # bytes of fragments that meet in one task
+FRAGMENT_BUCKET = 8 << 20  # bytes of fragments that meet in one task
+ANSWER = 50_000  # fragments whose answers are written at once, or one piece
 TRANSFORM = 150_000  # suffixes of one transform, unless one anchor has more
-LEAST_BUCKETS = 24
+LEAST_BUCKETS, MOST_BUCKETS = 24, 100_000  # Spark stores no more buckets
 _EACH = 32
 _SMALL = 16
 _STEP = 1 << 13
@@ -85,9 +88,32 @@ def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, stops - starts, mix(anchor[starts])
 
 
+def _packed_order(symbols: np.ndarray) -> np.ndarray:
+    """``bounded_order`` of fewer than 2**21 symbols: a key and its place share 64 bits, and such values sort faster."""
+    n = len(symbols)
+    bits = _U(n.bit_length())
+    place = np.arange(n, dtype=_U)
+    five = np.zeros(n + 4, _U)
+    five[:n] = symbols
+    key = five[:n]
+    for k in range(1, 5):
+        key = (key << _U(8)) | five[k : n + k]
+    for shift in (5, 10, 20, LENGTH - 40, 0):
+        ranked = np.sort((key << bits) | place)
+        order = (ranked & _U((1 << int(bits)) - 1)).astype(np.int64)
+        if not shift:
+            return order
+        ranked >>= bits
+        rank = np.zeros(n + LENGTH, _U)
+        rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]])).astype(_U)
+        key = (rank[:n] << bits) | rank[shift : shift + n]
+
+
 def bounded_order(symbols: np.ndarray) -> np.ndarray:
     """Places in order of the LENGTH symbols from each on; places equal in them in any order."""
     n = len(symbols)
+    if n < 1 << 21:
+        return _packed_order(symbols)
     key = np.zeros(n + 8, _U)
     key[:n] = symbols
     for width in (1, 2, 4):
@@ -224,6 +250,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most PART_BYTES, or one text."""
+    at, count = 0, len(offsets) - 1
+    while at < count:
+        end = max(int(np.searchsorted(offsets, offsets[at] + PART_BYTES, "right")) - 1, at + 1)
+        yield at, end
+        at = end
+
+
 def _anchor_rows(buckets: int, width: int):
     """Distinct anchors of a chunk, and whether two of its texts hold them, by bucket."""
 
@@ -232,8 +267,13 @@ def _anchor_rows(buckets: int, width: int):
             release()
             for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 _, offsets, data = load(body.as_py())
-                starts, _, anchor = fragments(data, offsets)
-                text = np.searchsorted(offsets, starts, "right") - 1
+                anchors, texts = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+                for i, j in _parts(offsets):
+                    part = offsets[i : j + 1] - offsets[i]
+                    starts, _, anchor = fragments(data[offsets[i] : offsets[j]], part)
+                    anchors.append(anchor)
+                    texts.append(np.searchsorted(part, starts, "right") - 1 + i)
+                anchor, text = np.concatenate(anchors), np.concatenate(texts)
                 order = np.argsort(anchor)
                 anchor, text = anchor[order], text[order]
                 first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
@@ -306,16 +346,19 @@ def _fragment_rows(buckets: int, width: int):
             if not replies:
                 continue
             ids, offsets, data = load(body)
-            starts, windows, anchor = fragments(data, offsets)
             wanted = np.sort(np.concatenate(replies))
-            short = (anchor >> cut) << cut
-            place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
-            good = wanted[place] == short
-            starts, windows, anchor = starts[good], windows[good], anchor[good]
+            found = []
+            for i, j in _parts(offsets):
+                piece = data[offsets[i] : offsets[j]]
+                starts, windows, anchor = fragments(piece, offsets[i : j + 1] - offsets[i])
+                short = (anchor >> cut) << cut
+                place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
+                good = wanted[place] == short
+                starts, lengths = starts[good], windows[good] + LENGTH - 1
+                found.append((starts + offsets[i], lengths, anchor[good], _contents(piece, starts, lengths)))
+            starts, lengths, anchor, content = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(starts):
                 continue
-            lengths = windows + LENGTH - 1
-            content = _contents(data, starts, lengths)
             text = np.searchsorted(offsets, starts, "right") - 1
             order = np.lexsort((content, anchor))
             new = np.concatenate([[True], (content[order][1:] != content[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])])
@@ -346,7 +389,8 @@ def _match(table: pa.Table) -> pa.Table:
     anchor, lengths, least, more, data = (np.concatenate(x) for x in (anchor, lengths, least, more, piece))
     lengths, most = lengths.astype(np.int64), least + more
     begins = np.cumsum(lengths) - lengths
-    content = _contents(data, begins, lengths)
+    cuts = np.unique(np.searchsorted(begins, np.arange(0, len(data), PART_BYTES)))
+    content = np.concatenate([_contents(data[begins[i] : begins[j - 1] + lengths[j - 1]], begins[i:j] - begins[i], lengths[i:j]) for i, j in pairwise([*cuts, len(begins)]) if i < j])
     order = np.lexsort((lengths, content, anchor))
     a, c, n = anchor[order], content[order], lengths[order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])]))
@@ -355,41 +399,54 @@ def _match(table: pa.Table) -> pa.Table:
     owner = np.minimum.reduceat(least[order], first)
     one = order[first]  # a fragment of each kind; kinds are in order of their anchor
     windows = lengths[one] - LENGTH + 1
-    found = np.zeros(int(windows.sum()), np.int64)
     window_at = np.cumsum(windows) - windows
-    new_anchor = np.flatnonzero(np.concatenate([[True], anchor[one][1:] != anchor[one][:-1]]))
-    size = np.cumsum(lengths[one] + 1)
+    # the only fragment of an anchor: any string of it that comes twice has this one owner
+    found = np.repeat(owner, windows)
+    new = np.concatenate([[True], anchor[one][1:] != anchor[one][:-1]])
+    several = np.flatnonzero(~(new & np.append(new[1:], True)))
+    new_anchor = np.flatnonzero(new[several])
+    size = np.cumsum(lengths[one[several]] + 1)
     i = 0
-    while i < len(one):
+    while i < len(several):
         done = size[i - 1] if i else 0
         k = int(np.searchsorted(size, done + TRANSFORM, "right"))
         stops = new_anchor[np.searchsorted(new_anchor, i, "right") :]
         fit = stops[stops <= k]
-        j = int(fit[-1]) if len(fit) and k < len(one) else (len(one) if k >= len(one) else int(stops[0]) if len(stops) else len(one))
-        own = one[i:j]
+        j = int(fit[-1]) if len(fit) and k < len(several) else (len(several) if k >= len(several) else int(stops[0]) if len(stops) else len(several))
+        kinds = several[i:j]
+        own = one[kinds]
         text = data[ragged(begins[own], lengths[own])]
-        found[window_at[i] : window_at[j - 1] + windows[j - 1]] = least_owner(text, lengths[own], owner[i:j])
+        found[ragged(window_at[kinds], windows[kinds])] = least_owner(text, lengths[own], owner[kinds])
         i = j
+    each, starts = np.concatenate(copies), np.concatenate(places)
+    start_at = np.cumsum(each) - each
     rows = []
-    at = 0
-    for chunk, n, each, starts in zip(chunks, many, copies, places, strict=True):
-        own = kind[at : at + n]
+    edges = np.concatenate([[0], np.cumsum(many)])  # fragments before each piece
+    p = 0
+    while p < len(many):
+        q = max(int(np.searchsorted(edges, edges[p] + ANSWER, "right")) - 1, p + 1)
+        part = np.arange(edges[p], edges[q])
+        own = kind[part]
         w = windows[own]
         value = found[ragged(window_at[own], w)]
-        fragment = np.repeat(np.arange(n), w)
-        spot = ragged(np.zeros(n, np.int64), w)
-        hit = value < np.repeat(most[at : at + n], w)
+        fragment = np.repeat(part, w)
+        spot = ragged(np.zeros(len(part), np.int64), w)
+        hit = value < np.repeat(most[part], w)
         new = hit.copy()
         new[1:] &= ~hit[:-1] | (value[1:] != value[:-1]) | (fragment[1:] != fragment[:-1])
         runs = np.flatnonzero(new)
         last = hit.copy()
         last[:-1] &= ~hit[1:] | new[1:]
         run = np.flatnonzero(last) + 1 - runs
-        if len(runs):
-            times = each[fragment[runs]]  # a fragment may start at several places of the chunk
-            begin = starts[ragged((np.cumsum(each) - each)[fragment[runs]], times)] + np.repeat(spot[runs], times)
-            rows.append((chunk, dump(begin.astype(np.int32), np.repeat(run, times).astype(np.int32), np.repeat(value[runs], times))))
-        at += n
+        fragment = fragment[runs]
+        times = each[fragment]  # a fragment may start at several places of the chunk
+        begin = (starts[ragged(start_at[fragment], times)] + np.repeat(spot[runs], times)).astype(np.int32)
+        run, value = np.repeat(run, times).astype(np.int32), np.repeat(value[runs], times)
+        ends = np.concatenate([[0], np.cumsum(times)])[np.searchsorted(fragment, edges[p : q + 1])]
+        for chunk, x, y in zip(chunks[p:q], ends[:-1], ends[1:], strict=True):
+            if x < y:
+                rows.append((chunk, dump(begin[x:y], run[x:y], value[x:y])))
+        p = q
     return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "body": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -403,13 +460,14 @@ def _remove(left: pa.Table, right: pa.Table) -> pa.Table:
     for body in left["body"].to_pylist():
         ids, offsets, data = load(body)
         depth = np.zeros(len(data) + 1, np.int32)
-        for answer in right["body"].to_pylist():
-            begin, run, value = load(answer)
+        answers = [load(answer) for answer in right["body"].to_pylist()]
+        if answers:
+            begin, run, value = (np.concatenate(x) for x in zip(*answers, strict=True))
             text = np.searchsorted(offsets, begin, "right") - 1
             good = value < ids[text, 0]
             np.add.at(depth, begin[good], 1)
             np.add.at(depth, begin[good] + run[good] + LENGTH - 1, -1)
-        gone = np.cumsum(depth[:-1]) > 0
+        gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             mask = gone[a:b]
             spans: list[dict] = []
@@ -433,7 +491,7 @@ def _by_chunk(packed: DataFrame, size: int) -> DataFrame:
     spark = packed.sparkSession
     path = fresh_path(spark, "repeat-chunks")
     name = f"repeat_chunks_{path.rsplit('-', 1)[-1]}"
-    buckets = max(LEAST_BUCKETS, math.ceil(size / CHUNK_BUCKET))
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(size / CHUNK_BUCKET)))
     # a chunk is compressed already
     write = packed.write.option("compression", "none").option("path", path)
     write.bucketBy(buckets, "chunk").saveAsTable(name)
@@ -453,7 +511,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     so only strings whose anchor is in two documents matter.  Texts are cut to fragments, runs of
     strings of one anchor; fragments of an anchor meet in one task, distinct ones once per chunk of texts
     and then once per task, and there the transform of a group of fragments finds the intervals of equal
-    strings and their least document.  What a task holds is bounded by the sizes above: the
+    strings and their least document.  An anchor with one distinct fragment needs no transform.  What a task holds is bounded by the sizes above: the
     numbers of buckets follow the input.  A text takes about 60 bytes of memory per byte.
 
     Ids are integers; a null id counts as after all others, equal ids are no smaller than each other, so
