@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import month_start, subtract_days
 from ..session import stash
@@ -14,6 +15,7 @@ from ..sources.tables import footer_bounds, laid_out, write_table
 from .keymonths import in_months, months_of_keys, record_months
 
 FEW_UPDATES = 2_000_000  # keys that every task can hold
+FILTER_BITS = 1 << 26  # of a filter that every task can hold: a million words at most
 MONTH_FILES, FILE_BYTES = 8, 16 * 2**20  # a month in more files than that, and smaller ones, is dealt anew
 
 
@@ -89,6 +91,45 @@ def few_keys(keys: DataFrame) -> bool:
     return keys.limit(FEW_UPDATES + 1).count() <= FEW_UPDATES
 
 
+def perhaps_among(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """``rows`` with a column ``flag``: true where the key is among ``keys``, and for few other rows.
+
+    For keys that are too many to be broadcast.  Each is hashed to a bit, and the words of these bits are
+    broadcast, so that an exact join has little more to shuffle than what it finds.  With keys by the hundred
+    million the flag is mostly true and saves nothing.  So it does where the keys differ in type.
+    """
+    kind = rows.schema[key].dataType
+    if keys.schema[key].dataType != kind or not isinstance(kind, (T.IntegralType, T.StringType, T.BinaryType)):
+        return rows.withColumn(flag, F.lit(True))
+    spot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_spot")
+    bit = F.bit_or(F.expr("shiftleft(1L, CAST(_spot & 63L AS INT))")).alias("_bits")
+    words = keys.select(spot).groupBy(F.shiftright("_spot", 6).alias("_word")).agg(bit)
+    found = rows.select("*", spot).join(F.broadcast(words), F.shiftright("_spot", 6) == F.col("_word"), "left")
+    is_set = F.getbit("_bits", F.expr("CAST(_spot & 63L AS INT)")) == 1
+    return found.withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("_spot", "_word", "_bits")
+
+
+def near_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among ``keys``, and few others: see ``perhaps_among``."""
+    return perhaps_among(rows, keys, key, "_near").where("_near").drop("_near")
+
+
+def rows_of_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Semi join with stored keys that shuffles few of the rows."""
+    if few_keys(keys):
+        return rows.join(F.broadcast(keys), key, "left_semi")
+    return near_keys(rows, keys, key).join(keys, key, "left_semi")
+
+
+def rows_without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Anti join with stored keys that shuffles few of the rows."""
+    if few_keys(keys):
+        return rows.join(F.broadcast(keys), key, "left_anti")
+    marked = perhaps_among(rows, keys, key, "_near")
+    near, far = marked.where("_near").drop("_near"), marked.where("NOT _near").drop("_near")
+    return far.unionByName(near.join(keys, key, "left_anti").select(*far.columns))
+
+
 def small_files(target: DataFrame, month: str, months: set) -> set:
     """Those of the months that lie in more than ``MONTH_FILES`` files of less than ``FILE_BYTES`` on average."""
     files = target.select(F.col(month).cast("date").alias("m"), "_metadata.file_path", "_metadata.file_size")

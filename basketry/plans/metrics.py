@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, match_key, mean_of, safe_divide, surrogate_key
+from ..operators.upsert import rows_of_keys
 
 HOT_LINES = 1_000_000  # lines of one order that are not gathered in one task
 
@@ -67,7 +68,7 @@ def returned_lines(
     Returns are summed per line before the join, so many returns of one line cost one row;
     returns without a line are left out.  Store the rows where returns are summed more than
     once.  The returns that meet the condition ``some`` are summed apart as well, for ``some_returned_lines``.
-    With ``few`` lines the returns of other lines are dropped before they are summed.
+    With ``few`` lines, which are stored, the returns of other lines are dropped before they are summed.
     """
     key = line_key(items, returns).alias("line_key")
     given = returns.select(
@@ -79,7 +80,7 @@ def returned_lines(
     if few:
         # summing per line then reuses the partitioning of this join, or needs no shuffle of
         # the other returns at all when the lines are few enough to broadcast
-        given = given.join(items.select(key), "line_key", "left_semi")
+        given = rows_of_keys(given, items.select(key), "line_key")
     sums = [
         F.count_if("named").alias("return_count"),
         F.count(F.lit(1)).alias("return_rows"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keymonths import within_key_ranges
 from ..operators.published import merge_published, published_table
-from ..operators.upsert import few_keys, stored_table, window_floor, write_incremental
+from ..operators.upsert import few_keys, near_keys, rows_of_keys, stored_table, window_floor, write_incremental
 from ..relations import Relations
 from ..session import stash
 from .marts import fct_orders
@@ -71,8 +71,9 @@ def refresh_fct_orders(
         ids = orders.select("order_id")
         near = within_key_ranges(staged.order_items, ids, "order_id")
         key = line_key(items, returns)
-        items = near.select(key.alias("order_item_id"), "order_id", "product_id", "quantity", "gross_item_sales")
-        items = stash(items.join(ids, "order_id", "left_semi"), "lines-to-refresh")
+        items = rows_of_keys(near, ids, "order_id")
+        items = items.select(key.alias("order_item_id"), "order_id", "product_id", "quantity", "gross_item_sales")
+        items = stash(items, "lines-to-refresh")
         returns = returns.withColumn("order_item_id", key)
     if target is not None or sold is None:
         sold = stash(order_product_rollup(items, returns, few=target is not None), "order-products")
@@ -125,6 +126,9 @@ def match_returns(returns: DataFrame, items: DataFrame) -> tuple[DataFrame, Data
     named = stash(ids.withColumn("line_key", key), "returned-line-ids")
     lines = items.select(key.alias("line_key"), "order_id")
     wanted = named.select("line_key")
-    wanted = F.broadcast(wanted) if few_keys(wanted) else wanted  # lines are not shuffled for a usual batch
+    if few_keys(wanted):
+        wanted = F.broadcast(wanted)  # lines are not shuffled for a usual batch
+    else:
+        lines = stash(near_keys(lines, wanted, "line_key"), "lines-near-returns")
     found = stash(lines.join(wanted, "line_key", "left_semi"), "returned-lines")
     return found.select("order_id").distinct(), named.join(found, "line_key", "left_anti").select("order_item_id")

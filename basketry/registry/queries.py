@@ -36,7 +36,7 @@ from ..operators.series import (
     rolling_sum,
     running_total,
 )
-from ..operators.upsert import reprocess_window, upsert
+from ..operators.upsert import reprocess_window, rows_without_keys, upsert
 from ..plans import daily, insight, marts, metrics, quality, refresh
 from ..plans.staging import (
     stage_order_items,
@@ -747,7 +747,11 @@ def fct_orders_stream_early_returns(wh):
     """Two batches of returns; the order lines of the first batch are there at the second only."""
     spark = wh.staged.orders.sparkSession
     path, inbox = fresh_path(spark, "fct-orders"), fresh_path(spark, "inbox")
-    s = wh.staged
+    # the load and both batches read lines and returns several times, so their ids are made once
+    lines = wh.staged.order_items.select("order_item_id", "order_id", "product_id", "quantity", "gross_item_sales")
+    returns = wh.staged.returns.select("return_id", "order_item_id", "return_date", "refund_amount")
+    s = wh.staged.replace(order_items=stash(lines, "stream-lines"), returns=stash(returns, "stream-returns"))
+    wh.staged = s
     late = s.returns.where(F.col("return_date") >= F.lit(CUTOFF).cast("date"))
     is_early = F.col("return_date") < F.lit(CUTOFF).cast("date")
     early = s.replace(returns=s.returns.where(is_early))
@@ -755,12 +759,13 @@ def fct_orders_stream_early_returns(wh):
     stored = {"sold": wh.order_products, "returned": known}
     refresh.load_facts_until(path, early, wh.dim_customers, CUTOFF, **stored)
     ids = late.select("return_id", "order_item_id")
-    schema = write_table(ids.where("order_item_id < '8'").coalesce(1), inbox).schema
-    write_table(ids.where("order_item_id >= '8'").coalesce(1), inbox, mode="append")
-    unseen = ids.where("order_item_id < '8'").select("order_item_id")
-    before = s.replace(order_items=s.order_items.join(unseen, "order_item_id", "left_anti"))
+    first = write_table(ids.where("order_item_id < '8'"), inbox)
+    files = len(first.inputFiles())  # the files of the first batch come first, those of the second are no more
+    unseen = stash(first.select("order_item_id"), "unseen-line-ids")
+    write_table(ids.where("order_item_id >= '8'").coalesce(files), inbox, mode="append")
+    before = s.replace(order_items=rows_without_keys(s.order_items, unseen, "order_item_id"))
     seen = iter([before])
-    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    arriving = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", files).parquet(inbox)
     run = refresh_fct_orders_stream(
         arriving, path, fresh_path(spark, "stream-state"), lambda: next(seen, s), wh.dim_customers
     )
